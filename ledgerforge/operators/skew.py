@@ -1,0 +1,116 @@
+"""Spreading hot join keys over several tasks.
+
+A key that holds a large share of the left rows would send all of them to one task. Before
+such a join, a bounded frequent-items sketch names the hot keys, their left rows get a salt
+in 0..fan-1 and only the right rows of those keys are repeated fan times. Every other key
+keeps salt 0, so the result is exactly that of the plain join.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALT = "_salt"
+HOT_KEY_LIMIT = 1000  # rows of the broadcast hot-key list, whatever the data size
+TRACKED_ITEMS = 16384  # sketch size; any key above about 1/4000 of the rows is found
+SPREAD_ABOVE = "spark.ledgerforge.spreadAboveBytes"
+SPREAD_ABOVE_DEFAULT = 4 << 30
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """The planner's size estimate, or None where the session does not expose it."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:
+        return None
+
+
+def _needs_spreading(left: DataFrame, right: DataFrame) -> bool:
+    """False when the left side is small, or the planner broadcasts the right side anyway."""
+    spark = left.sparkSession
+    floor = int(spark.conf.get(SPREAD_ABOVE, str(SPREAD_ABOVE_DEFAULT)))
+    if floor <= 0:
+        return True
+    left_size, right_size = planned_bytes(left), planned_bytes(right)
+    if left_size is None or right_size is None:
+        return True
+    broadcast_limit = int(
+        spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
+    )
+    return left_size > floor and right_size > broadcast_limit
+
+
+def _key_hash(keys: Sequence[str], kinds: Sequence) -> Column:
+    return F.xxhash64(*[F.col(key).try_cast(kind) for key, kind in zip(keys, kinds)])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], *, slices: int) -> DataFrame:
+    """(key_hash, fan) for keys above 1/slices of the rows; at most HOT_KEY_LIMIT rows."""
+    kinds = [df.schema[key].dataType for key in keys]
+    summary = df.select(_key_hash(keys, kinds).alias("key_hash")).agg(
+        F.count("*").alias("total"),
+        F.expr(f"approx_top_k(key_hash, {HOT_KEY_LIMIT}, {TRACKED_ITEMS})").alias("top"),
+    )
+    return (
+        summary.select("total", F.explode("top").alias("entry"))
+        .select(
+            F.col("entry.item").alias("key_hash"),
+            F.ceil(F.col("entry.count") * slices / F.col("total")).cast("int").alias("fan"),
+        )
+        .filter("fan > 1")
+    )
+
+
+def spread_hot_keys(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    *,
+    counted: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Return (left, right, join columns) ready for an inner, left, semi or anti join.
+
+    `counted` is a cheaper frame with the same key distribution as `left` (for example the
+    written table that `left` was derived from). Small left sides are returned unchanged.
+    """
+    keys = list(keys)
+    counted = left if counted is None else counted
+    if not _needs_spreading(counted, right):
+        return left, right, keys
+    slices = min(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), HOT_KEY_LIMIT)
+    kinds = [left.schema[key].dataType for key in keys]
+    hot = F.broadcast(hot_keys(counted, keys, slices=slices))
+
+    def with_fan(df: DataFrame) -> DataFrame:
+        return df.withColumn("key_hash", _key_hash(keys, kinds)).join(hot, "key_hash", "left")
+
+    # Depends on row content and input partition only, so a retried task salts alike, and
+    # identical copies still spread over the partitions that hold them.
+    row_hash = F.xxhash64(*left.columns) + F.spark_partition_id()
+    salted = (
+        with_fan(left)
+        .withColumn(SALT, F.coalesce(F.pmod(row_hash, F.col("fan")).cast("int"), F.lit(0)))
+        .drop("key_hash", "fan")
+    )
+    repeated = (
+        with_fan(right)
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1)))
+        .drop("key_hash", "fan")
+    )
+    return salted, repeated, [*keys, SALT]
+
+
+def lookup(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    *,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Join on equal key columns without letting a hot left key land in one task."""
+    left, right, on = spread_hot_keys(left, right, keys, counted=counted)
+    return left.join(right, on, how).drop(SALT)
