@@ -46,8 +46,8 @@ def null_or_below(column: str, bound: int) -> str:
 
 
 def _codes(rules: Sequence[Rule]) -> Column:
-    fired = [F.when(F.expr(rule.fails), F.lit(rule.code)) for rule in rules]
-    return F.array_compact(F.array(*fired))
+    fired = ", ".join(f"CASE WHEN {rule.fails} THEN '{rule.code}' END" for rule in rules)
+    return F.expr(f"array_compact(array({fired}))")
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], error_column: str = ERRORS) -> DataFrame:
@@ -67,6 +67,26 @@ def split(df: DataFrame, error_column: str = ERRORS) -> tuple[DataFrame, DataFra
     return df.filter(~failed), df.filter(failed)
 
 
+def _any_fails(rules: Sequence[Rule]) -> Column:
+    return F.expr(f"coalesce({' OR '.join(f'({rule.fails})' for rule in rules)}, false)")
+
+
+def quarantine(
+    df: DataFrame, *steps: Sequence[Rule], error_column: str = ERRORS
+) -> tuple[DataFrame, DataFrame]:
+    """validate and split in one: (passing rows, failing rows with codes).
+
+    Later steps judge only rows that pass the earlier ones. Passing rows, nearly all of them,
+    meet one generated boolean condition; the code array is built for failing rows only.
+    """
+    conditions = [_any_fails(rules) for rules in steps]
+    failed = reduce(lambda a, b: a | b, conditions)
+    codes = _codes(steps[-1])
+    for condition, rules in reversed(list(zip(conditions[:-1], steps[:-1]))):
+        codes = F.when(condition, _codes(rules)).otherwise(codes)
+    return df.filter(~failed), df.filter(failed).withColumn(error_column, codes)
+
+
 def missing_references(
     children: DataFrame, parents: DataFrame, on: Sequence[str], code: str
 ) -> DataFrame:

@@ -20,27 +20,28 @@ SPREAD_ABOVE = "spark.ledgerforge.spreadAboveBytes"
 SPREAD_ABOVE_DEFAULT = 4 << 30
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """The planner's size estimate, or None where the session does not expose it."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of the tables and files a frame reads, or None where the session hides the plan."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
     except AttributeError:
         return None
+    return sum(int(str(size)) for size in sizes)
 
 
 def _needs_spreading(left: DataFrame, right: DataFrame) -> bool:
-    """False when the left side is small, or the planner broadcasts the right side anyway."""
+    """False when the left side is small, or the right side will be broadcast anyway."""
     spark = left.sparkSession
     floor = int(spark.conf.get(SPREAD_ABOVE, str(SPREAD_ABOVE_DEFAULT)))
     if floor <= 0:
         return True
-    left_size, right_size = planned_bytes(left), planned_bytes(right)
-    if left_size is None or right_size is None:
-        return True
-    broadcast_limit = int(
-        spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
-    )
-    return left_size > floor and right_size > broadcast_limit
+    left_size = input_bytes(left)
+    if left_size is not None and left_size <= floor:
+        return False
+    right_size = input_bytes(right)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
+    return right_size is None or right_size > int(threshold)
 
 
 def _key_hash(keys: Sequence[str], kinds: Sequence) -> Column:

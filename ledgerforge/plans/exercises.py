@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ledgerforge.operators.latest import keep_latest, top_per_group
 from ledgerforge.operators.quality import (
-    ERRORS,
     Rule,
     id_collisions,
     partition_by_reference,

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerforge.functions.metrics import measure
-from ledgerforge.operators.quality import ERRORS
+from ledgerforge.operators.quality import quarantine
 from ledgerforge.operators.utxo import check_chain_links, resolve_inputs
 from ledgerforge.plans import exercises, reports, silver
 from ledgerforge.plans.corruption import inject_corruption
+from ledgerforge.plans.rules import INPUT_RULES, OUTPUT_RULES
 from ledgerforge.plans.sample_ledger import SampleLedger
-from ledgerforge.operators.quality import split
 from ledgerforge.sources.delivery import add_lineage, read_delivery
 from ledgerforge.sources.schemas import ENTITIES, LINEAGE, SCHEMAS, conform
 
@@ -56,9 +56,9 @@ def _all_rejects(ledger: SampleLedger) -> dict[str, DataFrame]:
 
 def _raw_reconciliation(ledger: SampleLedger) -> DataFrame:
     """Resolution against every valid delivery, second deliveries included."""
-    inputs = split(silver.validate_inputs(silver.canonical_inputs(ledger.bronze["inputs"])))[0]
-    outputs = split(silver.validate_outputs(silver.canonical_outputs(ledger.bronze["outputs"])))[0]
-    return resolve_inputs(inputs.drop(ERRORS), outputs.drop(ERRORS))
+    inputs, _ = quarantine(silver.canonical_inputs(ledger.bronze_inputs), INPUT_RULES)
+    outputs, _ = quarantine(silver.canonical_outputs(ledger.bronze_outputs), OUTPUT_RULES)
+    return resolve_inputs(inputs, outputs)
 
 
 def _kpis(ledger: SampleLedger) -> DataFrame:
@@ -97,7 +97,7 @@ def _double_spends(ledger: SampleLedger) -> DataFrame:
 
 def _bronze_roundtrip(ledger: SampleLedger) -> DataFrame:
     """Outputs delivered as CSV and read back with the delivery schema and lineage."""
-    delivered = ledger.bronze["outputs"].select(*SCHEMAS["outputs"].names)
+    delivered = ledger.bronze_outputs.select(*SCHEMAS["outputs"].names)
     path = f"{ledger.stage.folder}/delivery/outputs.csv"
     quoting = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     delivered.write.options(**quoting).csv(path)
@@ -109,20 +109,14 @@ def _corrupted(ledger: SampleLedger, scenario: str) -> SampleLedger:
     """The ledger's delivery, corrupted, parsed again and run through Silver."""
     plain = {entity: df.drop(*LINEAGE) for entity, df in ledger.bronze.items()}
     corrupted = inject_corruption(plain, scenario, rate=0.02, seed=7)
-    again = SampleLedger(ledger.spark, ledger.folder)
-    again.bronze = {
-        entity: again.stage.keep(
-            conform(df, entity).withColumns(
-                {
-                    "ingested_at": F.lit("2026-01-01 00:00:00").cast("timestamp"),
-                    "source_file": F.lit(f"{entity}.csv"),
-                    "batch_id": F.lit("2026-01-01"),
-                }
-            ),
-            f"corrupted_{entity}",
-        )
-        for entity, df in corrupted.items()
+    landed = {
+        "ingested_at": F.lit("2026-01-01 00:00:00").cast("timestamp"),
+        "batch_id": F.lit("2026-01-01"),
     }
+    again = SampleLedger(ledger.spark, ledger.folder)
+    for entity, df in corrupted.items():
+        rows = conform(df, entity).withColumns({**landed, "source_file": F.lit(f"{entity}.csv")})
+        setattr(again, f"bronze_{entity}", again.stage.keep(rows, f"corrupted_{entity}"))
     return again
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerforge.operators.latest import keep_latest
@@ -26,43 +26,28 @@ INT_MAX = 2147483647
 NO_LINE, NO_LINE_VALUE = 99, 100000
 
 
-def _tag(prefix: str, *parts) -> Column:
-    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
-    return F.concat(F.lit(prefix), F.concat_ws("-", *columns))
+def _chosen(pairs: list[tuple[str, str]], otherwise: str) -> str:
+    cases = " ".join(f"WHEN {condition} THEN {value}" for condition, value in pairs)
+    return f"CASE {cases} ELSE {otherwise} END"
 
 
-def _every(divisor: int, remainder: int = 0, key: str = "k") -> Column:
-    return F.col(key) % divisor == remainder
-
-
-def _damage(df: DataFrame, defects: dict[str, list[tuple[Column, Column]]]) -> DataFrame:
+def _damage(df: DataFrame, defects: dict[str, list[tuple[str, str]]]) -> DataFrame:
     """Replace column values where a condition holds; conditions see the undamaged row."""
-    changed = {}
-    for name, cases in defects.items():
-        value = F.col(name)
-        for condition, bad in reversed(cases):
-            value = F.when(condition, bad.cast(df.schema[name].dataType)).otherwise(value)
-        changed[name] = value
-    return df.withColumns(changed)
-
+    return df.withColumns({name: F.expr(_chosen(cases, name)) for name, cases in defects.items()})
 
-def _lineage(stamp: str, source: str) -> dict[str, Column]:
-    return {
-        "ingested_at": F.col(stamp),
-        "source_file": F.lit(source),
-        "batch_id": F.concat(F.date_format(stamp, "yyyy-MM"), F.lit("-01")),
-    }
 
+def _lineage(stamp: str, source: str) -> list[str]:
+    return [
+        f"{stamp} AS ingested_at",
+        f"'{source}' AS source_file",
+        f"date_format({stamp}, 'yyyy-MM') || '-01' AS batch_id",
+    ]
 
-def _delivered(df: DataFrame, entity: str) -> DataFrame:
-    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[entity]]
-    return df.select(*fields, *LINEAGE)
 
-
-def _again(df: DataFrame, chosen: Column, **changes: Column) -> DataFrame:
+def _again(df: DataFrame, chosen: str, **changes: str) -> DataFrame:
     """Deliver the chosen rows once more, a day later, with the given changes."""
-    later = F.col("ingested_at") + F.expr("INTERVAL 1 DAY")
-    return df.filter(chosen).withColumns({"ingested_at": later, **changes})
+    changes = {"ingested_at": "ingested_at + INTERVAL 1 DAY", **changes}
+    return df.filter(chosen).withColumns({name: F.expr(sql) for name, sql in changes.items()})
 
 
 class SampleLedger:
@@ -76,28 +61,30 @@ class SampleLedger:
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _landed(self, df: DataFrame, entity: str) -> DataFrame:
+        """The delivered columns as a written table, like Bronze."""
+        fields = [f"CAST({f.name} AS {f.dataType.simpleString()})" for f in SCHEMAS[entity]]
+        return self.stage.keep(df.selectExpr(*fields, *LINEAGE), f"bronze_{entity}")
+
     # -- building blocks ------------------------------------------------------------------
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._table("orders").select(
-            F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("day")
+        return self._table("orders").selectExpr(
+            "o_orderkey AS k", "CAST(o_orderdate AS TIMESTAMP) AS day"
         )
 
     @cached_property
     def delivered_lines(self) -> DataFrame:
-        shared_id = F.when(_every(101), _tag("o-", "k")).otherwise(_tag("o-", "k", "ln"))
-        return (
-            self._table("lineitem")
-            .select(
-                F.col("l_orderkey").alias("k"),
-                F.col("l_linenumber").alias("ln"),
-                _tag("addr-", "l_partkey").alias("address"),
-                F.round(F.col("l_extendedprice") * 100).cast("long").alias("value_sats"),
-                (F.col("l_returnflag") == "R").alias("spent"),
-                F.col("l_shipdate").cast("timestamp").alias("shipped"),
-            )
-            .withColumn("output_id", shared_id)
+        return self._table("lineitem").selectExpr(
+            "l_orderkey AS k",
+            "l_linenumber AS ln",
+            "'addr-' || l_partkey AS address",
+            "CAST(round(l_extendedprice * 100) AS BIGINT) AS value_sats",
+            "l_returnflag = 'R' AS spent",
+            "CAST(l_shipdate AS TIMESTAMP) AS shipped",
+            "CASE WHEN l_orderkey % 101 = 0 THEN 'o-' || l_orderkey"
+            " ELSE 'o-' || l_orderkey || '-' || l_linenumber END AS output_id",
         )
 
     @cached_property
@@ -111,44 +98,38 @@ class SampleLedger:
     @cached_property
     def spends(self) -> DataFrame:
         """Which order's lines each order spends; the second slot makes double spends."""
-        def spend(slot: int, distance: int) -> Column:
-            return F.struct(F.lit(slot).alias("slot"), (F.col("k") - distance).alias("prev"))
-
-        slots = F.array(F.when(~_every(19), spend(0, 7)), F.when(_every(50), spend(1, 20)))
-        pairs = self.orders.select("k", "day", F.explode(F.array_compact(slots)).alias("s"))
+        slots = """explode(array_compact(array(
+            CASE WHEN k % 19 <> 0 THEN named_struct('slot', 0, 'prev', k - 7) END,
+            CASE WHEN k % 50 = 0 THEN named_struct('slot', 1, 'prev', k - 20) END))) AS s"""
+        pairs = self.orders.selectExpr("k", "day", slots)
         return pairs.select("k", "day", "s.slot", "s.prev").filter("prev >= 0")
 
     @cached_property
     def line_totals(self) -> DataFrame:
-        sums = self.lines.groupBy("k").agg(
-            F.sum("value_sats").alias("o"), F.count("*").alias("no")
-        )
-        return self.stage.keep(sums, "line_totals")
+        return self.lines.groupBy("k").agg(F.expr("sum(value_sats) AS o"), F.expr("count(*) AS no"))
 
     @cached_property
     def balances(self) -> DataFrame:
         """Declared totals per order: i, ni from what it spends; o, no from its lines."""
-        spent = self.line_totals.select(F.col("k").alias("prev"), "o", "no")
+        spent = self.line_totals.withColumnRenamed("k", "prev")
         funded = (
             self.spends.join(spent, "prev", "left")
             .groupBy("k")
             .agg(
-                F.sum(F.coalesce("o", F.lit(NO_LINE_VALUE))).alias("i"),
-                F.sum(F.coalesce("no", F.lit(1))).alias("ni"),
+                F.expr(f"sum(coalesce(o, {NO_LINE_VALUE})) AS i"),
+                F.expr("sum(coalesce(no, 1)) AS ni"),
             )
         )
-        due = F.col("o") + F.col("fee")
         balanced = (
-            self.orders.withColumn("fee", 500 + F.col("k") % 4501)
+            self.orders.selectExpr("k", "day", "500 + k % 4501 AS fee")
             .join(funded, "k", "left")
             .join(self.line_totals, "k", "left")
             .fillna(0, ["i", "ni", "o", "no"])
-            .withColumns(
-                {
-                    "topup": F.greatest(due - F.col("i"), F.lit(0)),
-                    "change": F.greatest(F.col("i") - due, F.lit(0)),
-                    "total_in": F.greatest("i", due),
-                }
+            .selectExpr(
+                "*",
+                "greatest(o + fee - i, 0) AS topup",
+                "greatest(i - o - fee, 0) AS change",
+                "greatest(i, o + fee) AS total_in",
             )
         )
         return self.stage.keep(balanced, "balances")
@@ -157,213 +138,188 @@ class SampleLedger:
 
     @cached_property
     def bronze_blocks(self) -> DataFrame:
-        day = F.col("day")
-        height = F.datediff(F.to_date(day), F.lit("1995-01-01").cast("date"))
-        miner = (
-            F.when(_every(3, 0, "h"), "  North Pool ")
-            .when(_every(3, 1, "h"), "EastPool")
-            .otherwise("south pool")
-        )
-        per_day = self.orders.groupBy("day").agg(
-            F.count("*").alias("n"), F.sum(F.col("k") % 651).alias("size")
-        )
-        steps_back = F.when(_every(53, 0, "h"), 2).otherwise(1)
         blocks = (
-            per_day.withColumn("h", height)
-            .withColumns(
-                {
-                    "block_hash": _tag("b-", F.to_date(day).cast("string")),
-                    "block_height": F.col("h"),
-                    "previous_block_hash": _tag(
-                        "b-", F.date_sub(F.to_date(day), steps_back).cast("string")
-                    ),
-                    "timestamp": day + F.make_dt_interval(hours=F.col("h") % 24),
-                    "miner": miner,
-                    "difficulty": (70 + F.col("h") % 20).cast("double"),
-                    "nonce": F.col("n") * 1000,
-                    "size_bytes": F.least("size", F.lit(INT_MAX)).cast("int"),
-                    "transaction_count": F.least(
-                        F.col("n") - F.when(_every(37, 0, "h"), 1).otherwise(0), F.lit(INT_MAX)
-                    ).cast("int"),
-                }
+            self.orders.groupBy("day")
+            .agg(F.expr("count(*) AS n"), F.expr("sum(k % 651) AS size"))
+            .selectExpr("*", "datediff(to_date(day), DATE '1995-01-01') AS h")
+            .selectExpr(
+                "h",
+                "'b-' || to_date(day) AS block_hash",
+                "h AS block_height",
+                "'b-' || date_sub(to_date(day), if(h % 53 = 0, 2, 1)) AS previous_block_hash",
+                "day + make_dt_interval(0, h % 24) AS timestamp",
+                "CASE h % 3 WHEN 0 THEN '  North Pool ' WHEN 1 THEN 'EastPool'"
+                " ELSE 'south pool' END AS miner",
+                "CAST(70 + h % 20 AS DOUBLE) AS difficulty",
+                "n * 1000 AS nonce",
+                f"least(size, {INT_MAX}) AS size_bytes",
+                f"least(n - if(h % 37 = 0, 1, 0), {INT_MAX}) AS transaction_count",
+                *_lineage("day", "orders"),
             )
-            .withColumns(_lineage("day", "orders"))
         )
-        blocks = blocks.unionByName(_again(blocks, _every(19, 0, "h"), miner=F.upper("miner")))
+        blocks = blocks.unionByName(_again(blocks, "h % 19 = 0", miner="upper(miner)"))
         damaged = _damage(
             blocks,
             {
-                "block_hash": [(_every(211, 1, "h"), F.lit("  "))],
-                "block_height": [(_every(223, 2, "h"), F.lit(-1))],
-                "nonce": [(_every(227, 3, "h"), F.lit(-1))],
-                "size_bytes": [(_every(229, 4, "h"), F.lit(-1))],
-                "transaction_count": [(_every(233, 5, "h"), F.lit(-1))],
-                "difficulty": [(_every(239, 6, "h"), F.lit(0))],
-                "timestamp": [(_every(241, 7, "h"), F.lit(None))],
+                "block_hash": [("h % 211 = 1", "'  '")],
+                "block_height": [("h % 223 = 2", "-1")],
+                "nonce": [("h % 227 = 3", "-1")],
+                "size_bytes": [("h % 229 = 4", "-1")],
+                "transaction_count": [("h % 233 = 5", "-1")],
+                "difficulty": [("h % 239 = 6", "0")],
+                "timestamp": [("h % 241 = 7", "NULL")],
             },
         )
-        return _delivered(damaged, "blocks")
+        return self._landed(damaged, "blocks")
 
     @cached_property
     def bronze_transactions(self) -> DataFrame:
-        padded = F.when(_every(17), _tag("  tx-", "k")).otherwise(_tag("tx-", "k"))
-        extra_input = F.when(_every(41), 1).otherwise(0)
-        extra_output = F.when(_every(43), 1).otherwise(0)
-        rows = self.balances.withColumns(
-            {
-                "tx_hash": padded,
-                "block_hash": _tag("b-", F.to_date("day").cast("string")),
-                "timestamp": F.col("day") + F.make_dt_interval(mins=(F.col("k") % 1440).cast("int")),
-                "fee_sats": F.col("fee"),
-                "size_bytes": (F.col("k") % 651).cast("int"),
-                "input_count": (
-                    F.col("ni") + F.when(F.col("topup") > 0, 1).otherwise(0) + extra_input
-                ).cast("int"),
-                "output_count": (
-                    F.col("no") + F.when(F.col("change") > 0, 1).otherwise(0)
-                ).cast("int"),
-                "total_input_sats": F.col("total_in"),
-                "total_output_sats": F.col("total_in") - F.col("fee") + extra_output,
-            }
-        ).withColumns(_lineage("day", "orders"))
-        newer = _again(rows, _every(23, 4), size_bytes=F.col("size_bytes") + 1)
-        broken = _again(rows, _every(29, 6), timestamp=F.lit(None).cast("timestamp"))
+        rows = self.balances.selectExpr(
+            "k",
+            "if(k % 17 = 0, '  tx-', 'tx-') || k AS tx_hash",
+            "'b-' || to_date(day) AS block_hash",
+            "day + make_dt_interval(0, 0, CAST(k % 1440 AS INT)) AS timestamp",
+            "fee AS fee_sats",
+            "k % 651 AS size_bytes",
+            "ni + if(topup > 0, 1, 0) + if(k % 41 = 0, 1, 0) AS input_count",
+            "no + if(change > 0, 1, 0) AS output_count",
+            "total_in AS total_input_sats",
+            "total_in - fee + if(k % 43 = 0, 1, 0) AS total_output_sats",
+            *_lineage("day", "orders"),
+        )
+        newer = _again(rows, "k % 23 = 4", size_bytes="size_bytes + 1")
+        broken = _again(rows, "k % 29 = 6", timestamp="CAST(NULL AS TIMESTAMP)")
         damaged = _damage(
             rows.unionByName(newer).unionByName(broken),
             {
-                "tx_hash": [(_every(401, 3), F.lit("  "))],
-                "block_hash": [(_every(409, 5), F.lit(None)), (_every(457, 21), F.lit("b-unknown"))],
-                "timestamp": [(_every(419, 7), F.lit(None))],
-                "fee_sats": [(_every(421, 9), F.lit(-1))],
-                "size_bytes": [(_every(431, 11), F.lit(-5))],
-                "input_count": [(_every(433, 13), F.lit(0))],
-                "output_count": [(_every(439, 15), F.lit(0))],
-                "total_input_sats": [(_every(443, 17), F.lit(-1))],
-                "total_output_sats": [(_every(449, 19), F.lit(-1))],
+                "tx_hash": [("k % 401 = 3", "'  '")],
+                "block_hash": [("k % 409 = 5", "NULL"), ("k % 457 = 21", "'b-unknown'")],
+                "timestamp": [("k % 419 = 7", "NULL")],
+                "fee_sats": [("k % 421 = 9", "-1")],
+                "size_bytes": [("k % 431 = 11", "-5")],
+                "input_count": [("k % 433 = 13", "0")],
+                "output_count": [("k % 439 = 15", "0")],
+                "total_input_sats": [("k % 443 = 17", "-1")],
+                "total_output_sats": [("k % 449 = 19", "-1")],
             },
         )
-        return _delivered(damaged, "transactions")
+        return self._landed(damaged, "transactions")
 
     @cached_property
     def bronze_inputs(self) -> DataFrame:
         spent_lines = lookup(
             self.lines.withColumnRenamed("k", "prev"), self.spends, ["prev"], "inner"
         )
-        has_lines = self.line_totals.select(F.col("k").alias("prev"))
-        no_lines = self.spends.join(has_lines, "prev", "left_anti").select(
+        has_lines = self.line_totals.selectExpr("k AS prev")
+        no_lines = self.spends.join(has_lines, "prev", "left_anti").selectExpr(
             "*",
-            F.lit(NO_LINE).alias("ln"),
-            F.lit("addr-0").alias("address"),
-            F.lit(NO_LINE_VALUE).cast("long").alias("value_sats"),
+            f"{NO_LINE} AS ln",
+            "'addr-0' AS address",
+            f"CAST({NO_LINE_VALUE} AS BIGINT) AS value_sats",
         )
-        references = spent_lines.unionByName(no_lines).select(
+        references = spent_lines.unionByName(no_lines).selectExpr(
             "k",
             "day",
-            _tag("i-", "k", "slot", "ln").alias("input_id"),
-            (F.col("ln") * 2 + F.col("slot")).alias("input_index"),
-            _tag("tx-", "prev").alias("previous_tx_hash"),
-            F.col("ln").cast("string").alias("previous_output_index"),
-            F.when(_every(97), "addr-x").otherwise(F.col("address")).alias("address"),
+            "'i-' || k || '-' || slot || '-' || ln AS input_id",
+            "ln * 2 + slot AS input_index",
+            "'tx-' || prev AS previous_tx_hash",
+            "CAST(ln AS STRING) AS previous_output_index",
+            "if(k % 97 = 0, 'addr-x', address) AS address",
             "value_sats",
         )
-        topups = self.balances.filter("topup > 0").select(
+        topups = self.balances.filter("topup > 0").selectExpr(
             "k",
             "day",
-            _tag("i-", "k", F.lit("g")).alias("input_id"),
-            F.lit(0).alias("input_index"),
-            F.lit("genesis").alias("previous_tx_hash"),
-            F.lit("0").alias("previous_output_index"),
-            F.lit("addr-g").alias("address"),
-            F.col("topup").alias("value_sats"),
+            "'i-' || k || '-g' AS input_id",
+            "0 AS input_index",
+            "'genesis' AS previous_tx_hash",
+            "'0' AS previous_output_index",
+            "'addr-g' AS address",
+            "topup AS value_sats",
         )
-        rows = (
-            references.unionByName(topups)
-            .withColumn("tx_hash", _tag("tx-", "k"))
-            .withColumns(_lineage("day", "lineitem"))
+        rows = references.unionByName(topups).selectExpr(
+            "*", "'tx-' || k AS tx_hash", *_lineage("day", "lineitem")
         )
-        first = F.col("input_index") == 2
         damaged = _damage(
-            rows.unionByName(_again(rows, _every(31, 5))),
+            rows.unionByName(_again(rows, "k % 31 = 5")),
             {
-                "input_id": [(first & _every(503, 4), F.lit("  "))],
+                "input_id": [("input_index = 2 AND k % 503 = 4", "'  '")],
                 "tx_hash": [
-                    (first & _every(509, 6), F.lit(None)),
-                    (first & _every(557, 16), _tag("tx-", "k", F.lit("lost"))),
+                    ("input_index = 2 AND k % 509 = 6", "NULL"),
+                    ("input_index = 2 AND k % 557 = 16", "'tx-' || k || '-lost'"),
                 ],
                 "input_index": [
-                    (first & _every(521, 8), F.lit(None)),
-                    (first & _every(523, 10), F.lit(-1)),
+                    ("input_index = 2 AND k % 521 = 8", "NULL"),
+                    ("input_index = 2 AND k % 523 = 10", "-1"),
                 ],
-                "previous_output_index": [(first & _every(541, 12), F.lit("x"))],
-                "value_sats": [(first & _every(547, 14), F.lit(0))],
-                "previous_tx_hash": [(first & _every(563, 18), F.lit(None))],
+                "previous_output_index": [("input_index = 2 AND k % 541 = 12", "'x'")],
+                "value_sats": [("input_index = 2 AND k % 547 = 14", "0")],
+                "previous_tx_hash": [("input_index = 2 AND k % 563 = 18", "NULL")],
             },
         )
-        return _delivered(damaged, "inputs")
+        return self._landed(damaged, "inputs")
 
     @cached_property
     def bronze_outputs(self) -> DataFrame:
-        change = self.balances.filter("change > 0").select(
+        change = self.balances.filter("change > 0").selectExpr(
             "k",
-            F.lit(0).alias("ln"),
-            _tag("addr-c-", "k").alias("address"),
-            F.col("change").alias("value_sats"),
-            F.lit(False).alias("spent"),
-            F.col("day").alias("shipped"),
-            _tag("o-", "k", F.lit(0)).alias("output_id"),
+            "0 AS ln",
+            "'addr-c-' || k AS address",
+            "change AS value_sats",
+            "false AS spent",
+            "day AS shipped",
+            "'o-' || k || '-0' AS output_id",
         )
-        rows = (
-            self.delivered_lines.unionByName(change)
-            .withColumns({"tx_hash": _tag("tx-", "k"), "output_index": F.col("ln")})
-            .withColumns(_lineage("shipped", "lineitem"))
+        rows = self.delivered_lines.unionByName(change).selectExpr(
+            "*", "'tx-' || k AS tx_hash", "ln AS output_index", *_lineage("shipped", "lineitem")
         )
-        first, second = F.col("ln") == 1, F.col("ln") == 2
-        padded = F.concat(F.lit(" "), F.col("output_id"), F.lit(" "))
         damaged = _damage(
             rows,
             {
-                "output_id": [(first & _every(307, 11), F.lit("   ")), (_every(7), padded)],
-                "value_sats": [(second & _every(311, 13), F.lit(0))],
+                "output_id": [
+                    ("ln = 1 AND k % 307 = 11", "'   '"),
+                    ("k % 7 = 0", "' ' || output_id || ' '"),
+                ],
+                "value_sats": [("ln = 2 AND k % 311 = 13", "0")],
                 "output_index": [
-                    (first & _every(313, 17), F.lit(-1)),
-                    (first & _every(317, 19), F.lit(None)),
+                    ("ln = 1 AND k % 313 = 17", "-1"),
+                    ("ln = 1 AND k % 317 = 19", "NULL"),
                 ],
                 "tx_hash": [
-                    (first & _every(331, 23), F.lit(" ")),
-                    (first & _every(337, 29), _tag("tx-", "k", F.lit("lost"))),
+                    ("ln = 1 AND k % 331 = 23", "' '"),
+                    ("ln = 1 AND k % 337 = 29", "'tx-' || k || '-lost'"),
                 ],
-                "spent": [(_every(347, 31), F.lit(None))],
+                "spent": [("k % 347 = 31", "NULL")],
             },
         )
-        return _delivered(damaged, "outputs")
+        return self._landed(damaged, "outputs")
+
+    def bronze_table(self, entity: str) -> DataFrame:
+        return getattr(self, f"bronze_{entity}")
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return {entity: getattr(self, f"bronze_{entity}") for entity in ENTITIES}
+        return {entity: self.bronze_table(entity) for entity in ENTITIES}
 
     # -- Silver ---------------------------------------------------------------------------
 
     @cached_property
     def blocks(self) -> silver.Checked:
-        return silver.silver_blocks(self.bronze["blocks"], self.stage)
+        return silver.silver_blocks(self.bronze_table("blocks"), self.stage)
 
     @cached_property
     def transactions(self) -> silver.Checked:
         return silver.silver_transactions(
-            self.bronze["transactions"], self.blocks.accepted, self.stage
+            self.bronze_table("transactions"), self.blocks.accepted, self.stage
         )
 
-    @cached_property
-    def known_transactions(self) -> DataFrame:
-        return self.stage.keep(self.transactions.accepted, "silver_transactions")
-
     @cached_property
     def inputs(self) -> silver.Checked:
-        return silver.silver_inputs(self.bronze["inputs"], self.known_transactions, self.stage)
+        return silver.silver_inputs(self.bronze_table("inputs"), self.transactions.accepted, self.stage)
 
     @cached_property
     def outputs(self) -> silver.Checked:
-        return silver.silver_outputs(self.bronze["outputs"], self.known_transactions, self.stage)
+        return silver.silver_outputs(self.bronze_table("outputs"), self.transactions.accepted, self.stage)
 
     @cached_property
     def reconciliation(self) -> DataFrame:
@@ -380,20 +336,20 @@ class SampleLedger:
 
     @cached_property
     def gold_blocks(self) -> DataFrame:
-        return gold.gold_blocks(self.blocks.accepted, self.known_transactions)
+        return gold.gold_blocks(self.blocks.accepted, self.transactions.accepted)
 
     @cached_property
     def gold_transactions(self) -> DataFrame:
         return gold.gold_transactions(
-            self.known_transactions, self.inputs.accepted, self.outputs.accepted
+            self.transactions.accepted, self.inputs.accepted, self.outputs.accepted
         )
 
     @cached_property
     def gold_inputs(self) -> DataFrame:
         reconciled = self.reconciliation.drop("matching_output_count")
-        return gold.age_inputs(reconciled, self.known_transactions)
+        return gold.age_inputs(reconciled, self.transactions.accepted)
 
     @cached_property
     def gold_outputs(self) -> DataFrame:
-        spends = gold.timed_spends(self.reconciliation, self.known_transactions)
-        return gold.gold_outputs(self.enriched_outputs, self.known_transactions, spends)
+        spends = gold.timed_spends(self.reconciliation, self.transactions.accepted)
+        return gold.gold_outputs(self.enriched_outputs, self.transactions.accepted, spends)

@@ -17,15 +17,13 @@ from pyspark.sql import functions as F
 from ledgerforge.functions.expressions import parsed, trimmed
 from ledgerforge.operators.latest import keep_latest
 from ledgerforge.operators.quality import (
-    ERRORS,
     finalize_rejections,
     id_collisions,
     missing_references,
+    quarantine,
     separate,
-    split,
     total_problems,
     validate,
-    validate_clean,
 )
 from ledgerforge.plans.rules import (
     ACCOUNTING_RULES,
@@ -101,11 +99,11 @@ def validate_outputs(df: DataFrame) -> DataFrame:
 
 
 def _newest(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
-    return keep_latest(df.drop(ERRORS), KEYS[entity], order)
+    return keep_latest(df, KEYS[entity], order)
 
 
 def silver_blocks(bronze: DataFrame, stage: Staging, rejected_at: datetime | None = None) -> Checked:
-    valid, rejected = split(validate_blocks(bronze))
+    valid, rejected = quarantine(bronze, BLOCK_RULES)
     named = valid.withColumn("miner", F.lower(F.trim("miner")))
     latest = _newest(named, "blocks", NEWEST[:2])
     accepted = latest.withColumns(
@@ -123,8 +121,8 @@ def silver_blocks(bronze: DataFrame, stage: Staging, rejected_at: datetime | Non
 def silver_transactions(
     bronze: DataFrame, blocks: DataFrame, stage: Staging, rejected_at: datetime | None = None
 ) -> Checked:
-    checked = validate_clean(validate_transactions(canonical_transactions(bronze)), ACCOUNTING_RULES)
-    valid, rejected = split(checked)
+    rows = canonical_transactions(bronze)
+    valid, rejected = quarantine(rows, TRANSACTION_RULES, ACCOUNTING_RULES)
     latest = stage.keep(_newest(valid, "transactions", NEWEST), "latest_transactions")
     unknown = missing_references(latest, blocks, ["block_hash"], BLOCK_NOT_FOUND)
     unknown = stage.keep(unknown, "unknown_blocks")
@@ -153,7 +151,7 @@ def _against_transactions(
 def silver_inputs(
     bronze: DataFrame, transactions: DataFrame, stage: Staging, rejected_at: datetime | None = None
 ) -> Checked:
-    valid, rejected = split(validate_inputs(canonical_inputs(bronze)))
+    valid, rejected = quarantine(canonical_inputs(bronze), INPUT_RULES)
     latest = stage.keep(_newest(valid, "inputs", NEWEST), "latest_inputs")
     accepted, failed = _against_transactions(latest, transactions, "input", stage)
     return Checked(accepted, finalize_rejections(rejected, failed, rejected_at=rejected_at), latest)
@@ -162,7 +160,7 @@ def silver_inputs(
 def silver_outputs(
     bronze: DataFrame, transactions: DataFrame, stage: Staging, rejected_at: datetime | None = None
 ) -> Checked:
-    valid, rejected = split(validate_outputs(canonical_outputs(bronze)))
+    valid, rejected = quarantine(canonical_outputs(bronze), OUTPUT_RULES)
     collisions = id_collisions(valid, "output_id", KEYS["outputs"], OUTPUT_ID_COLLISION)
     collisions = stage.keep(collisions, "output_id_collisions")
     owned, collided = separate(valid, collisions, ["output_id"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +73,19 @@ def _write_session(df, name, mode, merge_schema, partition_by) -> None:
     if mode == "append":
         aligned.write.insertInto(name)
     else:
-        aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            aligned.write.insertInto(name, overwrite=True)
+
+
+@contextmanager
+def _setting(spark, key: str, value: str):
+    """Insert commands take this mode from the session only, so set it for one write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def _merge_columns(df: DataFrame, name: str) -> DataFrame:

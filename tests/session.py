@@ -15,6 +15,7 @@ def local_session(**settings: str) -> SparkSession:
         "spark.sql.shuffle.partitions": cpus,
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": f"{scratch}/warehouse",
         "spark.checkpoint.dir": f"{scratch}/checkpoints",
