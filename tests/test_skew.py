@@ -1,0 +1,87 @@
+"""Hot keys: results equal the plain join, and the hot rows really are spread."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerforge.operators.quality import id_collisions, separate, total_problems
+from ledgerforge.operators.skew import SALT, hot_keys, lookup, spread_hot_keys
+
+ROWS = 6000
+
+
+@pytest.fixture
+def sides(spark):
+    """A third of the left rows share one key, another sixth has no key, some are copies."""
+    left = spark.range(ROWS).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 6 = 1 THEN NULL ELSE concat('k', id % 500) END AS key",
+        "id % 1000 AS payload",
+    )
+    right = spark.range(0, 500, 2).selectExpr("concat('k', id) AS key", "id AS found").union(
+        spark.sql("SELECT 'hot', 7L UNION ALL SELECT NULL, 9L")
+    )
+    return left, right
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_lookup_equals_plain_join(sides, forced_spreading, how):
+    left, right = sides
+    expected = left.join(right, "key", how)
+    found = lookup(left, right, ["key"], how)
+    assert found.columns == expected.columns
+    order = lambda df: sorted(map(repr, df.collect()))
+    assert order(found) == order(expected)
+
+
+def test_hot_rows_are_spread(sides, forced_spreading):
+    left, right = sides
+    salted, repeated, on = spread_hot_keys(left, right, ["key"])
+    assert on == ["key", SALT]
+    sizes = [r["count"] for r in salted.filter("key = 'hot'").groupBy(SALT).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < ROWS / 3
+    copies = {r.key: r["count"] for r in repeated.groupBy("key").count().collect()}
+    assert copies["hot"] == len(sizes) and copies["k2"] == 1
+
+
+def test_identical_copies_are_spread(spark, forced_spreading):
+    left = spark.range(0, 4000, 1, 8).selectExpr("'hot' AS key", "1 AS payload")
+    right = spark.sql("SELECT 'hot' AS key, 1 AS found")
+    salted, _, _ = spread_hot_keys(left, right, ["key"])
+    assert salted.select(SALT).distinct().count() > 1
+    assert lookup(left, right, ["key"]).filter("found = 1").count() == 4000
+
+
+def test_hot_key_list_is_bounded_and_complete(spark):
+    df = spark.range(100_000).selectExpr("if(id % 2 = 0, -1, id) AS key")
+    found = hot_keys(df, ["key"], slices=100).collect()
+    assert len(found) == 1 and found[0].fan == 50
+
+
+def test_key_types_may_differ(spark, forced_spreading):
+    left = spark.range(900).selectExpr("cast(if(id % 2 = 0, 1, id) AS int) AS key", "id AS row")
+    right = spark.range(900).selectExpr("id AS key", "id AS found")
+    assert lookup(left, right, ["key"], "inner").count() == 900
+
+
+def test_small_sides_are_joined_plainly(sides):
+    left, right = sides
+    assert spread_hot_keys(left, right, ["key"]) == (left, right, ["key"])
+
+
+def test_separate_with_a_hot_problem_key(sides, forced_spreading):
+    left, _ = sides
+    rows = left.withColumn("key", F.coalesce("key", F.lit("none"))).withColumn("value", F.lit(1).cast("long"))
+    parents = rows.groupBy("key").agg(F.count("*").alias("total")).withColumn(
+        "total", F.when(F.col("key") == "hot", 1).otherwise(F.col("total"))
+    )
+    problems = total_problems(
+        rows, parents, key="key", value="value", declared_total="total", declared_count="total",
+        total_code="T", count_code="C", missing_code="M",
+    )
+    kept, failed = separate(rows, problems, ["key"])
+    assert failed.count() == ROWS // 3 and kept.count() == ROWS - ROWS // 3
+    assert [r[0] for r in failed.select("validation_errors").distinct().collect()] == [["T", "C"]]
+
+
+def test_collision_of_a_hot_id(spark):
+    rows = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id AS string)) AS id", "id % 2 AS tx", "1 AS idx")
+    assert [r.id for r in id_collisions(rows, "id", ["tx", "idx"], "X").collect()] == ["hot"]
