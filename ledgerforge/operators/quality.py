@@ -8,7 +8,7 @@ are not shuffled at all while the list of problems stays below the broadcast thr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerforge.operators.skew import lookup
+from ledgerforge.operators.skew import broadcastable, lookup
 
 ERRORS = "validation_errors"
 
@@ -154,13 +154,27 @@ def total_problems(
 
 
 def separate(
-    df: DataFrame, problems: DataFrame, on: Sequence[str], error_column: str = ERRORS
+    df: DataFrame,
+    problems: DataFrame,
+    on: Sequence[str],
+    error_column: str = ERRORS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key has no problem, rows with one); the problem's codes replace the errors."""
+    """(rows whose key has no problem, rows with one); the problem's codes replace the errors.
+
+    A short list of problems is broadcast to both sides and no row of df is shuffled. For a
+    long one, `keep` (which stages a frame) makes both sides share a single join.
+    """
     codes = problems.select(*on, F.col(ERRORS).alias("_codes"))
-    kept = lookup(df, problems.select(*on), on, "left_anti")
-    failed = lookup(df, codes, on, "inner").withColumn(error_column, F.col("_codes"))
-    return kept.select(*df.columns), failed.select(*_with(df.columns, error_column))
+    columns = _with(df.columns, error_column)
+    if keep is None or broadcastable(problems):
+        kept = lookup(df, problems.select(*on), on, "left_anti")
+        failed = lookup(df, codes, on, "inner")
+    else:
+        marked = keep(lookup(df, codes, on, "left"))
+        kept, failed = marked.filter("_codes IS NULL"), marked.filter("_codes IS NOT NULL")
+    failed = failed.withColumn(error_column, F.col("_codes"))
+    return kept.select(*df.columns), failed.select(*columns)
 
 
 def _with(columns: Sequence[str], extra: str) -> list[str]:

@@ -30,6 +30,13 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(int(str(size)) for size in sizes)
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """True when what the frame reads is within the session's broadcast threshold."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
+    size = input_bytes(df)
+    return size is not None and size <= int(limit.removesuffix("b"))
+
+
 def _needs_spreading(left: DataFrame, right: DataFrame) -> bool:
     """False when the left side is small, or the right side will be broadcast anyway."""
     spark = left.sparkSession
@@ -39,9 +46,7 @@ def _needs_spreading(left: DataFrame, right: DataFrame) -> bool:
     left_size = input_bytes(left)
     if left_size is not None and left_size <= floor:
         return False
-    right_size = input_bytes(right)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().removesuffix("b")
-    return right_size is None or right_size > int(threshold)
+    return not broadcastable(right)
 
 
 def _key_hash(keys: Sequence[str], kinds: Sequence) -> Column:

@@ -103,7 +103,12 @@ def build_gold(house: Warehouse, partition_by_date: bool = False) -> None:
     with all its columns; gold outputs reuse the spend times that gold inputs looked up."""
 
     def publish(entity: str, df: DataFrame) -> None:
-        house.replace("gold", entity, df, (DATE_COLUMNS[entity],) if partition_by_date else ())
+        if not partition_by_date:
+            house.replace("gold", entity, df)
+            return
+        # Few files per date, while adaptive execution splits a date that is too large.
+        date = DATE_COLUMNS[entity]
+        house.replace("gold", entity, df.hint("rebalance", F.col(date)), (date,))
 
     blocks, transactions = house.read("silver", "blocks"), house.read("silver", "transactions")
     inputs, outputs = house.read("silver", "inputs"), house.read("silver", "outputs")

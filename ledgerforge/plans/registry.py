@@ -134,6 +134,19 @@ def _corruption_effects(ledger: SampleLedger) -> DataFrame:
     return found.unionByName(states, allowMissingColumns=True)
 
 
+BUSIEST_MINER_DAYS = """
+    SELECT b.miner, t.transaction_date, count(*) AS transaction_count, sum(t.fee_sats) AS total_fee_sats
+    FROM {transactions} t JOIN {blocks} b ON b.block_hash = t.block_hash
+    GROUP BY b.miner, t.transaction_date HAVING count(*) >= 5
+"""
+
+
+def _sql_over_gold(ledger: SampleLedger) -> DataFrame:
+    return reports.sql_report(
+        BUSIEST_MINER_DAYS, transactions=ledger.gold_transactions, blocks=ledger.gold_blocks
+    )
+
+
 QUERIES: dict[str, Query] = {
     # Bronze
     **{f"bronze_{e}": _ledger(lambda ledger, e=e: ledger.bronze[e]) for e in ENTITIES},
@@ -198,6 +211,7 @@ QUERIES: dict[str, Query] = {
     ),
     "q_ingest_audit": _ledger(lambda ledger: reports.ingestion_audit(ledger.bronze)),
     "q_miners": _ledger(lambda ledger: reports.miner_comparison(ledger.gold_blocks)),
+    "q_sql_over_gold": _ledger(_sql_over_gold),
     # Corruption
     "corruption_rejects_quality": _ledger(_corruption_rejects("data_quality")),
     "corruption_rejects_relationships": _ledger(_corruption_rejects("relationships")),

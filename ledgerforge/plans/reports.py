@@ -189,3 +189,8 @@ def miner_comparison(blocks: DataFrame, start=None, end=None) -> DataFrame:
     matched = F.count_if(F.col("transaction_count_matches")).alias("matching_block_count")
     metrics = ["block_count", "total_fee_sats", "observed_transaction_count", "average_difficulty"]
     return dated.groupBy("miner").agg(*[metric("blocks", name) for name in metrics], matched)
+
+
+def sql_report(query: str, **tables: DataFrame) -> DataFrame:
+    """Read-only SQL over named frames, written as {name} in the query."""
+    return next(iter(tables.values())).sparkSession.sql(query, **tables)

@@ -98,6 +98,13 @@ def validate_outputs(df: DataFrame) -> DataFrame:
     return validate(df, OUTPUT_RULES)
 
 
+def _separate(
+    rows: DataFrame, problems: DataFrame, on: str, name: str, stage: Staging
+) -> tuple[DataFrame, DataFrame]:
+    problems = stage.keep(problems, name)
+    return separate(rows, problems, [on], keep=lambda df: stage.keep(df, f"{name}_marked"))
+
+
 def _newest(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
     return keep_latest(df, KEYS[entity], order)
 
@@ -125,8 +132,7 @@ def silver_transactions(
     valid, rejected = quarantine(rows, TRANSACTION_RULES, ACCOUNTING_RULES)
     latest = stage.keep(_newest(valid, "transactions", NEWEST), "latest_transactions")
     unknown = missing_references(latest, blocks, ["block_hash"], BLOCK_NOT_FOUND)
-    unknown = stage.keep(unknown, "unknown_blocks")
-    accepted, orphans = separate(latest, unknown, ["block_hash"])
+    accepted, orphans = _separate(latest, unknown, "block_hash", "unknown_blocks", stage)
     rejects = finalize_rejections(rejected, orphans, rejected_at=rejected_at)
     return Checked(accepted, rejects, latest)
 
@@ -145,7 +151,7 @@ def _against_transactions(
         count_code=f"{side.upper()}_COUNT_MISMATCH",
         missing_code=TRANSACTION_NOT_FOUND,
     )
-    return separate(latest, stage.keep(problems, f"{side}_problems"), ["tx_hash"])
+    return _separate(latest, problems, "tx_hash", f"{side}_problems", stage)
 
 
 def silver_inputs(
@@ -162,8 +168,7 @@ def silver_outputs(
 ) -> Checked:
     valid, rejected = quarantine(canonical_outputs(bronze), OUTPUT_RULES)
     collisions = id_collisions(valid, "output_id", KEYS["outputs"], OUTPUT_ID_COLLISION)
-    collisions = stage.keep(collisions, "output_id_collisions")
-    owned, collided = separate(valid, collisions, ["output_id"])
+    owned, collided = _separate(valid, collisions, "output_id", "output_id_collisions", stage)
     latest = stage.keep(_newest(owned, "outputs", NEWEST), "latest_outputs")
     accepted, failed = _against_transactions(latest, transactions, "output", stage)
     rejects = finalize_rejections(rejected, collided, failed, rejected_at=rejected_at)

@@ -439,6 +439,14 @@ SELECT miner, count(*) AS block_count, CAST(sum(total_fee_sats) AS BIGINT) AS to
 FROM gold_blocks GROUP BY 1""",
         "gold_blocks",
     ),
+    "q_sql_over_gold": over(
+        """
+SELECT b.miner, CAST(t.transaction_date AS VARCHAR) AS transaction_date, count(*) AS transaction_count,
+       CAST(sum(t.fee_sats) AS BIGINT) AS total_fee_sats
+FROM gold_transactions t JOIN silver_blocks b ON b.block_hash = t.block_hash GROUP BY 1, 2 HAVING count(*) >= 5""",
+        "gold_transactions",
+        "silver_blocks",
+    ),
     "corruption_rejects_quality": reasons("dq_"),
     "corruption_rejects_relationships": reasons("rel_"),
     "corruption_rejects": reasons("mix_"),

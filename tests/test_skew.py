@@ -85,3 +85,17 @@ def test_separate_with_a_hot_problem_key(sides, forced_spreading):
 def test_collision_of_a_hot_id(spark):
     rows = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id AS string)) AS id", "id % 2 AS tx", "1 AS idx")
     assert [r.id for r in id_collisions(rows, "id", ["tx", "idx"], "X").collect()] == ["hot"]
+
+
+def test_separate_shares_one_join_for_a_long_problem_list(spark, frame):
+    rows = frame([("a", 1), ("b", 2), ("a", 3), (None, 4)], "key string, n int")
+    problems = frame([("a", ["X"])], "key string, validation_errors array<string>")
+    staged = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept, failed = separate(rows, problems, ["key"], keep=lambda df: staged.append(df) or df)
+        assert sorted(r.n for r in kept.collect()) == [2, 4]
+        assert sorted((r.n, r.validation_errors) for r in failed.collect()) == [(1, ["X"]), (3, ["X"])]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(staged) == 1

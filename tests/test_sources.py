@@ -145,3 +145,20 @@ def test_names_and_settings(spark):
     settings = settings_from_environment({"SPARK_MASTER_URL": "local", "ICEBERG_CATALOG": "lake", "ICEBERG_CATALOG_TYPE": "hive"})
     assert settings["spark.master"] == "local" and settings["spark.sql.catalog.lake.type"] == "hive"
     assert settings["spark.sql.session.timeZone"] == "UTC"
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite_partitions", "create_or_replace"])
+@pytest.mark.parametrize("exists", [False, True])
+def test_other_catalogs_use_the_v2_writer(mode, exists):
+    """No other catalog is installed here, so the calls are checked on a stand-in."""
+    from unittest.mock import MagicMock
+
+    df = MagicMock()
+    df.sparkSession.catalog.tableExists.return_value = exists
+    writer = df.writeTo.return_value
+    writer.option.return_value = writer
+    write_table(df, "lake.silver.blocks", mode=mode, merge_schema=True)
+    df.writeTo.assert_called_once_with("lake.silver.blocks")
+    writer.option.assert_called_once_with("mergeSchema", "true")
+    used = {"append": writer.append, "overwrite_partitions": writer.overwritePartitions, "create_or_replace": writer.createOrReplace}
+    (used[mode] if exists else writer.create).assert_called_once_with()
