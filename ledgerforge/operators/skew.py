@@ -96,9 +96,10 @@ def spread_hot_keys(
     # Depends on row content and input partition only, so a retried task salts alike, and
     # identical copies still spread over the partitions that hold them.
     row_hash = F.xxhash64(*left.columns) + F.spark_partition_id()
+    spread = F.pmod(row_hash, F.col("fan")).cast("int")
     salted = (
         with_fan(left)
-        .withColumn(SALT, F.coalesce(F.pmod(row_hash, F.col("fan")).cast("int"), F.lit(0)))
+        .withColumn(SALT, F.when(F.col("fan").isNotNull(), spread).otherwise(0))
         .drop("key_hash", "fan")
     )
     repeated = (
