@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerforge.session import shuffle_width
+
 SALT = "_salt"
 HOT_KEY_LIMIT = 1000  # rows of the broadcast hot-key list, whatever the data size
 TRACKED_ITEMS = 16384  # sketch size; any key above about 1/4000 of the rows is found
@@ -86,7 +88,7 @@ def spread_hot_keys(
     counted = left if counted is None else counted
     if not _needs_spreading(counted, right):
         return left, right, keys
-    slices = min(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), HOT_KEY_LIMIT)
+    slices = min(shuffle_width(left.sparkSession), HOT_KEY_LIMIT)
     kinds = [left.schema[key].dataType for key in keys]
     hot = F.broadcast(hot_keys(counted, keys, slices=slices))
 

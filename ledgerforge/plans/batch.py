@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerforge.functions.metrics import DATE_COLUMNS
 from ledgerforge.operators.quality import ERRORS, check_conservation
+from ledgerforge.operators.skew import input_bytes
 from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
 from ledgerforge.plans import gold, silver
-from ledgerforge.session import ensure_namespaces, table_name
+from ledgerforge.session import ensure_namespaces, sized_shuffles, table_name
 from ledgerforge.sources.delivery import add_lineage, delivery_files, read_delivery
 from ledgerforge.sources.schemas import ENTITIES, SCHEMAS
 from ledgerforge.sources.staging import Staging
@@ -136,6 +137,8 @@ def run_batch(
     house = Warehouse(spark, catalog)
     for entity in ENTITIES:
         land_bronze(house, entity, files[entity], batch_id, replace_batch)
-    report = build_silver(house)
-    build_gold(house, partition_gold_by_date)
+    landed = [input_bytes(house.read("bronze", entity)) or 0 for entity in ENTITIES]
+    with sized_shuffles(spark, sum(landed)):
+        report = build_silver(house)
+        build_gold(house, partition_gold_by_date)
     return report

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,34 @@ def ledger_session(
     return spark
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+INPUT_BYTES_PER_PARTITION = 64 << 20
+MOST_PARTITIONS = 100_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Start shuffles with enough partitions for the input; adaptive execution merges spare ones.
+
+    A value the caller set, or a larger spark.sql.shuffle.partitions, is left alone.
+    """
+    wanted = min(input_bytes // INPUT_BYTES_PER_PARTITION, MOST_PARTITIONS)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get(INITIAL_PARTITIONS, None) is not None or wanted <= usual:
+        yield
+        return
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(usual, int(spark.conf.get(INITIAL_PARTITIONS, None) or 0))
+
+
 def table_name(layer: str, entity: str, catalog: str | None = None) -> str:
     """`catalog.layer.entity`, or `layer.entity` in the session catalog."""
     if layer not in LAYERS:

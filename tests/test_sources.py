@@ -3,7 +3,13 @@ from uuid import uuid4
 
 import pytest
 
-from ledgerforge.session import ensure_namespaces, settings_from_environment, table_name
+from ledgerforge.session import (
+    ensure_namespaces,
+    settings_from_environment,
+    shuffle_width,
+    sized_shuffles,
+    table_name,
+)
 from ledgerforge.sources.delivery import add_lineage, csv_to_parquet, delivery_files, read_delivery
 from ledgerforge.sources.schemas import SCHEMAS
 from ledgerforge.sources.staging import Staging, shared_folder
@@ -135,6 +141,17 @@ def test_staging_keeps_and_releases(spark, frame):
         kept.collect()
 
 
+def test_shuffles_are_sized_for_the_input(spark):
+    usual = shuffle_width(spark)
+    with sized_shuffles(spark, 64 << 30):
+        assert shuffle_width(spark) == 1024
+    with sized_shuffles(spark, 100 << 40):
+        assert shuffle_width(spark) == 100_000
+    with sized_shuffles(spark, 1 << 20):
+        assert shuffle_width(spark) == usual
+    assert shuffle_width(spark) == usual
+
+
 def test_names_and_settings(spark):
     assert table_name("silver", "blocks") == "silver.blocks"
     assert table_name("gold", "inputs", "lake") == "lake.gold.inputs"
