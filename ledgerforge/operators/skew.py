@@ -12,12 +12,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from ledgerforge.session import shuffle_width
 
 SALT = "_salt"
 HOT_KEY_LIMIT = 1000  # rows of the broadcast hot-key list, whatever the data size
-TRACKED_ITEMS = 16384  # sketch size; any key above about 1/4000 of the rows is found
+TRACKED_ITEMS = 8192  # sketch size; any key above about 1/2000 of the rows is found
+SKETCH_GROUPS = 256  # sketches merged in parallel before the last merge
 SPREAD_ABOVE = "spark.ledgerforge.spreadAboveBytes"
 SPREAD_ABOVE_DEFAULT = 4 << 30
 
@@ -58,9 +60,21 @@ def _key_hash(keys: Sequence[str], kinds: Sequence) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], *, slices: int) -> DataFrame:
     """(key_hash, fan) for keys above 1/slices of the rows; at most HOT_KEY_LIMIT rows."""
     kinds = [df.schema[key].dataType for key in keys]
-    summary = df.select(_key_hash(keys, kinds).alias("key_hash")).agg(
-        F.count("*").alias("total"),
-        F.expr(f"approx_top_k(key_hash, {HOT_KEY_LIMIT}, {TRACKED_ITEMS})").alias("top"),
+    partial = (
+        df.select(
+            _key_hash(keys, kinds).alias("key_hash"),
+            F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("sketch_group"),
+        )
+        .groupBy("sketch_group")
+        .agg(
+            F.count("*").alias("rows"),
+            F.expr(f"approx_top_k_accumulate(key_hash, {TRACKED_ITEMS}) AS sketch"),
+        )
+    )
+    merged = f"approx_top_k_combine(sketch, {TRACKED_ITEMS})"
+    summary = partial.agg(
+        F.sum("rows").alias("total"),
+        F.expr(f"approx_top_k_estimate({merged}, {HOT_KEY_LIMIT}) AS top"),
     )
     return (
         summary.select("total", F.explode("top").alias("entry"))
@@ -97,7 +111,8 @@ def spread_hot_keys(
 
     # Depends on row content and input partition only, so a retried task salts alike, and
     # identical copies still spread over the partitions that hold them.
-    row_hash = F.xxhash64(*left.columns) + F.spark_partition_id()
+    hashable = [f.name for f in left.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    row_hash = F.xxhash64(*hashable) + F.spark_partition_id()
     spread = F.pmod(row_hash, F.col("fan")).cast("int")
     salted = (
         with_fan(left)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ledger_sql import TABLES, silver_tables, resolution_table, table, with_tables
+from oracle.ledger_sql import resolution_table, silver_tables, table, with_tables
 
 STAMPS = {
     "timestamp", "ingested_at", "spending_timestamp", "referenced_transaction_timestamp",

@@ -1,7 +1,5 @@
 """CSV files on disk through Bronze, Silver and Gold, clean and corrupted."""
 
-from uuid import uuid4
-
 import pytest
 from pyspark.sql import functions as F
 
