@@ -112,7 +112,7 @@ def spread_hot_keys(
     # Depends on row content and input partition only, so a retried task salts alike, and
     # identical copies still spread over the partitions that hold them.
     hashable = [f.name for f in left.schema if not isinstance(f.dataType, (MapType, VariantType))]
-    row_hash = F.xxhash64(*hashable) + F.spark_partition_id()
+    row_hash = F.xxhash64(*hashable, F.spark_partition_id())
     spread = F.pmod(row_hash, F.col("fan")).cast("int")
     salted = (
         with_fan(left)
