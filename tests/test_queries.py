@@ -8,7 +8,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ledgerforge.plans.registry import QUERIES
+from oracle.registry import ORACLE_SQL
 from tests.compare import connect, difference, oracle_result, spark_result
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,7 +19,7 @@ USUAL = (
     " window_total top_per_group chain table_write_modes silver_blocks reject_transactions reject_outputs"
     " utxo_reconciliation gold_outputs q_fee_rate_histogram corruption_effects"
 ).split()
-NAMES = list(queries()) if os.environ.get("ALL_QUERIES") else USUAL
+NAMES = list(QUERIES) if os.environ.get("ALL_QUERIES") else USUAL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -28,7 +30,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 @pytest.mark.parametrize("name", NAMES)
