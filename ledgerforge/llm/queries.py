@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import decontaminate, simhash
+from ledgerforge.llm import bpe, decontaminate, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,7 +36,19 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        _sha256(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
+    "op6_byte_bpe": op6_byte_bpe,
 }
