@@ -26,4 +26,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_decontamination": OP5}
+OP9 = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+w AS (
+  SELECT doc_id, i, array_to_string(lines[i : i + 2], chr(10)) AS content
+  FROM d, unnest(range(1, len(lines) - 1)) AS t(i)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS place FROM w)
+  WHERE place > 1),
+gone AS (SELECT doc_id, list(DISTINCT j) AS gone FROM later, unnest([i, i + 1, i + 2]) AS t(j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(lines, lambda line, j : NOT list_contains(coalesce(gone, []), j)), chr(10)))
+         AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op9_line_dedup": OP9,
+    "op5_decontamination": OP5,
+}

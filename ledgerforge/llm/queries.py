@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, decontaminate, simhash
+from ledgerforge.llm import bpe, decontaminate, lines, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,8 +47,29 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Rows whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.train(docs, labels.filter(~held_out()))
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    count = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint")
+    kept = lines.without_repeated_lines(docs.withColumn("n_lines", count), removed="n_removed")
+    return kept.select("doc_id", "n_lines", "n_removed", _sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity": op7_toxicity,
+    "op9_line_dedup": op9_line_dedup,
 }
