@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import decontaminate, simhash
+from ledgerforge.llm import bpe, decontaminate, lines, simhash, toxicity
+from ledgerforge.llm.queries import held_out
 from ledgerforge.sources.staging import Staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; labels are learned from the rows that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.train(docs, labels.filter(~held_out())))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines go from the texts; n_chars follows; no document goes."""
+    return lines.without_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one with the smallest id."""
     return simhash.without_near_duplicates(docs)
 
 
@@ -22,9 +36,24 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256) of every document that is left."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", dedup_lines),
     ("simhash_near_dedup", near_duplicates),
     ("benchmark_decontamination", decontamination),
+    ("byte_bpe", tokenize),
 ]
 
 #: SimHash and byte pair encoding have no SQL form; tests/llm compares run() with brute force.

@@ -25,16 +25,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerforge.llm.tasks import CACHE_WORDS
+from ledgerforge.sources.staging import Staging
 
 SAMPLE_ROWS = 20_000
 LEXICON_TERMS = 2_000  # the strongest by weight
-LEAST_DOCUMENTS = 4  # toxic sample documents that must use a term
-LEAST_WEIGHT = 3.0
+LEAST_DOCUMENTS = 10  # toxic sample documents that must use a term
+LEAST_WEIGHT = 2.0  # of a term's log-odds, two standard errors below the estimate
 STEM_LETTERS = 4  # a stem has at least so many
 STEM_WORDS = 5  # and is followed by at least so many endings, none with most of the uses
 THRESHOLD = 0.3
@@ -64,7 +66,7 @@ class LexiconAutomaton:
         self.terminal: list[tuple[str, int, bool] | None] = [None]
         self.budget = [0]  # most edits any term below may take
         for term, stem in [(w, False) for w in words] + [(s, True) for s in stems]:
-            edits = (0 if len(term) < 6 else 1) if stem else allowed_edits(term)
+            edits = max(0, allowed_edits(term) - 1) if stem else allowed_edits(term)  # endings are free already
             node = 0
             for letter in term:
                 self.budget[node] = max(self.budget[node], edits)
@@ -188,22 +190,35 @@ def context_share(tokens: list[str], at: int) -> float:
 
 
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (text, toxic) -> word, documents of either label that use it."""
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    """Documents (text, toxic) -> word, clean documents that use it, or the place of one toxic use.
+
+    The place is a hash of the word and its neighbours, the smallest in the document, so that
+    copies of a toxic document are one piece of evidence against its words and not many.
+    """
+    clean, toxic = Counter(), []
 
     def emptied() -> pa.RecordBatch:
-        words = list(counts[0].keys() | counts[1].keys())
-        columns = [pa.array(words, pa.string())]
-        columns += [pa.array([label[w] for w in words], pa.int64()) for label in counts]
-        counts[0].clear()
-        counts[1].clear()
-        return pa.record_batch(columns, names=["word", "clean", "toxic"])
+        words = [*clean, *(word for word, _ in toxic)]
+        counts = [*clean.values(), *(0 for _ in toxic)]
+        places = [*(None for _ in clean), *(place for _, place in toxic)]
+        clean.clear()
+        toxic.clear()
+        columns = [pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(places, pa.int64())]
+        return pa.record_batch(columns, names=["word", "clean", "place"])
 
     for batch in batches:
-        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-            words = {EDGES.sub("", token) for token in (text.as_py() or "").lower().split()}
-            counts[toxic].update(words - {""})
-        if len(counts[0]) > CACHE_WORDS:
+        for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+            words = [EDGES.sub("", token) for token in (text.as_py() or "").lower().split()]
+            if not label:
+                clean.update(set(words) - {""})
+                continue
+            places: dict[str, int] = {}
+            for before, word, after in zip(["", *words], words, [*words[1:], ""]):
+                place = xxhash.xxh64_intdigest(f"{before} {word} {after}") >> 1
+                places[word] = min(place, places.get(word, place))
+            places.pop("", None)
+            toxic.extend(places.items())
+        if len(clean) + len(toxic) > CACHE_WORDS:
             yield emptied()
     yield emptied()
 
@@ -252,10 +267,11 @@ def train(
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     base = (toxic + 1) / (clean + toxic + 20)
     words = (
-        sample.mapInArrow(_document_words, "word string, clean bigint, toxic bigint")
+        sample.mapInArrow(_document_words, "word string, clean bigint, place bigint")
         .groupBy("word")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .agg(F.sum("clean").alias("clean"), F.count_distinct("place").alias("toxic"))
     )
+    words = Staging(docs.sparkSession, "toxicity").keep(words, "words")
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     lengths = F.sequence(F.lit(STEM_LETTERS), F.greatest(F.lit(STEM_LETTERS), F.char_length("word")))
     stems = (
@@ -272,8 +288,11 @@ def train(
     )
 
     def strongest(terms: DataFrame, stem: bool) -> list:
-        terms = terms.select("term", "toxic", F.lit(stem).alias("stem"), weight.alias("weight"))
-        strong = terms.filter((F.col("toxic") >= LEAST_DOCUMENTS) & (F.col("weight") >= LEAST_WEIGHT))
+        error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+        surely = weight - 2 * error >= LEAST_WEIGHT
+        strong = terms.filter((F.col("toxic") >= LEAST_DOCUMENTS) & surely).select(
+            "term", "toxic", F.lit(stem).alias("stem"), weight.alias("weight")
+        )
         return strong.orderBy(F.desc("weight"), "term").limit(LEXICON_TERMS).collect()
 
     weights = _choose_terms(strongest(words.withColumnRenamed("word", "term"), False) + strongest(stems, True))
