@@ -42,7 +42,42 @@ SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
+OP8 = r"""
+WITH p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(rule_host, rule_path, action) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+         ('org', '/fr/', 'allow')),
+fits AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, action,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC NULLS LAST) AS place
+  FROM p LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits WHERE place = 1
+"""
+
+OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x : x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a) USING (vec_id)
+"""
+
 ORACLE_SQL = {
+    "op10_near_vectors": OP10,
+    "op8_url_filter": OP8,
     "op9_line_dedup": OP9,
     "op5_decontamination": OP5,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, decontaminate, lines, simhash, toxicity
+from ledgerforge.llm import bpe, decontaminate, lines, simhash, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +59,21 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+# The rules that op8 judges by.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    judged = urls.judge_urls(_table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     count = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint")
@@ -66,10 +81,17 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", _sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
 
 
+def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = vectors.near_vectors(_table(spark, folder, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
+    "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
+    "op10_near_vectors": op10_near_vectors,
 }
