@@ -12,20 +12,20 @@ def _distinct_links(df: DataFrame) -> DataFrame:
     return df.filter("u > v").distinct()
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, staging: Staging, name: str) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest node around it."""
     around = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = around.groupBy("u").agg(F.min("v").alias("low"))
-    low = low.select("u", F.least("u", "low").alias("low"))
+    low = around.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+    low = staging.keep(low, f"{name}_low")  # a table of its own: Spark may then split a node with many links
     moved = around.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-    return _distinct_links(moved)
+    return staging.keep(_distinct_links(moved), name)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, staging: Staging, name: str) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them."""
-    low = links.groupBy("u").agg(F.min("v").alias("low"))
+    low = staging.keep(links.groupBy("u").agg(F.min("v").alias("low")), f"{name}_low")
     moved = links.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-    return _distinct_links(moved.union(low.select("u", F.col("low").alias("v"))))
+    return staging.keep(_distinct_links(moved.union(low.select("u", F.col("low").alias("v")))), name)
 
 
 def connected_components(links: DataFrame, staging: Staging) -> DataFrame:
@@ -45,7 +45,8 @@ def connected_components(links: DataFrame, staging: Staging) -> DataFrame:
     summary, turn = None, 0
     while True:
         turn += 1
-        current = staging.keep(_small_star(_large_star(current)), f"links_{turn}")
+        current = _large_star(current, staging, f"large_{turn}")
+        current = _small_star(current, staging, f"small_{turn}")
         # Equal sums over a set of links that only ever moves downwards: nothing moved.
         now = tuple(
             current.agg(

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, decontaminate, lines, simhash, toxicity, urls, vectors
+from ledgerforge.llm import bpe, decontaminate, importance, lines, secrets, simhash, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,44 @@ def _sha256(text):
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = secrets.secret_spans(F.col("text"), secrets.train(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"] != "random")
+    return docs.select("doc_id", found.alias("found")).select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        _sha256(listed(base)).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+        count("random"),
+    )
+
+
+TARGET_ROWS = 20_000  # labelled good documents that the target model is learned from, the first by hash
+KEPT_SHARE = 0.85
+
+
+def op2_importance(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    target = (
+        labels.filter((F.col("quality") == 1) & ~held_out())
+        .select("doc_id", F.lit(True).alias("good"))
+        .distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(TARGET_ROWS)
+    )
+    marked = docs.select("doc_id", "text").join(F.broadcast(target), "doc_id", "left")
+    ratios = importance.train(marked, F.col("good"))
+    return importance.resample(docs, ratios, KEPT_SHARE)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -87,6 +125,8 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_importance": op2_importance,
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
