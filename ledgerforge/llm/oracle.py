@@ -26,6 +26,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP4 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS gram
+  FROM d, unnest(range(1, len(w) - 18)) AS t(i)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS place FROM win)
+  WHERE place > 1),
+gone AS (
+  SELECT doc_id, j FROM (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM later)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n_kept
+  FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP9 = """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 w AS (
@@ -76,6 +96,7 @@ FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reached GR
 """
 
 ORACLE_SQL = {
+    "op4_substring_dedup": OP4,
     "op10_near_vectors": OP10,
     "op8_url_filter": OP8,
     "op9_line_dedup": OP9,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, decontaminate, importance, lines, secrets, simhash, toxicity, urls, vectors
+from ledgerforge.llm import bpe, decontaminate, importance, lines, secrets, simhash, substrings, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +60,11 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.without_repeated_windows(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(F.col("text"), _table(spark, folder, "benchmark"))
     marked = _table(spark, folder, "documents").select("doc_id", hits.alias("hits"))
@@ -128,6 +133,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_importance": op2_importance,
     "op3_simhash": op3_simhash,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
