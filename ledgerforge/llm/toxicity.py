@@ -42,7 +42,7 @@ STEM_WORDS = 5  # and is followed by at least so many endings, none with most of
 THRESHOLD = 0.3
 WINDOW = 6  # tokens on either side of a hit
 MOST_WEIGHT = 12.0
-EDIT_SHARE = (1.0, 0.6, 0.45)  # of a term's weight, by edits
+EDIT_COST = (0.0, 4.0, 6.0)  # taken from a term's weight, by edits: weak terms must be exact
 
 # Quotation marks, reporting words and forms of address in the four languages.
 OPENING, CLOSING = "\"'«“„‘‹", "\"'»”“’›"
@@ -161,7 +161,8 @@ class _Judge(dict):
             if found and not (found[0] and form in self.model.ordinary):
                 edits, term = found
                 weight = self.model.weights.get(term) or self.model.weights[term + "*"]
-                best = max(best or 0.0, weight * EDIT_SHARE[edits])
+                if weight > EDIT_COST[edits]:
+                    best = max(best or 0.0, weight - EDIT_COST[edits])
         self[token] = best
         return best
 
@@ -190,36 +191,39 @@ def context_share(tokens: list[str], at: int) -> float:
 
 
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (text, toxic) -> word, clean documents that use it, or the place of one toxic use.
+    """Documents (text, toxic) -> term, clean documents that use it, or the place of one toxic use.
 
-    The place is a hash of the word and its neighbours, the smallest in the document, so that
-    copies of a toxic document are one piece of evidence against its words and not many.
+    A place is a hash of a word and its neighbours, the smallest in the document, so that a
+    document counts once, and copies of a toxic document are one piece of evidence and not
+    many. Toxic documents report their stems as well.
     """
     clean, toxic = Counter(), []
 
     def emptied() -> pa.RecordBatch:
-        words = [*clean, *(word for word, _ in toxic)]
-        counts = [*clean.values(), *(0 for _ in toxic)]
-        places = [*(None for _ in clean), *(place for _, place in toxic)]
+        columns = [
+            pa.array([*clean, *(term for term, _, _ in toxic)], pa.string()),
+            pa.array([*(False for _ in clean), *(stem for _, stem, _ in toxic)], pa.bool_()),
+            pa.array([*clean.values(), *(0 for _ in toxic)], pa.int64()),
+            pa.array([*(None for _ in clean), *(place for _, _, place in toxic)], pa.int64()),
+        ]
         clean.clear()
         toxic.clear()
-        columns = [pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(places, pa.int64())]
-        return pa.record_batch(columns, names=["word", "clean", "place"])
+        return pa.record_batch(columns, names=["term", "stem", "clean", "place"])
 
     for batch in batches:
         for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
             words = [EDGES.sub("", token) for token in (text.as_py() or "").lower().split()]
             if not label:
                 clean.update(set(words) - {""})
-                continue
-            places: dict[str, int] = {}
-            for before, word, after in zip(["", *words], words, [*words[1:], ""]):
-                place = xxhash.xxh64_intdigest(f"{before} {word} {after}") >> 1
-                places[word] = min(place, places.get(word, place))
-            places.pop("", None)
-            toxic.extend(places.items())
-        if len(clean) + len(toxic) > CACHE_WORDS:
-            yield emptied()
+            else:
+                places: dict[tuple[str, bool], int] = {}
+                for before, word, after in zip(["", *words], words, [*words[1:], ""]):
+                    place = xxhash.xxh64_intdigest(f"{before} {word} {after}") >> 1
+                    for term in [(word, False), *((word[:n], True) for n in range(STEM_LETTERS, len(word) + 1))]:
+                        places[term] = min(place, places.get(term, place))
+                toxic.extend((term, stem, place) for (term, stem), place in places.items() if term)
+            if len(clean) + len(toxic) > CACHE_WORDS:
+                yield emptied()
     yield emptied()
 
 
@@ -262,29 +266,29 @@ def train(
     What reaches the driver is bounded: at most LEXICON_TERMS candidates of each kind, the words
     of the bounded sample close to them, and two sums. Without toxic examples the lexicon is empty.
     """
-    sample = labelled_sample(docs, labels, sample_rows, doc_id=doc_id, text=text)
+    staging = Staging(docs.sparkSession, "toxicity")
+    sample = staging.keep(labelled_sample(docs, labels, sample_rows, doc_id=doc_id, text=text), "sample")
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     base = (toxic + 1) / (clean + toxic + 20)
-    words = (
-        sample.mapInArrow(_document_words, "word string, clean bigint, place bigint")
-        .groupBy("word")
+    terms = (
+        sample.mapInArrow(_document_words, "term string, stem boolean, clean bigint, place bigint")
+        .groupBy("term", "stem")
         .agg(F.sum("clean").alias("clean"), F.count_distinct("place").alias("toxic"))
     )
-    words = Staging(docs.sparkSession, "toxicity").keep(words, "words")
+    terms = staging.keep(terms, "terms")
+    words = terms.filter("not stem").drop("stem")
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    lengths = F.sequence(F.lit(STEM_LETTERS), F.greatest(F.lit(STEM_LETTERS), F.char_length("word")))
-    stems = (
-        words.withColumn("term", F.explode(F.transform(lengths, lambda n: F.substring("word", F.lit(1), n))))
-        .filter(F.char_length("term") >= STEM_LETTERS)
+    # Clean uses of a stem are summed over its words: too many rather than too few.
+    lengths = F.sequence(F.lit(STEM_LETTERS), F.greatest(F.lit(STEM_LETTERS), F.char_length("term")))
+    endings = (
+        words.withColumn("term", F.explode(F.transform(lengths, lambda n: F.substring("term", F.lit(1), n))))
         .groupBy("term")
-        .agg(
-            F.sum("clean").alias("clean"),
-            F.sum("toxic").alias("toxic"),
-            F.count("*").alias("endings"),
-            F.max("toxic").alias("largest"),
-        )
-        .filter((F.col("endings") >= STEM_WORDS) & (2 * F.col("largest") <= F.col("toxic")))
+        .agg(F.sum("clean").alias("clean"), F.count("*").alias("endings"), F.max("toxic").alias("largest"))
+        .filter(F.col("endings") >= STEM_WORDS)
+    )
+    stems = (
+        terms.filter("stem").select("term", "toxic").join(endings, "term").filter(2 * F.col("largest") <= F.col("toxic"))
     )
 
     def strongest(terms: DataFrame, stem: bool) -> list:
@@ -295,7 +299,7 @@ def train(
         )
         return strong.orderBy(F.desc("weight"), "term").limit(LEXICON_TERMS).collect()
 
-    weights = _choose_terms(strongest(words.withColumnRenamed("word", "term"), False) + strongest(stems, True))
+    weights = _choose_terms(strongest(words, False) + strongest(stems, True))
     model = ToxicityModel(weights, base, base)
     automaton = model.automaton()
 
@@ -304,8 +308,8 @@ def train(
         found = (automaton.match(word) for word in column.to_pylist())
         return pa.array([bool(hit and hit[0]) for hit in found], pa.bool_())
 
-    ordinary = words.filter("clean > 0").filter(misspelled("word")).select("word").collect()
-    model.ordinary = frozenset(r.word for r in ordinary)
+    ordinary = words.filter("clean > 0").filter(misspelled("term")).select("term").collect()
+    model.ordinary = frozenset(r.term for r in ordinary)
     hits = sample.select("toxic", toxicity(F.col("text"), model).alias("score"))
     quiet = hits.filter(F.col("score") == base).agg(F.sum("toxic"), F.count("*")).first()
     model.quiet_rate = ((quiet[0] or 0) + 0.5) / (quiet[1] + 20)
