@@ -1,4 +1,7 @@
-"""Named metrics of the Gold tables."""
+"""Named metrics of the Gold tables.
+
+Sums over whole tables are decimals of 38 digits: the sum of a long column may leave the long range.
+"""
 
 from __future__ import annotations
 
@@ -11,25 +14,25 @@ from pyspark.sql import functions as F
 METRICS = {
     "transactions": {
         "transaction_count": "count(*)",
-        "total_fee_sats": "sum(fee_sats)",
+        "total_fee_sats": "sum(cast(fee_sats AS decimal(28,0)))",
         "average_fee_sats": "avg(fee_sats)",
         "average_fee_rate_sats_per_byte": "avg(fee_rate_sats_per_byte)",
-        "total_output_sats": "sum(total_output_sats)",
+        "total_output_sats": "sum(cast(total_output_sats AS decimal(28,0)))",
     },
     "outputs": {
         "output_count": "count(*)",
-        "total_output_sats": "sum(value_sats)",
+        "total_output_sats": "sum(cast(value_sats AS decimal(28,0)))",
         "spend_discrepancy_count": "count_if(spend_discrepancy)",
         "canonical_spent_count": "count_if(canonical_spent)",
     },
     "inputs": {
         "input_count": "count(*)",
-        "total_input_sats": "sum(value_sats)",
+        "total_input_sats": "sum(cast(value_sats AS decimal(28,0)))",
         "double_spend_count": "count_if(double_spend_detected)",
     },
     "blocks": {
         "block_count": "count(*)",
-        "total_fee_sats": "sum(total_fee_sats)",
+        "total_fee_sats": "sum(cast(total_fee_sats AS decimal(28,0)))",
         "observed_transaction_count": "sum(observed_transaction_count)",
         "average_difficulty": "avg(difficulty)",
     },
@@ -46,9 +49,14 @@ def metric(table: str, name: str) -> Column:
     return F.expr(METRICS[table][name]).alias(name)
 
 
+def exact_sum(column: str) -> Column:
+    """Sum of a whole-number column as decimal(38,0)."""
+    return F.sum(F.col(column).cast("decimal(28,0)"))
+
+
 def summed(column: str) -> Column:
     """Ad-hoc metric: the sum of any column."""
-    return F.sum(column).alias(f"sum_{column}")
+    return exact_sum(column).alias(f"sum_{column}")
 
 
 def measure(

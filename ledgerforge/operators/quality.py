@@ -2,8 +2,9 @@
 
 Set checks (missing references, id collisions, total mismatches) are decided once per key.
 Each yields a frame of problem keys with error codes; rows are then separated from it. Keys
-are pre-aggregated, so a key with very many rows costs one row per task, and the wide rows
-are not shuffled at all while the list of problems stays below the broadcast threshold.
+are pre-aggregated, so a key with very many rows costs one row per task. Where the list of
+problems was written first, both sides of the join are plain exchanges and adaptive execution
+splits a hot key; whether a short list is broadcast instead is the planner's choice.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerforge.operators.skew import broadcastable, lookup
-
 ERRORS = "validation_errors"
 
 
@@ -55,12 +54,6 @@ def validate(df: DataFrame, rules: Sequence[Rule], error_column: str = ERRORS) -
     return df.withColumn(error_column, _codes(rules))
 
 
-def validate_clean(df: DataFrame, rules: Sequence[Rule], error_column: str = ERRORS) -> DataFrame:
-    """Apply further rules to the rows that have no errors yet."""
-    clean = F.coalesce(F.size(error_column), F.lit(0)) == 0
-    return df.withColumn(error_column, F.when(clean, _codes(rules)).otherwise(F.col(error_column)))
-
-
 def split(df: DataFrame, error_column: str = ERRORS) -> tuple[DataFrame, DataFrame]:
     """(rows without errors, rows with errors); a NULL error array counts as no errors."""
     failed = F.coalesce(F.size(error_column), F.lit(0)) > 0
@@ -72,19 +65,27 @@ def _any_fails(rules: Sequence[Rule]) -> Column:
 
 
 def quarantine(
-    df: DataFrame, *steps: Sequence[Rule], error_column: str = ERRORS
+    df: DataFrame,
+    *steps: Sequence[Rule],
+    error_column: str = ERRORS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """validate and split in one: (passing rows, failing rows with codes).
 
     Later steps judge only rows that pass the earlier ones. Passing rows, nearly all of them,
-    meet one generated boolean condition; the code array is built for failing rows only.
+    meet one generated boolean condition; the code array is built for failing rows only. With
+    `keep` (which writes a frame and reads it back) `df` is read once for both sides.
     """
     conditions = [_any_fails(rules) for rules in steps]
     failed = reduce(lambda a, b: a | b, conditions)
     codes = _codes(steps[-1])
     for condition, rules in reversed(list(zip(conditions[:-1], steps[:-1]))):
         codes = F.when(condition, _codes(rules)).otherwise(codes)
-    return df.filter(~failed), df.filter(failed).withColumn(error_column, codes)
+    if keep is None:
+        return df.filter(~failed), df.filter(failed).withColumn(error_column, codes)
+    marked = keep(df.withColumn(error_column, F.when(failed, codes)))
+    passed = F.col(error_column).isNull()
+    return marked.filter(passed).drop(error_column), marked.filter(~passed)
 
 
 def missing_references(
@@ -100,12 +101,18 @@ def missing_references(
 def id_collisions(
     df: DataFrame, id_column: str, key_columns: Sequence[str], code: str
 ) -> DataFrame:
-    """Problem ids: one id used for more than one key. Repeats of the same key are fine."""
-    key = F.struct(*key_columns)
+    """Problem ids: one id used for more than one key. Repeats of the same key are fine.
+
+    Keys are compared by two 64-bit hashes (which also cover which columns are NULL), whose
+    extremes are longs and so aggregate by hash, before the shuffle, without a sort.
+    """
+    parts = [*map(F.col, key_columns), *(F.col(name).isNull() for name in key_columns)]
+    hashes = {"a": F.xxhash64(*parts), "b": F.xxhash64(F.lit(code), *parts)}
+    bounds = [f(key).alias(f"{f.__name__}_{name}") for name, key in hashes.items() for f in (F.min, F.max)]
     return (
         df.groupBy(id_column)
-        .agg(F.min(key).alias("low"), F.max(key).alias("high"))
-        .filter("low <> high")
+        .agg(*bounds)
+        .filter("min_a <> max_a OR min_b <> max_b")
         .select(id_column, F.array(F.lit(code)).alias(ERRORS))
     )
 
@@ -154,33 +161,16 @@ def total_problems(
 
 
 def separate(
-    df: DataFrame,
-    problems: DataFrame,
-    on: Sequence[str],
-    error_column: str = ERRORS,
-    keep: Callable[[DataFrame], DataFrame] | None = None,
+    df: DataFrame, problems: DataFrame, on: Sequence[str], error_column: str = ERRORS
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key has no problem, rows with one); the problem's codes replace the errors.
-
-    A short list of problems is broadcast to both sides and no row of df is shuffled. For a
-    long one, `keep` (which stages a frame) makes both sides share a single join.
-    """
+    """(rows whose key has no problem, rows with one); the problem's codes replace the errors."""
     codes = problems.select(*on, F.col(ERRORS).alias("_codes"))
-    columns = _with(df.columns, error_column)
-    if keep is None or broadcastable(problems):
-        kept = lookup(df, problems.select(*on), on, "left_anti")
-        failed = lookup(df, codes, on, "inner")
-    else:
-        marked = keep(lookup(df, codes, on, "left"))
-        kept, failed = marked.filter("_codes IS NULL"), marked.filter("_codes IS NOT NULL")
-    failed = failed.withColumn(error_column, F.col("_codes"))
+    columns = [*df.columns] if error_column in df.columns else [*df.columns, error_column]
+    kept = df.join(problems.select(*on), list(on), "left_anti")
+    failed = df.join(codes, list(on), "inner").withColumn(error_column, F.col("_codes"))
     return kept.select(*df.columns), failed.select(*columns)
 
 
-def _with(columns: Sequence[str], extra: str) -> list[str]:
-    return [*columns] if extra in columns else [*columns, extra]
-
-
 def partition_by_reference(
     df: DataFrame,
     references: DataFrame,
@@ -189,12 +179,10 @@ def partition_by_reference(
     error_column: str = ERRORS,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose parent exists, rows rejected because it does not); NULL keys are rejected."""
-    any_null = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
-    kept, failed = separate(
-        df.filter(~any_null), missing_references(df, references, on, code), on, error_column
-    )
-    unkeyed = df.filter(any_null).withColumn(error_column, F.array(F.lit(code)))
-    return kept, failed.unionByName(unkeyed)
+    parents = references.select(*on)
+    kept = df.join(parents, list(on), "left_semi").select(*df.columns)
+    failed = df.join(parents, list(on), "left_anti").select(*df.columns)
+    return kept, failed.withColumn(error_column, F.array(F.lit(code)))
 
 
 def finalize_rejections(

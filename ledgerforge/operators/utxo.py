@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.expressions import is_genesis
-from ledgerforge.operators.skew import lookup
+from ledgerforge.sources.staging import Staging
 
 OUTPUT_KEY = ["tx_hash", "output_index"]
 SPENT_KEY = ["previous_tx_hash", "previous_output_index"]
@@ -19,55 +19,44 @@ AMBIGUOUS = "ambiguous"
 NOT_RECONCILED = "not_reconciled"
 
 
-def _output_targets(outputs: DataFrame, unique: bool) -> DataFrame:
-    """One row per output key, renamed to the reference columns of an input.
+def _verdicts(claims: DataFrame, outputs: DataFrame, unique: bool) -> DataFrame:
+    """One row per claimed output key, renamed to the reference columns of an input.
 
-    Id, address and value are meaningful only where a single output has the key. The
-    aggregate combines copies before the shuffle; it is skipped for outputs that are already
-    unique per key, as the Silver table is.
+    Id, address and value are looked up only where a single output has the key. Counting by key
+    aggregates by hash; it is skipped for outputs that are already unique per key, as the
+    Silver table is.
     """
-    named = [F.col(key).alias(name) for key, name in zip(OUTPUT_KEY, SPENT_KEY)]
+    key = [F.col(key).alias(name) for key, name in zip(OUTPUT_KEY, SPENT_KEY)]
     found = {
         "referenced_output_id": "output_id",
         "referenced_address": "address",
         "referenced_value_sats": "value_sats",
     }
+    payload = outputs.select(*key, *[F.col(source).alias(name) for name, source in found.items()])
     if unique:
-        payload = [F.col(source).alias(name) for name, source in found.items()]
-        one = F.lit(1).cast("long").alias("matching_output_count")
-        return outputs.select(*named, one, *payload)
-    single = F.col("matching_output_count") == 1
-    return (
-        outputs.groupBy(*named)
-        .agg(
-            F.count("*").alias("matching_output_count"),
-            F.first(F.struct(*found.values())).alias("any_output"),
-        )
-        .select(
-            *SPENT_KEY,
-            "matching_output_count",
-            *[
-                F.when(single, F.col(f"any_output.{source}")).alias(name)
-                for name, source in found.items()
-            ],
-        )
-    )
+        return claims.join(payload.withColumn("matching_output_count", F.lit(1).cast("long")), SPENT_KEY)
+    counts = outputs.groupBy(*key).agg(F.count("*").alias("matching_output_count"))
+    counted = claims.join(counts, SPENT_KEY).withColumn("_one", F.col("matching_output_count") == 1)
+    return counted.join(payload.withColumn("_one", F.lit(True)), [*SPENT_KEY, "_one"], "left").drop("_one")
 
 
 def resolve_inputs(
-    inputs: DataFrame, outputs: DataFrame, *, unique_outputs: bool = False
+    inputs: DataFrame, outputs: DataFrame, *, unique_outputs: bool = False, stage: Staging | None = None
 ) -> DataFrame:
     """Add to every input what it spends, whether that matches, and whether others spend it too.
 
     Resolution is decided once per referenced key (claims joined with outputs, both unique per
     key) and then looked up for the input rows. Genesis inputs and inputs without a reference
     bypass the join, where they would all share one key. A key is double spent when more than
-    one input resolves to it; every claimant is flagged.
+    one input resolves to it; every claimant is flagged. With `stage` the decisions are written
+    first, so that adaptive execution can split a key that very many inputs refer to.
     """
     referencing = F.col("previous_tx_hash").isNotNull() & ~is_genesis()
     candidates = inputs.filter(referencing)
     claims = candidates.groupBy(*SPENT_KEY).agg(F.count("*").alias("claim_count"))
-    verdicts = claims.join(_output_targets(outputs, unique_outputs), SPENT_KEY, "inner")
+    verdicts = _verdicts(claims, outputs, unique_outputs)
+    if stage:
+        verdicts = stage.keep(verdicts, "verdicts")
 
     resolved = F.col("resolution_status") == RESOLVED
     matched = F.col("matching_output_count")
@@ -75,7 +64,7 @@ def resolve_inputs(
         F.when(matched.isNull(), UNRESOLVED).when(matched > 1, AMBIGUOUS).otherwise(RESOLVED)
     )
     looked_up = (
-        lookup(candidates, verdicts, SPENT_KEY, "left")
+        candidates.join(verdicts, SPENT_KEY, "left")
         .withColumn("resolution_status", status)
         .select(
             *inputs.columns,
@@ -119,7 +108,7 @@ def enrich_outputs(outputs: DataFrame, reconciliation: DataFrame) -> DataFrame:
     )
     renamed = outputs.withColumnRenamed("spent", "source_spent")
     return (
-        lookup(renamed, observed, OUTPUT_KEY, "left")
+        renamed.join(observed, OUTPUT_KEY, "left")
         .withColumn("observed_spent", F.coalesce("observed_spent", F.lit(False)))
         .withColumn("canonical_spent", F.col("observed_spent"))
         .withColumn(
@@ -135,15 +124,13 @@ def check_chain_links(blocks: DataFrame) -> DataFrame:
     with that hash) or gap (the height below has no block). Two equi-joins instead of a
     window over all heights, which would need every block in one task.
     """
-    below = blocks.select(
-        (F.col("block_height") + 1).alias("block_height"),
-        F.col("block_hash").alias("previous_block_hash"),
-    )
+    next_height = F.col("block_height").cast("bigint") + 1
+    below = blocks.select(next_height.alias("_height"), F.col("block_hash").alias("previous_block_hash"))
     hashes = below.distinct().withColumn("hash_below", F.lit(True))
-    heights = below.select("block_height").distinct().withColumn("height_below", F.lit(True))
+    heights = below.select("_height").distinct().withColumn("height_below", F.lit(True))
     lowest = blocks.select(F.min("block_height")).scalar()
-    joined = lookup(blocks, hashes, ["block_height", "previous_block_hash"], "left")
-    joined = lookup(joined, heights, ["block_height"], "left", counted=blocks)
+    joined = blocks.withColumn("_height", F.col("block_height").cast("bigint"))
+    joined = joined.join(hashes, ["_height", "previous_block_hash"], "left").join(heights, "_height", "left")
     return joined.select(
         *blocks.columns,
         F.when(F.col("block_height") == lowest, "first")

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from ledgerforge.functions.metrics import DATE_COLUMNS
 from ledgerforge.operators.quality import ERRORS, check_conservation
-from ledgerforge.operators.skew import input_bytes
 from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
 from ledgerforge.plans import gold, silver
-from ledgerforge.session import ensure_namespaces, sized_shuffles, table_name
-from ledgerforge.sources.delivery import add_lineage, delivery_files, read_delivery
+from ledgerforge.session import ensure_namespaces, session_settings, shuffle_settings, table_name
+from ledgerforge.sources.delivery import add_lineage, delivery_files, file_bytes, read_delivery
 from ledgerforge.sources.schemas import ENTITIES, SCHEMAS
 from ledgerforge.sources.staging import Staging
 from ledgerforge.sources.tables import write_table
@@ -25,13 +24,14 @@ logger = logging.getLogger(__name__)
 
 @dataclass
 class Warehouse:
-    """Layer tables of one catalog, with the time that stamps everything a run writes."""
+    """Layer tables of one catalog, with the instant that stamps everything a run writes.
+
+    The instant carries its zone, so neither the driver's zone nor the session's shifts it.
+    """
 
     spark: SparkSession
     catalog: str | None = None
-    run_at: datetime = field(
-        default_factory=lambda: datetime.now(timezone.utc).replace(tzinfo=None)
-    )
+    run_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     def read(self, layer: str, entity: str) -> DataFrame:
         return self.spark.table(table_name(layer, entity, self.catalog))
@@ -59,20 +59,33 @@ def land_bronze(house: Warehouse, entity: str, path: str, batch_id: str, replace
 
 
 def _publish(house: Warehouse, entity: str, checked: silver.Checked) -> dict[str, int]:
-    """Write both tables and check that no row was lost or multiplied after the latest step.
+    """Write both tables and check that no row was lost or multiplied on the way.
 
-    The counts read footers and the error column of written files: exact, and unlike
+    Bronze = accepted + rejected + duplicates, where duplicates are the rows that the latest step
+    dropped. All counts read footers and the error column of written files: exact, and unlike
     accumulators not affected by retried tasks.
     """
     house.replace("silver", entity, checked.accepted)
     house.replace("silver_rejects", entity, checked.rejected)
     late = F.arrays_overlap(ERRORS, F.array(*map(F.lit, silver.SET_CODES_AFTER_LATEST)))
     rejects = house.read("silver_rejects", entity)
-    total, after_latest = rejects.agg(F.count("*"), F.count_if(late)).first()
-    counts = {"accepted": house.read("silver", entity).count(), "rejected": after_latest}
-    check_conservation(checked.latest.count(), counts, f"silver.{entity}")
-    logger.info("silver.%s accepted=%s rejected=%s", entity, counts["accepted"], total)
-    return {"accepted": counts["accepted"], "rejected": total}
+    rejected, after_latest = rejects.agg(F.count("*"), F.count_if(late)).first()
+    bronze = house.read("bronze", entity).count()
+    candidates, latest = checked.candidates.count(), checked.latest.count()
+    accepted = house.read("silver", entity).count()
+    before_latest = {"candidates": candidates, "rejected before": rejected - after_latest}
+    check_conservation(checked.marked.count(), {"bronze": bronze}, f"the marked rows of {entity}")
+    check_conservation(bronze, before_latest, f"bronze.{entity}")
+    check_conservation(latest, {"accepted": accepted, "rejected after": after_latest}, f"silver.{entity}")
+    counts = {
+        "bronze": bronze,
+        "candidates": candidates,
+        "duplicates": candidates - latest,
+        "accepted": accepted,
+        "rejected": rejected,
+    }
+    logger.info("silver.%s %s", entity, counts)
+    return counts
 
 
 def build_silver(house: Warehouse) -> dict[str, dict[str, int]]:
@@ -91,9 +104,9 @@ def build_silver(house: Warehouse) -> dict[str, dict[str, int]]:
         for entity, job in (("inputs", silver.silver_inputs), ("outputs", silver.silver_outputs)):
             checked = job(house.read("bronze", entity), known, stage, house.run_at)
             report[entity] = _publish(house, entity, checked)
-    outputs = house.read("silver", "outputs")
-    resolved = resolve_inputs(house.read("silver", "inputs"), outputs, unique_outputs=True)
-    house.replace("silver", "utxo_reconciliation", resolved)
+        outputs = house.read("silver", "outputs")
+        resolved = resolve_inputs(house.read("silver", "inputs"), outputs, unique_outputs=True, stage=stage)
+        house.replace("silver", "utxo_reconciliation", resolved)
     enriched = enrich_outputs(outputs, house.read("silver", "utxo_reconciliation"))
     house.replace("silver", "outputs_enriched", enriched)
     return report
@@ -131,14 +144,18 @@ def run_batch(
     replace_batch: bool = False,
     partition_gold_by_date: bool = False,
 ) -> dict[str, dict[str, int]]:
-    """Land one delivery and rebuild Silver and Gold; returns accepted and rejected counts."""
+    """Land one delivery and rebuild Silver and Gold; returns row counts per entity.
+
+    Texts are parsed and dates derived in UTC, whatever the session's zone.
+    """
     files = delivery_files(spark, raw_root, batch_id)
     ensure_namespaces(spark, catalog)
     house = Warehouse(spark, catalog)
-    for entity in ENTITIES:
-        land_bronze(house, entity, files[entity], batch_id, replace_batch)
-    landed = [input_bytes(house.read("bronze", entity)) or 0 for entity in ENTITIES]
-    with sized_shuffles(spark, sum(landed)):
-        report = build_silver(house)
-        build_gold(house, partition_gold_by_date)
+    with session_settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+        for entity in ENTITIES:
+            land_bronze(house, entity, files[entity], batch_id, replace_batch)
+        tables = [house.read("bronze", entity) for entity in ENTITIES]
+        with session_settings(spark, shuffle_settings(spark, sum(map(file_bytes, tables)))):
+            report = build_silver(house)
+            build_gold(house, partition_gold_by_date)
     return report

@@ -16,7 +16,6 @@ from ledgerforge.operators.quality import (
     total_problems,
     validate,
 )
-from ledgerforge.operators.skew import lookup
 from ledgerforge.plans.sample_ledger import SampleLedger
 from ledgerforge.sources.delivery import csv_to_parquet
 from ledgerforge.sources.staging import Staging
@@ -97,7 +96,7 @@ def window_total(spark, folder) -> DataFrame:
         "o_orderkey", "o_custkey", cents("o_totalprice").alias("price_cents")
     )
     totals = orders.groupBy("o_custkey").agg(F.sum("price_cents").alias("customer_total_cents"))
-    return lookup(orders, totals, ["o_custkey"], "left")
+    return orders.join(totals, "o_custkey", "left")
 
 
 def top_orders_per_customer(spark, folder) -> DataFrame:
@@ -127,6 +126,12 @@ def union_by_name(spark, folder) -> DataFrame:
     return customers.unionByName(suppliers)
 
 
+def union_by_position(spark, folder) -> DataFrame:
+    """Columns of the second side follow the order of the first, whatever their names."""
+    regions = read(spark, folder, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
+    return regions.union(read(spark, folder, "nation").select("n_nationkey", "n_name"))
+
+
 def distinct_pairs(spark, folder) -> DataFrame:
     return read(spark, folder, "lineitem").select("l_partkey", "l_suppkey").distinct()
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.expressions import days_between, fee_rate, is_genesis
-from ledgerforge.operators.skew import lookup
 from ledgerforge.operators.utxo import NOT_RECONCILED, OUTPUT_KEY, RESOLVED, SPENT_KEY
 
+# What a reconciliation row adds to its input.
 RECONCILED_FIELDS = [
     "resolution_status",
     "referenced_tx_hash",
@@ -97,14 +97,11 @@ def age_inputs(reconciled: DataFrame, transactions: DataFrame) -> DataFrame:
         "resolution_status": F.coalesce("resolution_status", F.lit(NOT_RECONCILED)),
         "double_spend_detected": F.coalesce("double_spend_detected", F.lit(False)),
     }
-    timed = lookup(reconciled, spending, ["tx_hash"], "left")
+    timed = reconciled.join(spending, "tx_hash", "left").select(*reconciled.columns, *spending.columns[1:])
     # Inputs without a reference would share the NULL key, so they bypass the second join.
-    referencing = lookup(
-        timed.filter("referenced_tx_hash IS NOT NULL"),
-        referenced,
-        ["referenced_tx_hash"],
-        "left",
-        counted=reconciled.filter("referenced_tx_hash IS NOT NULL"),
+    known = timed.filter("referenced_tx_hash IS NOT NULL")
+    referencing = known.join(referenced, "referenced_tx_hash", "left").select(
+        *known.columns, "referenced_transaction_timestamp"
     )
     unreferenced = timed.filter("referenced_tx_hash IS NULL").withColumn(
         "referenced_transaction_timestamp", F.lit(None).cast("timestamp")
@@ -135,7 +132,7 @@ def timed_spends(reconciliation: DataFrame, transactions: DataFrame) -> DataFram
     spending = transactions.select("tx_hash", F.col("timestamp").alias("spending_timestamp"))
     resolved = reconciliation.filter(F.col("resolution_status") == RESOLVED)
     columns = resolved.select("tx_hash", *SPENT_KEY, "resolution_status")
-    return lookup(columns, spending, ["tx_hash"], "left")
+    return columns.join(spending, "tx_hash", "left")
 
 
 def gold_outputs(
@@ -156,9 +153,9 @@ def gold_outputs(
         F.col("block_hash").alias("creating_block_hash"),
         F.col("timestamp").alias("created_timestamp"),
     )
-    spent = lookup(enriched, activity, OUTPUT_KEY, "left")
     return (
-        lookup(spent, creating, ["tx_hash"], "left", counted=enriched)
+        enriched.join(activity, OUTPUT_KEY, "left")
+        .join(creating, "tx_hash", "left")
         .fillna(0, ["observed_spend_count"])
         .withColumns(
             {

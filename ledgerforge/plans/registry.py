@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerforge.functions.metrics import measure
 from ledgerforge.operators.quality import quarantine
 from ledgerforge.operators.utxo import check_chain_links, resolve_inputs
-from ledgerforge.plans import exercises, reports, silver
+from ledgerforge.plans import exercises, gold, reports, silver
 from ledgerforge.plans.corruption import inject_corruption
 from ledgerforge.plans.rules import INPUT_RULES, OUTPUT_RULES
 from ledgerforge.plans.sample_ledger import SampleLedger
@@ -61,22 +62,6 @@ def _raw_reconciliation(ledger: SampleLedger) -> DataFrame:
     return resolve_inputs(inputs, outputs)
 
 
-def _kpis(ledger: SampleLedger) -> DataFrame:
-    """The four headline numbers, one row each."""
-    tx = ledger.stage.keep(ledger.gold_transactions, "gold_transactions")
-    headline = {
-        "transaction_count": reports.total_transactions(tx),
-        "total_fee_sats": reports.total_fees(tx),
-        "average_fee_rate_sats_per_byte": reports.average_fee_rate(tx),
-        "block_count": reports.blocks_processed(ledger.gold_blocks),
-    }
-    rows = [
-        df.select(F.lit(name).alias("kpi"), F.round(F.col(name).cast("double"), 6).alias("value"))
-        for name, df in headline.items()
-    ]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
-
-
 def _kpis_in_range(ledger: SampleLedger) -> DataFrame:
     """The date-range slot of the reports: metrics of one half year."""
     half_year = {"start": "1996-01-01", "end": "1996-07-01"}
@@ -95,14 +80,26 @@ def _double_spends(ledger: SampleLedger) -> DataFrame:
     )
 
 
-def _bronze_roundtrip(ledger: SampleLedger) -> DataFrame:
-    """Outputs delivered as CSV and read back with the delivery schema and lineage."""
-    delivered = ledger.bronze_outputs.select(*SCHEMAS["outputs"].names)
-    path = f"{ledger.stage.folder}/delivery/outputs.csv"
-    quoting = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    delivered.write.options(**quoting).csv(path)
-    landed = add_lineage(read_delivery(ledger.spark, path, SCHEMAS["outputs"]), "1995-01-01")
-    return landed.drop("ingested_at", "source_file")
+BATCH = "1995-01-01"
+
+
+def _landed(entity: str) -> Callable[[SampleLedger], DataFrame]:
+    """An entity written as a CSV delivery and landed from it, with its batch and the file's base name."""
+
+    def land(ledger: SampleLedger) -> DataFrame:
+        delivered = ledger.bronze[entity].select(*SCHEMAS[entity].names)
+        path = f"{ledger.stage.folder}/ingest_{BATCH}/{entity}.csv"
+        quoting = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        delivered.write.options(**quoting).csv(path)
+        landed = add_lineage(read_delivery(ledger.spark, path, SCHEMAS[entity]), BATCH)
+        file = F.regexp_extract("source_file", r"/(\w+\.csv)/[^/]*$", 1)
+        return landed.withColumn("source_file", file).drop("ingested_at")
+
+    return land
+
+
+def _roundtrip(ledger: SampleLedger) -> DataFrame:
+    return _landed("outputs")(ledger).drop("source_file")
 
 
 def _corrupted(ledger: SampleLedger, scenario: str) -> SampleLedger:
@@ -134,8 +131,27 @@ def _corruption_effects(ledger: SampleLedger) -> DataFrame:
     return found.unionByName(states, allowMissingColumns=True)
 
 
+def _gold_inputs_from_tables(ledger: SampleLedger) -> DataFrame:
+    """Gold inputs from Silver inputs and the reconciliation as two tables."""
+    return gold.gold_inputs(ledger.inputs.accepted, ledger.transactions.accepted, ledger.reconciliation)
+
+
+def _conservation(ledger: SampleLedger) -> DataFrame:
+    """Rows of each entity: Bronze = accepted + rejected + duplicates."""
+    rows = []
+    for entity in ENTITIES:
+        checked = getattr(ledger, entity)
+        frames = {"bronze": ledger.bronze[entity], "candidates": checked.candidates, "latest": checked.latest}
+        frames |= {"accepted": checked.accepted, "rejected": checked.rejected}
+        counts = [df.select(F.count("*").alias(name)).scalar().alias(name) for name, df in frames.items()]
+        rows.append(ledger.spark.range(1).select(F.lit(entity).alias("entity"), *counts))
+    counted = reduce(DataFrame.unionByName, rows)
+    return counted.withColumn("duplicates", F.col("candidates") - F.col("latest")).drop("latest")
+
+
 BUSIEST_MINER_DAYS = """
-    SELECT b.miner, t.transaction_date, count(*) AS transaction_count, sum(t.fee_sats) AS total_fee_sats
+    SELECT b.miner, t.transaction_date, count(*) AS transaction_count,
+           sum(cast(t.fee_sats AS decimal(28,0))) AS total_fee_sats
     FROM {transactions} t JOIN {blocks} b ON b.block_hash = t.block_hash
     GROUP BY b.miner, t.transaction_date HAVING count(*) >= 5
 """
@@ -149,8 +165,8 @@ def _sql_over_gold(ledger: SampleLedger) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # Bronze
-    **{f"bronze_{e}": _ledger(lambda ledger, e=e: ledger.bronze[e]) for e in ENTITIES},
-    "bronze_roundtrip": _ledger(_bronze_roundtrip),
+    **{f"bronze_{e}": _ledger(_landed(e)) for e in ENTITIES},
+    "bronze_roundtrip": _ledger(_roundtrip),
     "inferred_csv_copy": _plain(exercises.inferred_csv_copy),
     "table_write_modes": _plain(exercises.table_write_modes),
     # Operators on plain tables
@@ -164,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "top_per_group": _plain(exercises.top_orders_per_customer),
     "top_n": _plain(exercises.top_orders),
     "union_by_name": _plain(exercises.union_by_name),
+    "union_by_position": _plain(exercises.union_by_position),
     "distinct": _plain(exercises.distinct_pairs),
     "chain": _plain(exercises.filter_to_sort_chain),
     # Silver
@@ -172,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "silver_inputs": _ledger(lambda ledger: ledger.inputs.accepted),
     "silver_outputs": _ledger(lambda ledger: ledger.outputs.accepted),
     **{f"reject_{e}": _ledger(_rejected(e)) for e in ENTITIES},
+    "silver_conservation": _ledger(_conservation),
     "utxo_reconciliation": _ledger(_raw_reconciliation),
     "utxo_reconciliation_dedup": _ledger(lambda ledger: ledger.reconciliation),
     "double_spends": _ledger(_double_spends),
@@ -181,9 +199,10 @@ QUERIES: dict[str, Query] = {
     "gold_blocks": _ledger(lambda ledger: ledger.gold_blocks),
     "gold_transactions": _ledger(lambda ledger: ledger.gold_transactions),
     "gold_inputs": _ledger(lambda ledger: ledger.gold_inputs),
+    "gold_inputs_from_tables": _ledger(_gold_inputs_from_tables),
     "gold_outputs": _ledger(lambda ledger: ledger.gold_outputs),
     # Reports
-    "q_kpis": _ledger(_kpis),
+    "q_kpis": _ledger(lambda ledger: reports.headline(ledger.gold_transactions, ledger.gold_blocks)),
     "q_fee_rate_histogram": _ledger(
         lambda ledger: reports.fee_rate_histogram(
             ledger.stage.keep(ledger.gold_transactions, "gold_transactions")

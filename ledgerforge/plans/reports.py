@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.expressions import short_hash, transaction_shape, within_dates
-from ledgerforge.functions.metrics import DATE_COLUMNS, measure, metric, summed
+from ledgerforge.functions.metrics import DATE_COLUMNS, exact_sum, measure, metric, summed
 from ledgerforge.operators.quality import ERRORS
 
 
@@ -37,6 +37,15 @@ def blocks_processed(blocks: DataFrame, start=None, end=None) -> DataFrame:
     return measure(_dated(blocks, "blocks", start, end), "blocks", ["block_count"])
 
 
+def headline(transactions: DataFrame, blocks: DataFrame, start=None, end=None) -> DataFrame:
+    """The four headline numbers in one row, each in its own type."""
+    names = ["transaction_count", "total_fee_sats", "average_fee_rate_sats_per_byte"]
+    dated = _dated(transactions, "transactions", start, end)
+    return measure(dated, "transactions", names).withColumn(
+        "block_count", blocks_processed(blocks, start, end).scalar()
+    )
+
+
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts in equal-width bins between the smallest and largest value; the last is closed.
 
@@ -101,7 +110,7 @@ def output_reconciliation_summary(outputs: DataFrame, start=None, end=None) -> D
     return (
         _dated(outputs, "outputs", start, end)
         .groupBy("canonical_spent", "spend_discrepancy")
-        .agg(F.count("*").alias("output_count"), F.sum("value_sats").alias("total_value_sats"))
+        .agg(F.count("*").alias("output_count"), exact_sum("value_sats").alias("total_value_sats"))
     )
 
 
@@ -111,7 +120,7 @@ def resolution_summary(inputs: DataFrame, start=None, end=None) -> DataFrame:
         .groupBy("resolution_status", "is_genesis_input")
         .agg(
             F.count("*").alias("input_count"),
-            F.sum("value_sats").alias("total_value_sats"),
+            exact_sum("value_sats").alias("total_value_sats"),
             metric("inputs", "double_spend_count"),
         )
     )

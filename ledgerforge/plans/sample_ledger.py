@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerforge.operators.latest import keep_latest
-from ledgerforge.operators.skew import lookup
 from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
 from ledgerforge.plans import gold, silver
 from ledgerforge.sources.schemas import ENTITIES, LINEAGE, SCHEMAS
@@ -207,9 +206,7 @@ class SampleLedger:
 
     @cached_property
     def bronze_inputs(self) -> DataFrame:
-        spent_lines = lookup(
-            self.lines.withColumnRenamed("k", "prev"), self.spends, ["prev"], "inner"
-        )
+        spent_lines = self.lines.withColumnRenamed("k", "prev").join(self.spends, "prev")
         has_lines = self.line_totals.selectExpr("k AS prev")
         no_lines = self.spends.join(has_lines, "prev", "left_anti").selectExpr(
             "*",
@@ -324,7 +321,7 @@ class SampleLedger:
     @cached_property
     def reconciliation(self) -> DataFrame:
         resolved = resolve_inputs(
-            self.inputs.accepted, self.outputs.accepted, unique_outputs=True
+            self.inputs.accepted, self.outputs.accepted, unique_outputs=True, stage=self.stage
         )
         return self.stage.keep(resolved, "reconciliation")
 

@@ -1,8 +1,8 @@
 """Silver jobs: Bronze frames in, accepted and rejected frames out.
 
-Each job shuffles its wide rows once, to find the latest record per key, and stages that
-result. Everything after it works on staged columns: set checks are decided per key, and the
-staged rows are separated by the (staged, usually short) list of problem keys.
+Each job reads Bronze once, into a written frame that marks the rows that fail a rule. It shuffles
+its wide rows once, to find the latest record per key, and writes that result. Set checks are
+decided per key, and the written rows are separated by the written list of problem keys.
 """
 
 from __future__ import annotations
@@ -53,11 +53,14 @@ SET_CODES_AFTER_LATEST = (
 
 @dataclass(frozen=True)
 class Checked:
-    """`latest` is what the set checks ran on: accepted plus the rows they rejected."""
+    """`marked` holds every Bronze row, `candidates` the rows that entered the latest step and `latest`
+    those that left it: accepted plus the rows that later set checks rejected."""
 
     accepted: DataFrame
     rejected: DataFrame
     latest: DataFrame
+    candidates: DataFrame
+    marked: DataFrame
 
 
 def canonical_inputs(df: DataFrame) -> DataFrame:
@@ -101,8 +104,18 @@ def validate_outputs(df: DataFrame) -> DataFrame:
 def _separate(
     rows: DataFrame, problems: DataFrame, on: str, name: str, stage: Staging
 ) -> tuple[DataFrame, DataFrame]:
-    problems = stage.keep(problems, name)
-    return separate(rows, problems, [on], keep=lambda df: stage.keep(df, f"{name}_marked"))
+    return separate(rows, stage.keep(problems, name), [on])
+
+
+def _judge(df: DataFrame, entity: str, stage: Staging, *steps) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(passing rows, failing rows, all of them marked) from one read of Bronze."""
+    marked = []
+
+    def keep(rows: DataFrame) -> DataFrame:
+        marked.append(stage.keep(rows, f"marked_{entity}"))
+        return marked[0]
+
+    return *quarantine(df, *steps, keep=keep), marked[0]
 
 
 def _newest(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
@@ -110,7 +123,7 @@ def _newest(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
 
 
 def silver_blocks(bronze: DataFrame, stage: Staging, rejected_at: datetime | None = None) -> Checked:
-    valid, rejected = quarantine(bronze, BLOCK_RULES)
+    valid, rejected, marked = _judge(bronze, "blocks", stage, BLOCK_RULES)
     named = valid.withColumn("miner", F.lower(F.trim("miner")))
     latest = _newest(named, "blocks", NEWEST[:2])
     accepted = latest.withColumns(
@@ -122,19 +135,20 @@ def silver_blocks(bronze: DataFrame, stage: Staging, rejected_at: datetime | Non
         }
     )
     accepted = stage.keep(accepted, "silver_blocks")
-    return Checked(accepted, finalize_rejections(rejected, rejected_at=rejected_at), accepted)
+    rejects = finalize_rejections(rejected, rejected_at=rejected_at)
+    return Checked(accepted, rejects, accepted, valid, marked)
 
 
 def silver_transactions(
     bronze: DataFrame, blocks: DataFrame, stage: Staging, rejected_at: datetime | None = None
 ) -> Checked:
     rows = canonical_transactions(bronze)
-    valid, rejected = quarantine(rows, TRANSACTION_RULES, ACCOUNTING_RULES)
+    valid, rejected, marked = _judge(rows, "transactions", stage, TRANSACTION_RULES, ACCOUNTING_RULES)
     latest = stage.keep(_newest(valid, "transactions", NEWEST), "latest_transactions")
     unknown = missing_references(latest, blocks, ["block_hash"], BLOCK_NOT_FOUND)
     accepted, orphans = _separate(latest, unknown, "block_hash", "unknown_blocks", stage)
     rejects = finalize_rejections(rejected, orphans, rejected_at=rejected_at)
-    return Checked(accepted, rejects, latest)
+    return Checked(accepted, rejects, latest, valid, marked)
 
 
 def _against_transactions(
@@ -157,19 +171,20 @@ def _against_transactions(
 def silver_inputs(
     bronze: DataFrame, transactions: DataFrame, stage: Staging, rejected_at: datetime | None = None
 ) -> Checked:
-    valid, rejected = quarantine(canonical_inputs(bronze), INPUT_RULES)
+    valid, rejected, marked = _judge(canonical_inputs(bronze), "inputs", stage, INPUT_RULES)
     latest = stage.keep(_newest(valid, "inputs", NEWEST), "latest_inputs")
     accepted, failed = _against_transactions(latest, transactions, "input", stage)
-    return Checked(accepted, finalize_rejections(rejected, failed, rejected_at=rejected_at), latest)
+    rejects = finalize_rejections(rejected, failed, rejected_at=rejected_at)
+    return Checked(accepted, rejects, latest, valid, marked)
 
 
 def silver_outputs(
     bronze: DataFrame, transactions: DataFrame, stage: Staging, rejected_at: datetime | None = None
 ) -> Checked:
-    valid, rejected = quarantine(canonical_outputs(bronze), OUTPUT_RULES)
+    valid, rejected, marked = _judge(canonical_outputs(bronze), "outputs", stage, OUTPUT_RULES)
     collisions = id_collisions(valid, "output_id", KEYS["outputs"], OUTPUT_ID_COLLISION)
     owned, collided = _separate(valid, collisions, "output_id", "output_id_collisions", stage)
     latest = stage.keep(_newest(owned, "outputs", NEWEST), "latest_outputs")
     accepted, failed = _against_transactions(latest, transactions, "output", stage)
     rejects = finalize_rejections(rejected, collided, failed, rejected_at=rejected_at)
-    return Checked(accepted, rejects, latest)
+    return Checked(accepted, rejects, latest, owned, marked)

@@ -18,6 +18,7 @@ SETTING_BY_VARIABLE = {
     "SPARK_EXECUTOR_MEMORY": "spark.executor.memory",
     "SPARK_DRIVER_MEMORY": "spark.driver.memory",
 }
+# The same for the settings of a catalog.
 CATALOG_VARIABLES = {
     "ICEBERG_CATALOG_TYPE": "type",
     "ICEBERG_CATALOG_URI": "uri",
@@ -29,6 +30,7 @@ BASE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -64,30 +66,31 @@ def ledger_session(
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 INPUT_BYTES_PER_PARTITION = 64 << 20
-MOST_PARTITIONS = 100_000
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int):
-    """Start shuffles with enough partitions for the input; adaptive execution merges spare ones.
-
-    A value the caller set, or a larger spark.sql.shuffle.partitions, is left alone.
-    """
-    wanted = min(input_bytes // INPUT_BYTES_PER_PARTITION, MOST_PARTITIONS)
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.conf.get(INITIAL_PARTITIONS, None) is not None or wanted <= usual:
-        yield
-        return
-    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+def session_settings(spark: SparkSession, settings: Mapping[str, str]):
+    """Set session settings for a while and put back what was there."""
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
+def shuffle_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Enough initial shuffle partitions for the input; adaptive execution merges spare ones.
 
-def shuffle_width(spark: SparkSession) -> int:
+    A value the caller set, or a larger spark.sql.shuffle.partitions, is left alone.
+    """
+    wanted = -(-input_bytes // INPUT_BYTES_PER_PARTITION)
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(usual, int(spark.conf.get(INITIAL_PARTITIONS, None) or 0))
+    if spark.conf.get(INITIAL_PARTITIONS, None) is not None or wanted <= usual:
+        return {}
+    return {INITIAL_PARTITIONS: str(wanted)}
 
 
 def table_name(layer: str, entity: str, catalog: str | None = None) -> str:

@@ -75,6 +75,29 @@ def rejects(entity: str) -> str:
     return f"{with_tables(name)}SELECT {', '.join(columns)} FROM {name}"
 
 
+def landed(entity: str) -> str:
+    columns = [c for c in RAW[entity] if c not in ("ingested_at", "source_file", "batch_id")]
+    listed = ", ".join(map(_text, columns))
+    return f"""{with_tables(f"bronze_{entity}")}
+SELECT {listed}, '{entity}.csv' AS source_file, '1995-01-01' AS batch_id FROM bronze_{entity}"""
+
+
+def conservation() -> str:
+    """Every Bronze row is accepted, rejected, or an older delivery of a key that was judged."""
+    late = "'BLOCK_NOT_FOUND', 'TRANSACTION_NOT_FOUND'" + "".join(
+        f", '{side}_{what}_MISMATCH'" for side in ("INPUT", "OUTPUT") for what in ("VALUE_TOTAL", "COUNT")
+    )
+    parts = [
+        f"""SELECT '{e}' AS entity, (SELECT count(*) FROM bronze_{e}) AS bronze,
+  (SELECT count(*) FROM bronze_{e}) - (SELECT count(*) FROM reject_{e} WHERE NOT list_has_any(errors, [{late}])) AS candidates,
+  (SELECT count(*) FROM silver_{e}) AS accepted, (SELECT count(*) FROM reject_{e}) AS rejected"""
+        for e in RAW
+    ]
+    names = [f"{layer}_{e}" for e in RAW for layer in ("bronze", "silver", "reject")]
+    return f"""{with_tables(*names)}
+SELECT *, bronze - accepted - rejected AS duplicates FROM ({' UNION ALL '.join(parts)})"""
+
+
 def over(select: str, *names: str) -> str:
     return with_tables(*names) + select.strip()
 
@@ -208,7 +231,7 @@ FROM mix_silver_outputs o
 CENTS = "CAST(round({0} * 100) AS BIGINT)"
 
 ORACLE_SQL: dict[str, str] = {
-    **{f"bronze_{e}": export(f"bronze_{e}", columns) for e, columns in RAW.items()},
+    **{f"bronze_{e}": landed(e) for e in RAW},
     "bronze_roundtrip": over(
         """
 SELECT output_id, tx_hash, output_index, address, value_sats, spent, '1995-01-01' AS batch_id FROM bronze_outputs""",
@@ -267,6 +290,8 @@ ORDER BY price_cents DESC, o_orderkey LIMIT 20""",
     "union_by_name": """
 SELECT 'customer' AS party, c_nationkey AS nation, c_name AS name FROM customer
 UNION ALL SELECT 'supplier', s_nationkey, s_name FROM supplier""",
+    "union_by_position": """
+SELECT r_regionkey AS key, r_name AS name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation""",
     "distinct": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
     "chain": f"""
 SELECT n_name, segment, balance_cents, customer_count FROM (
@@ -279,6 +304,7 @@ LEFT JOIN nation ON n_nationkey = c_nationkey ORDER BY balance_cents DESC, n_nam
     "silver_inputs": export("silver_inputs", INPUTS),
     "silver_outputs": export("silver_outputs", OUTPUTS),
     **{f"reject_{e}": rejects(e) for e in RAW},
+    "silver_conservation": conservation(),
     "utxo_reconciliation": export("raw_reconciliation", RECONCILIATION),
     "utxo_reconciliation_dedup": export("reconciliation", RECONCILIATION),
     "double_spends": export(
@@ -301,13 +327,13 @@ FROM silver_blocks b""",
     "gold_blocks": export("gold_blocks", GOLD_BLOCKS),
     "gold_transactions": export("gold_transactions", GOLD_TRANSACTIONS),
     "gold_inputs": export("gold_inputs", GOLD_INPUTS),
+    "gold_inputs_from_tables": export("gold_inputs", GOLD_INPUTS),
     "gold_outputs": export("gold_outputs", GOLD_OUTPUTS),
     "q_kpis": over(
         """
-SELECT 'transaction_count' AS kpi, CAST(count(*) AS DOUBLE) AS value FROM gold_transactions
-UNION ALL SELECT 'total_fee_sats', CAST(sum(fee_sats) AS DOUBLE) FROM gold_transactions
-UNION ALL SELECT 'average_fee_rate_sats_per_byte', round(avg(fee_rate_sats_per_byte), 6) FROM gold_transactions
-UNION ALL SELECT 'block_count', CAST(count(*) AS DOUBLE) FROM gold_blocks""",
+SELECT count(*) AS transaction_count, CAST(sum(fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
+       round(avg(fee_rate_sats_per_byte), 6) AS average_fee_rate_sats_per_byte,
+       (SELECT count(*) FROM gold_blocks) AS block_count FROM gold_transactions""",
         "gold_transactions",
         "gold_blocks",
     ),
@@ -322,7 +348,7 @@ GROUP BY bin, lo, hi""",
     ),
     "q_fee_vs_size": over(
         """
-SELECT tx_hash, CAST(sum(size_bytes) AS BIGINT) AS sum_size_bytes, CAST(sum(fee_sats) AS BIGINT) AS sum_fee_sats,
+SELECT tx_hash, CAST(sum(size_bytes) AS DECIMAL(38, 0)) AS sum_size_bytes, CAST(sum(fee_sats) AS DECIMAL(38, 0)) AS sum_fee_sats,
        count(*) AS count
 FROM gold_transactions GROUP BY tx_hash""",
         "gold_transactions",
@@ -344,28 +370,28 @@ FROM gold_transactions ORDER BY fee_sats DESC, tx_hash LIMIT 20""",
     ),
     "q_metrics_transactions": over(
         """
-SELECT count(*) AS transaction_count, CAST(sum(fee_sats) AS BIGINT) AS total_fee_sats,
+SELECT count(*) AS transaction_count, CAST(sum(fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
        round(avg(fee_sats), 6) AS average_fee_sats,
        round(avg(fee_rate_sats_per_byte), 6) AS average_fee_rate_sats_per_byte,
-       CAST(sum(total_output_sats) AS BIGINT) AS total_output_sats FROM gold_transactions""",
+       CAST(sum(total_output_sats) AS DECIMAL(38, 0)) AS total_output_sats FROM gold_transactions""",
         "gold_transactions",
     ),
     "q_metrics_outputs": over(
         """
-SELECT count(*) AS output_count, CAST(sum(value_sats) AS BIGINT) AS total_output_sats,
+SELECT count(*) AS output_count, CAST(sum(value_sats) AS DECIMAL(38, 0)) AS total_output_sats,
        CAST(count_if(spend_discrepancy) AS BIGINT) AS spend_discrepancy_count,
        CAST(count_if(canonical_spent) AS BIGINT) AS canonical_spent_count FROM gold_outputs""",
         "gold_outputs",
     ),
     "q_metrics_inputs": over(
         """
-SELECT count(*) AS input_count, CAST(sum(value_sats) AS BIGINT) AS total_input_sats,
+SELECT count(*) AS input_count, CAST(sum(value_sats) AS DECIMAL(38, 0)) AS total_input_sats,
        CAST(count_if(double_spend_detected) AS BIGINT) AS double_spend_count FROM gold_inputs""",
         "gold_inputs",
     ),
     "q_metrics_blocks": over(
         """
-SELECT count(*) AS block_count, CAST(sum(total_fee_sats) AS BIGINT) AS total_fee_sats,
+SELECT count(*) AS block_count, CAST(sum(total_fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
        CAST(sum(observed_transaction_count) AS BIGINT) AS observed_transaction_count,
        round(avg(difficulty), 6) AS average_difficulty FROM gold_blocks""",
         "gold_blocks",
@@ -373,7 +399,7 @@ SELECT count(*) AS block_count, CAST(sum(total_fee_sats) AS BIGINT) AS total_fee
     "q_daily_trend": over(
         """
 SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, count(*) AS transaction_count,
-       CAST(sum(fee_sats) AS BIGINT) AS total_fee_sats,
+       CAST(sum(fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
        round(avg(fee_rate_sats_per_byte), 6) AS average_fee_rate_sats_per_byte
 FROM gold_transactions GROUP BY 1""",
         "gold_transactions",
@@ -381,7 +407,7 @@ FROM gold_transactions GROUP BY 1""",
     "q_trend_in_range": over(
         """
 SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, count(*) AS transaction_count,
-       CAST(sum(fee_sats) AS BIGINT) AS total_fee_sats,
+       CAST(sum(fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
        round(avg(fee_rate_sats_per_byte), 6) AS average_fee_rate_sats_per_byte
 FROM gold_transactions WHERE transaction_date >= DATE '1996-01-01' AND transaction_date < DATE '1996-07-01'
 GROUP BY 1""",
@@ -389,13 +415,13 @@ GROUP BY 1""",
     ),
     "q_output_recon_summary": over(
         """
-SELECT canonical_spent, spend_discrepancy, count(*) AS output_count, CAST(sum(value_sats) AS BIGINT) AS total_value_sats
+SELECT canonical_spent, spend_discrepancy, count(*) AS output_count, CAST(sum(value_sats) AS DECIMAL(38, 0)) AS total_value_sats
 FROM gold_outputs GROUP BY 1, 2""",
         "gold_outputs",
     ),
     "q_utxo_summary": over(
         """
-SELECT resolution_status, is_genesis_input, count(*) AS input_count, CAST(sum(value_sats) AS BIGINT) AS total_value_sats,
+SELECT resolution_status, is_genesis_input, count(*) AS input_count, CAST(sum(value_sats) AS DECIMAL(38, 0)) AS total_value_sats,
        CAST(count_if(double_spend_detected) AS BIGINT) AS double_spend_count
 FROM gold_inputs GROUP BY 1, 2""",
         "gold_inputs",
@@ -432,7 +458,7 @@ SELECT time_to_spend_days, count(*) AS output_count FROM gold_outputs WHERE time
     ),
     "q_miners": over(
         """
-SELECT miner, count(*) AS block_count, CAST(sum(total_fee_sats) AS BIGINT) AS total_fee_sats,
+SELECT miner, count(*) AS block_count, CAST(sum(total_fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
        CAST(sum(observed_transaction_count) AS BIGINT) AS observed_transaction_count,
        round(avg(difficulty), 6) AS average_difficulty,
        CAST(count_if(transaction_count_matches) AS BIGINT) AS matching_block_count
@@ -442,7 +468,7 @@ FROM gold_blocks GROUP BY 1""",
     "q_sql_over_gold": over(
         """
 SELECT b.miner, CAST(t.transaction_date AS VARCHAR) AS transaction_date, count(*) AS transaction_count,
-       CAST(sum(t.fee_sats) AS BIGINT) AS total_fee_sats
+       CAST(sum(t.fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats
 FROM gold_transactions t JOIN silver_blocks b ON b.block_hash = t.block_hash GROUP BY 1, 2 HAVING count(*) >= 5""",
         "gold_transactions",
         "silver_blocks",

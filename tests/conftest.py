@@ -18,15 +18,5 @@ def frame(spark):
     return build
 
 
-@pytest.fixture
-def forced_spreading(spark):
-    """Salt every lookup, however small its sides."""
-    from ledgerforge.operators.skew import SPREAD_ABOVE
-
-    spark.conf.set(SPREAD_ABOVE, "0")
-    yield
-    spark.conf.unset(SPREAD_ABOVE)
-
-
 def rows_by(df, key):
     return {row[key]: row for row in df.collect()}

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerforge.plans import silver
 from ledgerforge.plans.batch import run_batch
 from ledgerforge.plans.corruption import as_text, inject_corruption
 from ledgerforge.sources.schemas import ENTITIES, KEYS, SCHEMAS
@@ -70,10 +71,8 @@ def test_clean_batch(spark, tmp_path, fresh_layers):
     deliver(clean_tables(spark), tmp_path)
     report = run_batch(spark, str(tmp_path), FIRST, replace_batch=True, partition_gold_by_date=True)
     assert report == {
-        "blocks": {"accepted": 4, "rejected": 0},
-        "transactions": {"accepted": LAST, "rejected": 0},
-        "inputs": {"accepted": 2 * LAST - 1, "rejected": 0},
-        "outputs": {"accepted": 2 * LAST, "rejected": 0},
+        entity: {"bronze": n, "candidates": n, "duplicates": 0, "accepted": n, "rejected": 0}
+        for entity, n in {"blocks": 4, "transactions": LAST, "inputs": 2 * LAST - 1, "outputs": 2 * LAST}.items()
     }
     gold = {e: spark.table(f"gold.{e}") for e in ENTITIES}
     assert gold["blocks"].filter("transaction_count_matches").count() == 4
@@ -90,8 +89,11 @@ def test_clean_batch(spark, tmp_path, fresh_layers):
     run_batch(spark, str(tmp_path), FIRST, replace_batch=True, partition_gold_by_date=True)
     assert spark.table("bronze.outputs").count() == 2 * LAST
     assert snapshot(spark) == before
-    run_batch(spark, str(tmp_path), FIRST, partition_gold_by_date=True)
+    report = run_batch(spark, str(tmp_path), FIRST, partition_gold_by_date=True)
     assert spark.table("bronze.outputs").count() == 4 * LAST
+    assert report["outputs"] == {
+        "bronze": 4 * LAST, "candidates": 4 * LAST, "duplicates": 2 * LAST, "accepted": 2 * LAST, "rejected": 0,
+    }
     assert snapshot(spark) == before
 
 
@@ -136,6 +138,27 @@ def test_named_mutations_give_the_expected_codes(spark, tmp_path, fresh_layers):
     assert outputs["o2-0"].source_spent is None and outputs["o2-0"].spend_discrepancy
 
 
+def test_a_lost_row_fails_the_run(spark, tmp_path, fresh_layers, monkeypatch):
+    """Whichever step loses it: the row rules, or the search for the latest record."""
+    deliver(clean_tables(spark), tmp_path)
+    judge, newest = silver._judge, silver._newest
+
+    def forgetful(df, entity, stage, *steps):
+        valid, rejected, marked = judge(df, entity, stage, *steps)
+        return valid.limit(valid.count() - 1) if entity == "outputs" else valid, rejected, marked
+
+    monkeypatch.setattr(silver, "_judge", forgetful)
+    with pytest.raises(RuntimeError, match="bronze.outputs"):
+        run_batch(spark, str(tmp_path), FIRST, replace_batch=True)
+    monkeypatch.setattr(silver, "_judge", judge)
+    keep = "_separate"
+    separate = getattr(silver, keep)
+    monkeypatch.setattr(silver, keep, lambda rows, *rest: tuple(df.filter("true") if n else df.filter("tx_hash <> 'tx3'") for n, df in enumerate(separate(rows, *rest))))
+    with pytest.raises(RuntimeError, match="silver.transactions"):
+        run_batch(spark, str(tmp_path), FIRST, replace_batch=True)
+    assert newest is silver._newest
+
+
 def test_bad_arguments(spark):
     tables = {e: spark.createDataFrame([], SCHEMAS[e]) for e in ENTITIES}
     with pytest.raises(ValueError):

@@ -1,10 +1,13 @@
-"""What the plans of the ledger frames must not contain, plain and with spread keys."""
+"""What the plans of the ledger frames must and must not contain."""
 
 import pytest
 
-from ledgerforge.plans import reports
+from ledgerforge.operators.utxo import resolve_inputs
+from ledgerforge.plans import exercises, reports
 from ledgerforge.plans.sample_ledger import SampleLedger
+from ledgerforge.session import session_settings
 from ledgerforge.sources.schemas import ENTITIES
+from ledgerforge.sources.staging import Staging
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 
@@ -35,19 +38,53 @@ def test_no_cross_join_python_or_global_window(ledger):
         assert "Window" not in text or "SinglePartition" not in text, text
 
 
-def test_same_with_spread_keys(ledger, forced_spreading):
-    fresh = SampleLedger(ledger.spark, ledger.folder)
-    fresh.__dict__.update({k: v for k, v in ledger.__dict__.items() if not k.startswith("gold_")})
-    for entity in ENTITIES:
-        text = plan(getattr(fresh, f"gold_{entity}"))
-        assert not any(name in text for name in FORBIDDEN), text
-    assert "approx_top_k" in plan(fresh.gold_inputs)
-
-
-def test_short_problem_lists_leave_wide_rows_unshuffled(ledger):
-    for entity in ("transactions", "inputs", "outputs"):
-        text = plan(getattr(ledger, entity).accepted)
-        assert "BroadcastHashJoin" in text and "hashpartitioning" not in text, text
+def test_hash_aggregates_and_single_scans(spark, ledger):
+    folder = ledger.folder
+    assert "SortAggregate" not in plan(exercises.line_id_collisions(spark, folder))
+    assert "SortAggregate" not in plan(resolve_inputs(ledger.bronze_inputs, ledger.bronze_outputs))
+    for side in (exercises.reference_valid, exercises.reference_missing):
+        assert plan(side(spark, folder)).count("FileScan") == 2
+
+
+@pytest.mark.parametrize("threshold", ["-1", "64MB"])
+def test_silver_jobs_read_bronze_once(spark, ledger, threshold):
+    """Whether problem lists are short enough to broadcast or not."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        fresh = SampleLedger(spark, folder=ledger.folder)
+        for entity in ENTITIES:
+            fresh.__dict__[f"bronze_{entity}"] = ledger.bronze_table(entity)
+        for entity in ENTITIES:
+            checked = getattr(fresh, entity)
+            bronze = set(ledger.bronze_table(entity).inputFiles())
+            for df in (checked.accepted, checked.rejected, checked.latest):
+                assert not bronze & set(df.inputFiles()), entity
+            accepted = sorted(map(repr, checked.accepted.collect()))
+            assert accepted == sorted(map(repr, getattr(ledger, entity).accepted.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_hot_reference_is_split(spark, frame):
+    """Half of all inputs refer to one output; adaptive execution cuts that key's rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "50",
+    }
+    inputs = spark.range(0, 20000, 1, 8).selectExpr(
+        "concat('i', id) AS input_id", "concat('t', id) AS tx_hash", "0 AS input_index", "if(id % 2 = 0, 'hot', concat('p', id)) AS previous_tx_hash", "0 AS previous_output_index",
+        "'a' AS address", "1L AS value_sats",
+    )
+    outputs = spark.sql("SELECT 'o' AS output_id, 'hot' AS tx_hash, 0 AS output_index, 'a' AS address, 1L AS value_sats")
+    with session_settings(spark, settings), Staging(spark) as stage:
+        resolved = resolve_inputs(inputs, outputs, stage=stage)
+        assert resolved.filter("resolution_status = 'resolved'").count() == 10000
+        resolved.collect()
+        assert "skew=true" in plan(resolved)
 
 
 def test_date_range_reaches_the_scan(spark, ledger):

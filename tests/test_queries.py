@@ -15,7 +15,8 @@ from tests.compare import connect, difference, oracle_result, spark_result
 
 FOLDER = "/root/testdata/sf0.001"
 USUAL = (
-    "bronze_roundtrip latest_by_key reference_missing id_collisions total_reconciliation row_quarantine"
+    "bronze_blocks bronze_inputs silver_conservation union_by_position gold_inputs_from_tables q_kpis q_metrics_inputs"
+    " q_utxo_summary q_miners latest_by_key reference_missing id_collisions total_reconciliation row_quarantine"
     " window_total top_per_group chain table_write_modes silver_blocks reject_transactions reject_outputs"
     " utxo_reconciliation gold_outputs q_fee_rate_histogram corruption_effects"
 ).split()
@@ -38,11 +39,6 @@ def test_query(spark, duck, name):
     assert difference(spark_result(spark, name, FOLDER), oracle_result(duck, name)) is None
 
 
-@pytest.mark.parametrize("name", ["gold_inputs", "gold_outputs", "reject_inputs", "window_total"])
-def test_query_with_spread_keys(spark, duck, forced_spreading, name):
-    assert difference(spark_result(spark, name, FOLDER), oracle_result(duck, name)) is None
-
-
 def test_entry(spark):
     df = entry(spark)
     assert df.columns[0] == "transaction_date" and df.count() > 0

@@ -1,16 +1,20 @@
-from datetime import datetime
+import os
+import time
+from datetime import datetime, timezone
 from uuid import uuid4
 
 import pytest
 
+from ledgerforge.operators.quality import finalize_rejections
+from ledgerforge.plans.batch import Warehouse
 from ledgerforge.session import (
     ensure_namespaces,
+    session_settings,
     settings_from_environment,
-    shuffle_width,
-    sized_shuffles,
+    shuffle_settings,
     table_name,
 )
-from ledgerforge.sources.delivery import add_lineage, csv_to_parquet, delivery_files, read_delivery
+from ledgerforge.sources.delivery import add_lineage, csv_to_parquet, delivery_files, file_bytes, read_delivery
 from ledgerforge.sources.schemas import SCHEMAS
 from ledgerforge.sources.staging import Staging, shared_folder
 from ledgerforge.sources.tables import write_table
@@ -141,15 +145,35 @@ def test_staging_keeps_and_releases(spark, frame):
         kept.collect()
 
 
-def test_shuffles_are_sized_for_the_input(spark):
-    usual = shuffle_width(spark)
-    with sized_shuffles(spark, 64 << 30):
-        assert shuffle_width(spark) == 1024
-    with sized_shuffles(spark, 100 << 40):
-        assert shuffle_width(spark) == 100_000
-    with sized_shuffles(spark, 1 << 20):
-        assert shuffle_width(spark) == usual
-    assert shuffle_width(spark) == usual
+def test_shuffles_are_sized_for_the_input(spark, database):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert shuffle_settings(spark, 64 << 30) == {key: "1024"}
+    assert shuffle_settings(spark, 100 << 40) == {key: str((100 << 40) // (64 << 20))}
+    name = f"{database}.small"
+    write_table(spark.range(1000).selectExpr("id", "id % 3 AS part"), name, partition_by=["part"])
+    size = file_bytes(spark.table(name))
+    assert 0 < size < 1 << 20 and shuffle_settings(spark, size) == {}
+    with session_settings(spark, {key: "7"}):
+        assert shuffle_settings(spark, 64 << 30) == {} and spark.conf.get(key) == "7"
+    assert spark.conf.get(key, None) is None
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_stamps_are_instants_in_any_zone(spark, zone):
+    """A stamp carries its zone, so the driver process may run in any."""
+    at = datetime(2026, 3, 4, 5, 6, 7, tzinfo=timezone.utc)
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = zone
+    time.tzset()
+    try:
+        stamped = add_lineage(spark.range(1), "2026-03-04", at).selectExpr("unix_timestamp(ingested_at) AS s").first().s
+        rejected = spark.range(1).selectExpr("id", "array('X') AS validation_errors")
+        late = finalize_rejections(rejected, rejected_at=at).selectExpr("unix_timestamp(rejected_at) AS s").first().s
+        assert Warehouse(spark).run_at.tzinfo is not None
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+    assert stamped == late == int(at.timestamp())
 
 
 def test_names_and_settings(spark):
