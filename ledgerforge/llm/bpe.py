@@ -2,14 +2,16 @@
 
 Encoding has four steps. (1) Each task cuts its texts into pre-tokens and numbers the distinct
 ones of a block of documents; a document becomes the sequence of these numbers, which keeps
-every position. (2) The distinct (block, number, word) rows are shuffled by word, so that equal
-words of all blocks meet; each distinct word is encoded once, by the first row of its run.
-(3) The ids go back to their blocks. (4) Each block looks its documents' numbers up and lays
-the ids end to end.
+every position. (2) Each block's distinct words are dealt into buckets by hash and shuffled by
+bucket, so that equal words of all blocks meet; each distinct word is encoded once. (3) The ids
+go back to their blocks. (4) Each block looks its documents' numbers up and lays the ids end to end.
 
-A very frequent word has one row per block, not one per occurrence, so no word is a hot key; a
-block's dictionary and texts are bounded by BLOCK_BYTES (a longer text is a block of its own).
-The blocks are written to the run folder, so that a lost executor never renumbers them.
+A very frequent word is sent once by each block, not once per occurrence, so no word is a hot
+key. A block's dictionary and texts are bounded by BLOCK_CHARS (a longer text is a block of its
+own), and there are about as many buckets as blocks, which bounds a bucket's words likewise. Words
+and ids of a (block, bucket) travel as one compressed row, and so do a block's documents, by the
+same two shuffles. Blocks are named by input partition and order, so a retried task names them
+alike; a block that does not meet all its ids fails the job.
 
 Decoding joins ids with the token-byte table, whose size is the vocabulary's, inside each task.
 """
@@ -18,21 +20,23 @@ from __future__ import annotations
 
 import base64
 import heapq
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerforge.sources.staging import Staging
-
-BLOCK_BYTES = 24 << 20
+BLOCK_CHARS = 8 << 20
+LAY_OUT_WORDS = 1 << 18  # pre-tokens replaced by ids in one step
+DECODE_ROWS = 256  # texts decoded in one step
 
 # Fixed value: the characters that the tokenizer's engine takes for white space.
 WHITE_SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -91,13 +95,13 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _pack(numbers: list[int]) -> bytes:
-    """Block numbers as variable-length bytes: seven bits each, the top bit marks the last."""
-    values = np.array(numbers, np.int64)
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers as variable-length bytes: seven bits each, the top bit marks the last."""
+    values = numbers.astype(np.int64)
     digits = [values & 127]
     while (values := values >> 7).any():
         digits.append(values & 127)
-    table = np.stack(digits[::-1], axis=1).astype(np.uint8) if len(numbers) else np.empty((0, 1), np.uint8)
+    table = np.stack(digits[::-1], axis=1).astype(np.uint8)
     used = np.maximum.accumulate(table > 0, axis=1)
     used[:, -1] = True
     table[:, -1] |= 128
@@ -115,115 +119,160 @@ def _unpack(packed: bytes) -> np.ndarray:
     return values
 
 
+def _shrink(*arrays: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=9).compress(b"".join(arrays))
+
+
+def _grow(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 class _Block:
-    """Documents and distinct words until BLOCK_BYTES of text are in."""
+    """Documents and distinct words until BLOCK_CHARS of text are in."""
 
-    def __init__(self):
-        self.name, self.bytes, self.ids, self.sequences = uuid4().int >> 65, 0, [], []
+    def __init__(self, name: int):
+        self.name, self.chars, self.ids, self.sequences = name, 0, [], []
         self.numbers = defaultdict()
         self.numbers.default_factory = self.numbers.__len__
 
     def add(self, doc_id, words: list[str], size: int) -> None:
         self.ids.append(doc_id)
-        self.sequences.append(_pack(list(map(self.numbers.__getitem__, words))))
-        self.bytes += size
-
-    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        words, nothing = list(self.numbers), [None]
-        documents = (self.ids, self.sequences, nothing * len(self.ids), nothing * len(self.ids))
-        for columns in (documents, (nothing * len(words), nothing * len(words), range(len(words)), words)):
-            name = [self.name] * len(columns[0])
-            arrays = [pa.array(column, field.type) for column, field in zip((name, *columns), schema)]
-            yield pa.record_batch(arrays, schema=schema)
-
-
-def _into_blocks(pattern: str):
+        self.sequences.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self.chars += size
+
+    def batch(self, schema: pa.Schema, buckets: int) -> pa.RecordBatch:
+        """One row with the documents, and one for each bucket with its words in the order of their numbers.
+
+        Words are numbered anew by frequency. The documents' row keeps the bucket of each number
+        and the length of each sequence.
+        """
+        numbers = np.concatenate(self.sequences)
+        order = np.argsort(-np.bincount(numbers, minlength=len(self.numbers)), kind="stable")
+        renumbered = np.empty(len(order), np.int32)
+        renumbered[order] = np.arange(len(order))
+        words = list(self.numbers)
+        dealt: dict[int, list[bytes]] = defaultdict(list)
+        bucket_of = np.empty(len(order), "<u4")
+        for number, old in enumerate(order.tolist()):
+            word = words[old].encode()
+            bucket = zlib.crc32(word) % buckets
+            bucket_of[number] = bucket
+            dealt[bucket].append(word)
+        sizes = np.array([len(x) for x in self.sequences], "<u4")
+        documents = (_shrink(_pack(renumbered[numbers])), _shrink(sizes), _shrink(bucket_of))
+        rows = [(self.name, self.name, None, self.ids, *documents)]
+        for bucket, own in sorted(dealt.items()):
+            rows.append((-1 - bucket, self.name, bucket, None, _shrink(b"\xff".join(own)), None, None))
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _into_blocks(pattern: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, block = word_pattern(pattern).findall, _Block()
+        cut, name = word_pattern(pattern).findall, TaskContext.get().partitionId() << 32
+        block = _Block(name)
         for batch in batches:
             schema = pa.schema(
-                [("block", pa.int64()), ("doc_id", batch.schema.field(0).type), ("sequence", pa.binary())]
-                + [("number", pa.int32()), ("word", pa.string())]
+                [("route", pa.int64()), ("block", pa.int64()), ("bucket", pa.int32())]
+                + [("doc_ids", pa.list_(batch.schema.field(0).type))]
+                + [(data, pa.binary()) for data in ("data", "sizes", "bucket_of")]
             )
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
                 block.add(doc_id, cut(text), len(text))
-                if block.bytes >= BLOCK_BYTES:
-                    yield from block.batches(schema)
-                    block = _Block()
+                if block.chars >= BLOCK_CHARS:
+                    yield block.batch(schema, buckets)
+                    block = _Block(block.name + 1)
         if block.ids:
-            yield from block.batches(schema)
+            yield block.batch(schema, buckets)
 
     return run
 
 
 def _encode_words(ranks: dict[bytes, int]):
-    """Rows sorted by word -> ids; equal words are neighbours, so each is encoded once."""
+    """Rows sorted by route: a bucket's words become ids and their number for each word; documents pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, ids = None, b""
+        known, open_bucket = {}, None
         for batch in batches:
-            out = []
-            for other in batch.column("word").to_pylist():
-                if other != word:
-                    word = other
-                    ids = np.array(encode_word(word.encode(), ranks), "<i4").tobytes()
-                out.append(ids)
-            columns = [batch.column("block"), batch.column("number"), pa.array(out, pa.binary())]
-            yield pa.record_batch(columns, names=["block", "number", "ids"])
+            columns = {name: batch.column(name).to_pylist() for name in ("bucket", "data", "sizes")}
+            for row, bucket in enumerate(columns["bucket"]):
+                if bucket is None:
+                    continue
+                if bucket != open_bucket:
+                    known, open_bucket = {}, bucket
+                parts = []
+                for word in _grow(columns["data"][row]).split(b"\xff"):
+                    part = known.get(word)
+                    if part is None:
+                        part = known[word] = np.array(encode_word(word, ranks), "<u4").tobytes()
+                    parts.append(part)
+                columns["data"][row] = _shrink(*parts)
+                columns["sizes"][row] = _shrink(np.fromiter(map(len, parts), "<u4", len(parts)) // np.uint32(4))
+            for name in ("data", "sizes"):
+                at = batch.schema.get_field_index(name)
+                batch = batch.set_column(at, name, pa.array(columns[name], pa.binary()))
+            yield batch
 
     return run
 
 
-def _lay_out(documents: pa.Table, words: pa.Table) -> pa.Table:
-    """Documents of one block with their ids, from the block's numbers and the words' ids."""
-    words = words.sort_by("number")
-    parts = words.column("ids").to_pylist()
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-    pool = np.frombuffer(b"".join(parts), "<i4")
-    starts = np.cumsum(sizes) - sizes
-    ids = []
-    for sequence in documents.column("sequence").to_pylist():
-        numbers = _unpack(sequence)
-        width = sizes[numbers]
-        shift = starts[numbers] - (np.cumsum(width) - width)
-        ids.append(pool[np.repeat(shift, width) + np.arange(int(width.sum()))])
-    edges = np.zeros(len(ids) + 1, np.int32)
-    np.cumsum([len(x) for x in ids], out=edges[1:])
-    flat = pa.array(np.concatenate(ids) if ids else np.empty(0, "<i4"), pa.int32())
-    return pa.table({"doc_id": documents.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(edges), flat)})
+def _lay_out(rows: pa.Table) -> pa.Table:
+    """One block's documents, and ids of all its words -> documents with their ids."""
+    rows = rows.sort_by([("bucket", "ascending")])  # the documents' row comes last
+    *words, documents = rows.select(["bucket", "data", "sizes", "bucket_of", "doc_ids"]).to_pylist()
+    pool = np.frombuffer(b"".join(_grow(row["data"]) for row in words), "<i4")
+    by_bucket = np.frombuffer(b"".join(_grow(row["sizes"]) for row in words), "<u4").astype(np.int64)
+    order = np.argsort(np.frombuffer(_grow(documents["bucket_of"]), "<u4"), kind="stable")
+    if len(order) != len(by_bucket):
+        raise RuntimeError("A block has met the ids of another run; write the input before encoding it.")
+    width, start = np.empty((2, len(order)), np.int64)
+    width[order], start[order] = by_bucket, np.cumsum(by_bucket) - by_bucket
+    numbers = _unpack(_grow(documents["data"]))
+    total = np.r_[0, np.cumsum(width[numbers])]
+    sizes = np.frombuffer(_grow(documents["sizes"]), "<u4")
+    edges = total[np.r_[0, np.cumsum(sizes, dtype=np.int64)]]
+    flat = np.empty(total[-1], np.int32)
+    for at in range(0, len(numbers), LAY_OUT_WORDS):
+        part = numbers[at : at + LAY_OUT_WORDS]
+        low, high = total[at], total[at + len(part)]
+        shift = np.repeat(start[part] - total[at : at + len(part)], width[part])
+        flat[low:high] = pool[shift + np.arange(low, high)]
+    ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))
+    kind = rows.schema.field("doc_ids").type.value_type
+    return pa.table({"doc_id": pa.array(documents["doc_ids"], kind), "ids": ids})
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id="doc_id", text="text") -> DataFrame:
     """(doc_id, ids) for every row of `docs`; ids is the array of token ids of the whole text.
 
     Null and empty texts have no tokens. Repeated rows and null ids stay as they are. `ranks`
-    must hold all 256 single bytes.
+    must hold all 256 single bytes. `docs` should be a table or files, so that a lost task reads its rows again
+    in the same order.
     """
-    staging = Staging(docs.sparkSession, "bpe")
     kind = docs.schema[doc_id].dataType
     blocks = T.StructType(
         [
+            T.StructField("route", T.LongType()),
             T.StructField("block", T.LongType()),
-            T.StructField("doc_id", kind),
-            T.StructField("sequence", T.BinaryType()),
-            T.StructField("number", T.IntegerType()),
-            T.StructField("word", T.StringType()),
+            T.StructField("bucket", T.IntegerType()),
+            T.StructField("doc_ids", T.ArrayType(kind)),
+            T.StructField("data", T.BinaryType()),
+            T.StructField("sizes", T.BinaryType()),
+            T.StructField("bucket_of", T.BinaryType()),
         ]
     )
-    blocked = staging.keep(docs.select(doc_id, text).mapInArrow(_into_blocks(pattern), blocks), "blocks")
-    words = (
-        blocked.filter("word is not null")
-        .select("block", "number", "word")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(_encode_words(ranks), "block bigint, number int, ids binary")
-    )
-    documents = blocked.filter("word is null").select("block", "doc_id", "sequence")
+    chars = docs.agg(F.sum(F.char_length(text))).first()[0] or 0
     laid = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return (
-        documents.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_lay_out, laid)
-    ).withColumnRenamed("doc_id", doc_id)
+        docs.select(doc_id, text)
+        .mapInArrow(_into_blocks(pattern, chars // BLOCK_CHARS + 8), blocks)
+        .repartition("route")
+        .sortWithinPartitions("route")
+        .mapInArrow(_encode_words(ranks), blocks)
+        .groupBy("block")
+        .applyInArrow(_lay_out, laid)
+        .withColumnRenamed("doc_id", doc_id)
+    )
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -234,15 +283,19 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     unknown = len(tokens)
     table = pa.array([*tokens, None], pa.binary())
 
-    @F.arrow_udf(T.BinaryType())
-    def joined(lists: pa.Array) -> pa.Array:
+    def piece(lists: pa.Array) -> pa.Array:
         flat = lists.flatten()
         known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, unknown))
-        pieces = table.take(pc.if_else(known, flat, unknown))
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         edges = np.zeros(len(lists) + 1, np.int32)
         np.cumsum(sizes, out=edges[1:])
-        words = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges), pieces), pa.scalar(b"", pa.binary()))
+        pieces = pa.ListArray.from_arrays(pa.array(edges), table.take(pc.if_else(known, flat, unknown)))
+        words = pc.binary_join(pieces, pa.scalar(b"", pa.binary()))
         return pc.if_else(pc.is_valid(lists), words, pa.scalar(None, pa.binary()))
 
+    @F.arrow_udf(T.BinaryType())
+    def joined(lists: pa.Array) -> pa.Array:
+        parts = [piece(lists.slice(at, DECODE_ROWS)) for at in range(0, len(lists), DECODE_ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+
     return joined(ids)
