@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 
 SLICE_BYTES = 4 << 20  # text handled by one numpy step; keeps a task's arrays small
-CACHE_WORDS = 400_000  # entries of a per-task word cache before it starts afresh
+CACHE_WORDS = 200_000  # entries of a per-task word cache before it starts afresh
 
 
 def raw_texts(column: pa.Array) -> list[bytes | None]:
