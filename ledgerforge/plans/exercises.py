@@ -59,7 +59,7 @@ def line_id_collisions(spark, folder) -> DataFrame:
 
 def total_reconciliation(spark, folder) -> DataFrame:
     """Orders whose delivered lines, second deliveries included, miss the declared totals."""
-    ledger = SampleLedger(spark, folder)
+    ledger = SampleLedger.shared(spark, folder)
     return total_problems(
         ledger.delivered_lines,
         ledger.balances,

@@ -40,7 +40,18 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def _ledger(build: Callable[[SampleLedger], DataFrame]) -> Query:
-    return lambda spark, folder: portable(build(SampleLedger(spark, folder)))
+    """A query over the tables of the sample ledger, which are written once per application."""
+    return lambda spark, folder: portable(build(SampleLedger.shared(spark, folder)))
+
+
+def _job(name: str, part: str | None = None) -> Query:
+    """The job that makes one table, run anew."""
+
+    def build(ledger: SampleLedger) -> DataFrame:
+        made = ledger.run_again(name)
+        return getattr(made, part) if part else made
+
+    return _ledger(build)
 
 
 def _plain(build: Query) -> Query:
@@ -48,7 +59,7 @@ def _plain(build: Query) -> Query:
 
 
 def _rejected(name: str) -> Callable[[SampleLedger], DataFrame]:
-    return lambda ledger: getattr(ledger, name).rejected.drop("rejected_at")
+    return lambda ledger: ledger.run_again(name).rejected.drop("rejected_at")
 
 
 def _all_rejects(ledger: SampleLedger) -> dict[str, DataFrame]:
@@ -90,7 +101,7 @@ def _landed(entity: str) -> Callable[[SampleLedger], DataFrame]:
         delivered = ledger.bronze[entity].select(*SCHEMAS[entity].names)
         path = f"{ledger.stage.folder}/ingest_{BATCH}/{entity}.csv"
         quoting = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-        delivered.write.options(**quoting).csv(path)
+        delivered.write.mode("overwrite").options(**quoting).csv(path)
         landed = add_lineage(read_delivery(ledger.spark, path, SCHEMAS[entity]), BATCH)
         file = F.regexp_extract("source_file", r"/(\w+\.csv)/[^/]*$", 1)
         return landed.withColumn("source_file", file).drop("ingested_at")
@@ -103,7 +114,14 @@ def _roundtrip(ledger: SampleLedger) -> DataFrame:
 
 
 def _corrupted(ledger: SampleLedger, scenario: str) -> SampleLedger:
-    """The ledger's delivery, corrupted, parsed again and run through Silver."""
+    """The ledger's delivery, corrupted and parsed again; Silver is built when it is read."""
+    corrupted = ledger.__dict__.setdefault("corrupted", {})
+    if scenario not in corrupted:
+        corrupted[scenario] = _corrupt(ledger, scenario)
+    return corrupted[scenario]
+
+
+def _corrupt(ledger: SampleLedger, scenario: str) -> SampleLedger:
     plain = {entity: df.drop(*LINEAGE) for entity, df in ledger.bronze.items()}
     corrupted = inject_corruption(plain, scenario, rate=0.02, seed=7)
     landed = {
@@ -111,6 +129,7 @@ def _corrupted(ledger: SampleLedger, scenario: str) -> SampleLedger:
         "batch_id": F.lit("2026-01-01"),
     }
     again = SampleLedger(ledger.spark, ledger.folder)
+    ledger.__dict__.setdefault("job_stages", []).append(again.stage)
     for entity, df in corrupted.items():
         rows = conform(df, entity).withColumns({**landed, "source_file": F.lit(f"{entity}.csv")})
         setattr(again, f"bronze_{entity}", again.stage.keep(rows, f"corrupted_{entity}"))
@@ -184,29 +203,27 @@ QUERIES: dict[str, Query] = {
     "distinct": _plain(exercises.distinct_pairs),
     "chain": _plain(exercises.filter_to_sort_chain),
     # Silver
-    "silver_blocks": _ledger(lambda ledger: ledger.blocks.accepted),
-    "silver_transactions": _ledger(lambda ledger: ledger.transactions.accepted),
-    "silver_inputs": _ledger(lambda ledger: ledger.inputs.accepted),
-    "silver_outputs": _ledger(lambda ledger: ledger.outputs.accepted),
+    "silver_blocks": _job("blocks", "accepted"),
+    "silver_transactions": _job("transactions", "accepted"),
+    "silver_inputs": _job("inputs", "accepted"),
+    "silver_outputs": _job("outputs", "accepted"),
     **{f"reject_{e}": _ledger(_rejected(e)) for e in ENTITIES},
     "silver_conservation": _ledger(_conservation),
     "utxo_reconciliation": _ledger(_raw_reconciliation),
-    "utxo_reconciliation_dedup": _ledger(lambda ledger: ledger.reconciliation),
+    "utxo_reconciliation_dedup": _job("reconciliation"),
     "double_spends": _ledger(_double_spends),
-    "outputs_enriched": _ledger(lambda ledger: ledger.enriched_outputs),
+    "outputs_enriched": _job("enriched_outputs"),
     "chain_links": _ledger(lambda ledger: check_chain_links(ledger.blocks.accepted)),
     # Gold
-    "gold_blocks": _ledger(lambda ledger: ledger.gold_blocks),
-    "gold_transactions": _ledger(lambda ledger: ledger.gold_transactions),
-    "gold_inputs": _ledger(lambda ledger: ledger.gold_inputs),
+    "gold_blocks": _job("gold_blocks"),
+    "gold_transactions": _job("gold_transactions"),
+    "gold_inputs": _job("gold_inputs"),
     "gold_inputs_from_tables": _ledger(_gold_inputs_from_tables),
-    "gold_outputs": _ledger(lambda ledger: ledger.gold_outputs),
+    "gold_outputs": _job("gold_outputs"),
     # Reports
     "q_kpis": _ledger(lambda ledger: reports.headline(ledger.gold_transactions, ledger.gold_blocks)),
     "q_fee_rate_histogram": _ledger(
-        lambda ledger: reports.fee_rate_histogram(
-            ledger.stage.keep(ledger.gold_transactions, "gold_transactions")
-        )
+        lambda ledger: reports.fee_rate_histogram(ledger.gold_transactions)
     ),
     "q_fee_vs_size": _ledger(lambda ledger: reports.fee_versus_size(ledger.gold_transactions)),
     "q_tx_shape": _ledger(lambda ledger: reports.shape_composition(ledger.gold_transactions)),

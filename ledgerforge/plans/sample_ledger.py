@@ -10,6 +10,7 @@ damaged; no row is left out.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,13 +51,44 @@ def _again(df: DataFrame, chosen: str, **changes: str) -> DataFrame:
 
 
 class SampleLedger:
-    """Bronze, Silver and Gold frames of the sample delivery; each is built at most once."""
+    """Bronze, Silver and Gold tables of the sample delivery; each is built and written at most once."""
+
+    _shared: dict[tuple[str, str], SampleLedger] = {}
 
     def __init__(self, spark: SparkSession, folder: str, stage: Staging | None = None):
         self.spark = spark
         self.folder = folder
         self.stage = stage or Staging(spark, "sample")
 
+    @classmethod
+    def shared(cls, spark: SparkSession, folder: str) -> SampleLedger:
+        """The one ledger of this application and folder; queries run over its tables."""
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, folder)
+        return cls._shared[key]
+
+    @classmethod
+    def release_shared(cls, spark: SparkSession) -> None:
+        """Delete what the application's shared ledgers, and jobs run over them, have written."""
+        for key in [key for key in cls._shared if key[0] == spark.sparkContext.applicationId]:
+            ledger = cls._shared.pop(key)
+            for stage in (ledger.stage, *ledger.__dict__.get("job_stages", ())):
+                stage.release()
+
+    def run_again(self, name: str):
+        """Build one table anew from this ledger's tables, to check or time the job itself."""
+        getattr(self, name)
+        again = SampleLedger(self.spark, self.folder, Staging(self.spark, "job"))
+        self.__dict__.setdefault("job_stages", []).append(again.stage)
+        own = (name, "stage", "job_stages")
+        again.__dict__.update({key: value for key, value in self.__dict__.items() if key not in own})
+        return getattr(again, name)
+
+    def _written(self, checked: silver.Checked, entity: str) -> silver.Checked:
+        """With accepted rows as a written table, as later jobs read them."""
+        return replace(checked, accepted=self.stage.keep(checked.accepted, f"accepted_{entity}"))
+
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -302,21 +334,24 @@ class SampleLedger:
 
     @cached_property
     def blocks(self) -> silver.Checked:
-        return silver.silver_blocks(self.bronze_table("blocks"), self.stage)
+        return self._written(silver.silver_blocks(self.bronze_table("blocks"), self.stage), "blocks")
 
     @cached_property
     def transactions(self) -> silver.Checked:
-        return silver.silver_transactions(
+        checked = silver.silver_transactions(
             self.bronze_table("transactions"), self.blocks.accepted, self.stage
         )
+        return self._written(checked, "transactions")
 
     @cached_property
     def inputs(self) -> silver.Checked:
-        return silver.silver_inputs(self.bronze_table("inputs"), self.transactions.accepted, self.stage)
+        known = self.transactions.accepted
+        return self._written(silver.silver_inputs(self.bronze_table("inputs"), known, self.stage), "inputs")
 
     @cached_property
     def outputs(self) -> silver.Checked:
-        return silver.silver_outputs(self.bronze_table("outputs"), self.transactions.accepted, self.stage)
+        known = self.transactions.accepted
+        return self._written(silver.silver_outputs(self.bronze_table("outputs"), known, self.stage), "outputs")
 
     @cached_property
     def reconciliation(self) -> DataFrame:
@@ -327,26 +362,29 @@ class SampleLedger:
 
     @cached_property
     def enriched_outputs(self) -> DataFrame:
-        return enrich_outputs(self.outputs.accepted, self.reconciliation)
+        enriched = enrich_outputs(self.outputs.accepted, self.reconciliation)
+        return self.stage.keep(enriched, "enriched_outputs")
 
     # -- Gold -----------------------------------------------------------------------------
 
     @cached_property
     def gold_blocks(self) -> DataFrame:
-        return gold.gold_blocks(self.blocks.accepted, self.transactions.accepted)
+        return self.stage.keep(gold.gold_blocks(self.blocks.accepted, self.transactions.accepted), "gold_blocks")
 
     @cached_property
     def gold_transactions(self) -> DataFrame:
-        return gold.gold_transactions(
+        made = gold.gold_transactions(
             self.transactions.accepted, self.inputs.accepted, self.outputs.accepted
         )
+        return self.stage.keep(made, "gold_transactions")
 
     @cached_property
     def gold_inputs(self) -> DataFrame:
         reconciled = self.reconciliation.drop("matching_output_count")
-        return gold.age_inputs(reconciled, self.transactions.accepted)
+        return self.stage.keep(gold.age_inputs(reconciled, self.transactions.accepted), "gold_inputs")
 
     @cached_property
     def gold_outputs(self) -> DataFrame:
         spends = gold.timed_spends(self.reconciliation, self.transactions.accepted)
-        return gold.gold_outputs(self.enriched_outputs, self.transactions.accepted, spends)
+        made = gold.gold_outputs(self.enriched_outputs, self.transactions.accepted, spends)
+        return self.stage.keep(made, "gold_outputs")

@@ -89,8 +89,7 @@ def test_a_hot_reference_is_split(spark, frame):
 
 def test_date_range_reaches_the_scan(spark, ledger):
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # print the filters in full
-    rows = ledger.stage.keep(ledger.gold_transactions, "gold_transactions_for_plan")
-    text = plan(reports.daily_trend(rows, start="1996-01-01", end="1996-07-01"))
+    text = plan(reports.daily_trend(ledger.gold_transactions, start="1996-01-01", end="1996-07-01"))
     assert "GreaterThanOrEqual(transaction_date" in text and "LessThan(transaction_date" in text
     schema = text[text.index("ReadSchema") :]
     assert "fee_rate_sats_per_byte" in schema and "total_input_sats" not in schema
