@@ -209,6 +209,9 @@ QUERIES: dict[str, Query] = {
     "silver_outputs": _job("outputs", "accepted"),
     **{f"reject_{e}": _ledger(_rejected(e)) for e in ENTITIES},
     "silver_conservation": _ledger(_conservation),
+    # The same with dates, times and arrays as such.
+    "silver_blocks_native": lambda spark, folder: SampleLedger.shared(spark, folder).run_again("blocks").accepted,
+    "reject_inputs_native": lambda spark, folder: _rejected("inputs")(SampleLedger.shared(spark, folder)),
     "utxo_reconciliation": _ledger(_raw_reconciliation),
     "utxo_reconciliation_dedup": _job("reconciliation"),
     "double_spends": _ledger(_double_spends),

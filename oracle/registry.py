@@ -139,7 +139,7 @@ def mutate(name: str, source: str, entity: str, step: str, cases: list[tuple[str
     """Row n of `cases` replaces one column in the selected rows of variant n."""
     replaced = ", ".join(
         f"CASE WHEN substr(mark, 1, 8) <= '{BELOW}' AND"
-        f" (instr('0123456789abcdef', substr(mark, 9, 1)) - 1) % {len(cases)} = {number}"
+        f" CAST('0x' || substr(mark, 9, 8) AS BIGINT) % {len(cases)} = {number}"
         f" THEN {value} ELSE {column} END AS {column}"
         for number, (column, value) in enumerate(cases)
     )
@@ -305,6 +305,10 @@ LEFT JOIN nation ON n_nationkey = c_nationkey ORDER BY balance_cents DESC, n_nam
     "silver_outputs": export("silver_outputs", OUTPUTS),
     **{f"reject_{e}": rejects(e) for e in RAW},
     "silver_conservation": conservation(),
+    "silver_blocks_native": over(f"SELECT {', '.join(SILVER_BLOCKS)} FROM silver_blocks", "silver_blocks"),
+    "reject_inputs_native": over(
+        f"SELECT {', '.join(INPUTS)}, errors AS validation_errors FROM reject_inputs", "reject_inputs"
+    ),
     "utxo_reconciliation": export("raw_reconciliation", RECONCILIATION),
     "utxo_reconciliation_dedup": export("reconciliation", RECONCILIATION),
     "double_spends": export(

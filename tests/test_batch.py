@@ -167,6 +167,15 @@ def test_bad_arguments(spark):
         inject_corruption(tables, "mixed", rate=0)
 
 
+def test_corruption_shares_rows_out_evenly(spark):
+    rows = spark.range(12000).selectExpr("concat('i', id) AS input_id", "concat('t', id) AS tx_hash", "0 AS input_index",
+        "'p' AS previous_tx_hash", "'0' AS previous_output_index", "'a' AS address", "1L AS value_sats")
+    tables = {e: spark.createDataFrame([], SCHEMAS[e]) for e in ENTITIES} | {"inputs": rows}
+    damaged = inject_corruption(tables, "data_quality", 1.0)["inputs"]
+    counts = damaged.selectExpr("count_if(input_id = '')", "count_if(address = '   ')", "count_if(value_sats = 'not-a-number')").first()
+    assert sum(counts) >= 12000 and max(counts) - min(counts) < 400
+
+
 def test_corruption_is_seeded_and_scaled(spark):
     tables = clean_tables(spark)
     untouched = inject_corruption(tables, "clean")

@@ -15,7 +15,7 @@ from tests.compare import connect, difference, oracle_result, spark_result
 
 FOLDER = "/root/testdata/sf0.001"
 USUAL = (
-    "bronze_blocks bronze_inputs silver_conservation union_by_position gold_inputs_from_tables q_kpis q_metrics_inputs"
+    "bronze_blocks bronze_inputs silver_blocks_native reject_inputs_native silver_conservation union_by_position gold_inputs_from_tables q_kpis q_metrics_inputs"
     " q_utxo_summary q_miners latest_by_key reference_missing id_collisions total_reconciliation row_quarantine"
     " window_total top_per_group chain table_write_modes silver_blocks reject_transactions reject_outputs"
     " utxo_reconciliation gold_outputs q_fee_rate_histogram corruption_effects"
