@@ -11,7 +11,9 @@ per character, exceeds LEAST_RATIO.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -123,10 +125,11 @@ def log_ratio(token: str, model: np.ndarray) -> float:
 def _scan(text: str, model: np.ndarray | None) -> list[tuple[int, int, int]]:
     found = pattern_spans(text)
     if model is not None:
-        taken = sorted((a, b) for a, _, b in found)
+        starts, reach = [a for a, _, _ in sorted(found)], list(accumulate((b for *_, b in sorted(found)), max))
         for match in TOKEN.finditer(text):
             a, b = match.span()
-            if not any(a < stop and start < b for start, stop in taken) and log_ratio(match[0], model) > LEAST_RATIO:
+            before = bisect_left(starts, b)  # spans that start before the token ends
+            if not (before and reach[before - 1] > a) and log_ratio(match[0], model) > LEAST_RATIO:
                 found.append((a, 3, b))
     return sorted(found)
 

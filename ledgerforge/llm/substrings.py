@@ -10,8 +10,8 @@ anchor; equal windows have equal anchors, and the windows in a row that share on
 2 * WINDOW - GRAM words. Pieces meet by anchor:
 
 1. Each task reports its pieces as hashes, one row for each distinct (anchor, content) in a block of
-   documents with its first place and the other places. Sorted by anchor and place, the rows say which pieces are the
-   first with their content; all windows of the others are repeated.
+   documents with its first place and the other places. Sorted by anchor, content and place, the rows say which
+   pieces are the first with their content; all windows of the others are repeated.
 2. First pieces that share an anchor with different content are cut from the texts and sent to the anchor's shard. The
    shard's suffix automaton grows in the order of places: each piece is streamed through it for
    matching statistics (the longest suffix at each word that was seen before); windows that a match of WINDOW
@@ -126,11 +126,13 @@ def _report(window: int, gram: int):
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces sorted by anchor and place -> repeated places, and first pieces of contested anchors.
+    """Pieces sorted by anchor, content and place -> repeated places, and first pieces of contested anchors.
 
-    `number` counts the different contents of an anchor; it is null for a place all of whose windows are repeated.
+    `number` counts the different contents of an anchor; it is null for a place all of whose
+    windows are repeated. Only the row before is remembered, however many rows an anchor has.
     """
-    open_anchor, contents, waiting = None, {}, None
+    open_anchor = open_content = first = waiting = None
+    number = 0
     for batch in batches:
         anchor = batch.column("anchor").to_numpy()
         lone = np.ones(len(anchor), bool)
@@ -142,14 +144,15 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.take(pa.array(np.flatnonzero(~lone))).to_pylist():
             place = (row["doc"], row["at"])
             if row["anchor"] != open_anchor:
-                open_anchor, contents, waiting = row["anchor"], {row["content"]: place}, place
-            elif row["content"] not in contents:
-                contents[row["content"]] = place
+                open_anchor, open_content, number = row["anchor"], row["content"], 1
+                first = waiting = place
+            elif row["content"] != open_content:
+                open_content, first, number = row["content"], place, number + 1
                 if waiting:
                     out.append((*waiting, open_anchor, 1))
                     waiting = None
-                out.append((*place, open_anchor, len(contents)))
-            elif contents[row["content"]] != place:
+                out.append((*place, open_anchor, number))
+            elif place != first:
                 out.append((*place, None, None))
             out += [(doc, at, None, None) for doc, at in zip(row["docs"], row["ats"])]
         columns = list(zip(*out)) or [()] * 4
@@ -290,7 +293,7 @@ def repeated_windows(docs: DataFrame, staging: Staging, *, window=WINDOW, gram=G
     )
     settled = (
         reported.repartition("anchor")
-        .sortWithinPartitions("anchor", "doc", "at")
+        .sortWithinPartitions("anchor", "content", "doc", "at")
         .mapInArrow(_settle, "doc bigint, at bigint, anchor bigint, number bigint")
     )
     settled = staging.keep(settled, "settled")
@@ -357,8 +360,8 @@ def without_repeated_windows(docs: DataFrame, *, doc_id="doc_id", text="text", w
 
     Words are runs of other characters than ASCII white space; `spans` are the removed [start, stop) in words,
     `kept` the other words joined by one space. Null texts have no words. Rows that agree in id and text are
-    one document; rows with equal ids and other texts are compared by the window's position. A
-    null id comes after all others.
+    one document. Rows with equal ids and other texts are documents of their own, ordered by the position
+    of the window and then by a hash of the text. A null id comes after all others.
     """
     staging = Staging(docs.sparkSession, "substrings")
     rows = docs.select(
