@@ -1,5 +1,6 @@
 import pytest
 
+from ledgerforge.plans.sample_ledger import SampleLedger
 from tests.session import local_session
 
 
@@ -7,6 +8,7 @@ from tests.session import local_session
 def spark():
     session = local_session(**{"spark.sql.shuffle.partitions": "4"})
     yield session
+    SampleLedger.release_shared(session)
     session.stop()
 
 
