@@ -9,9 +9,10 @@ cut into shards by content. The smallest hash among the GRAM-word runs of a wind
 anchor; equal windows have equal anchors, and the windows in a row that share one make a piece, at most
 2 * WINDOW - GRAM words. Pieces meet by anchor:
 
-1. Each task reports its pieces as hashes, one row for each distinct (anchor, content) in a block of
-   documents with its first place and the other places. Sorted by anchor, content and place, the rows say which
-   pieces are the first with their content; all windows of the others are repeated.
+1. Each task reports its pieces as hashes, one row with the first place for each distinct (anchor, content)
+   in a block of documents. The block's other places of it are repeated for certain and travel by document,
+   so a piece that fills the corpus is one row per block here. Sorted by anchor, content and place, the rows say
+   which pieces are the first with their content; all windows of the others are repeated.
 2. First pieces that share an anchor with different content are cut from the texts and sent to the anchor's shard. The
    shard's suffix automaton grows in the order of places: each piece is streamed through it for
    matching statistics (the longest suffix at each word that was seen before); windows that a match of WINDOW
@@ -91,7 +92,10 @@ def _windows_of(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _report(window: int, gram: int):
-    """Documents (doc, text_hash, text) -> distinct pieces of a block with all their places."""
+    """Documents (doc, text_hash, text) -> first places of the distinct pieces of a block, by anchor.
+
+    Rows without an anchor hold the other places in one document; they go by document.
+    """
 
     def block(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
         anchor, content, doc, at = (np.concatenate(column) for column in zip(*parts))
@@ -100,12 +104,18 @@ def _report(window: int, gram: int):
         same = np.r_[False, (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])]
         twin = np.r_[False, (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])] & same  # a repeated row
         anchor, content, doc, at, same = (x[~twin] for x in (anchor, content, doc, at, same))
-        first = np.flatnonzero(~same)
-        edges = np.zeros(len(first) + 1, np.int32)
-        np.cumsum(np.diff(np.r_[first, len(same)]) - 1, out=edges[1:])
-        others = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x[same])) for x in (doc, at)]
-        columns = [pa.array(x[first]) for x in (anchor, content, doc, at)]
-        return pa.record_batch([*columns, *others], names=["anchor", "content", "doc", "at", "docs", "ats"])
+        first = [x[~same] for x in (anchor, anchor, content, doc, at)]
+        order = np.argsort(doc[same], kind="stable")
+        later, places = doc[same][order], at[same][order]
+        starts = np.flatnonzero(np.r_[True, later[1:] != later[:-1]]) if len(later) else np.empty(0, np.int64)
+        owners, nothing = later[starts], [None] * len(starts)
+        own = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(later)], pa.int32()), pa.array(places, pa.int64()))
+        columns = [
+            pa.concat_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())])
+            for x, y in zip(first, (owners, nothing, nothing, owners, nothing))
+        ]
+        columns.append(pa.concat_arrays([pa.nulls(len(first[0]), own.type), own]))
+        return pa.record_batch(columns, names=["route", "anchor", "content", "doc", "at", "ats"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, parts, rows = WordHashes(), [], 0
@@ -134,14 +144,17 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open_anchor = open_content = first = waiting = None
     number = 0
     for batch in batches:
-        anchor = batch.column("anchor").to_numpy()
+        anchor = batch.column("anchor").fill_null(0).to_numpy()
         lone = np.ones(len(anchor), bool)
         lone[1:] &= anchor[1:] != anchor[:-1]
         lone[:-1] &= anchor[1:] != anchor[:-1]
         lone[[0, -1]] = False  # its group may reach into another batch
-        lone &= batch.column("docs").value_lengths().to_numpy() == 0
+        lone &= batch.column("anchor").is_valid().to_numpy(zero_copy_only=False)
         out = []
         for row in batch.take(pa.array(np.flatnonzero(~lone))).to_pylist():
+            if row["anchor"] is None:
+                out += [(row["doc"], at, None, None) for at in row["ats"]]
+                continue
             place = (row["doc"], row["at"])
             if row["anchor"] != open_anchor:
                 open_anchor, open_content, number = row["anchor"], row["content"], 1
@@ -154,7 +167,6 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out.append((*place, open_anchor, number))
             elif place != first:
                 out.append((*place, None, None))
-            out += [(doc, at, None, None) for doc, at in zip(row["docs"], row["ats"])]
         columns = list(zip(*out)) or [()] * 4
         yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["doc", "at", "anchor", "number"])
 
@@ -289,10 +301,10 @@ def repeated_windows(docs: DataFrame, staging: Staging, *, window=WINDOW, gram=G
     """Places (doc, at) of repeated windows of `docs` (doc, text_hash, text)."""
     reported = docs.mapInArrow(
         _report(window, gram),
-        "anchor bigint, content bigint, doc bigint, at bigint, docs array<bigint>, ats array<bigint>",
+        "route bigint, anchor bigint, content bigint, doc bigint, at bigint, ats array<bigint>",
     )
     settled = (
-        reported.repartition("anchor")
+        reported.repartition("route")
         .sortWithinPartitions("anchor", "content", "doc", "at")
         .mapInArrow(_settle, "doc bigint, at bigint, anchor bigint, number bigint")
     )
