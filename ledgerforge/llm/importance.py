@@ -4,7 +4,8 @@ Words and pairs of neighbouring words are hashed into BUCKETS. The raw model cou
 model over the documents labelled good. A document's weight is the log of the ratio of its likelihoods under the
 two models, summed over its n-grams. Adding Gumbel noise and keeping the largest
 sums draws documents without replacement, in proportion to their weights. The noise is a hash of
-the id and a seed, so a retried task draws the same.
+the id and a seed, so a retried task draws the same. Sums grow with the text and have no bound; they
+are ordered by the bits of the double.
 
 Each task sends one row per bucket it met. The cut of the top k is found without sorting the
 corpus: the 64 bits of a sortable key are narrowed 16 at a time by histograms of at most 65,536
@@ -105,9 +106,11 @@ def gumbel(doc_id: Column, seed: int = SEED) -> Column:
     return -F.log(-F.log(unit))
 
 
-def _sortable(value: str) -> str:
-    """SQL for an integer that orders like a double below 2**22, to 2**-40."""
-    return f"cast(round({value} * {1 << 40}) as bigint)"
+@F.arrow_udf(T.LongType())
+def sortable(values: pa.Array) -> pa.Array:
+    """An integer that orders like the double, of any size and to its last bit."""
+    bits = (values.to_numpy(zero_copy_only=False) + 0.0).view(np.int64)  # -0.0 + 0.0 is 0.0
+    return pa.array(bits ^ (bits >> np.int64(63)) & np.int64((1 << 63) - 1), pa.int64())
 
 
 def top_share(scored: DataFrame, key: str, share: float) -> DataFrame:
@@ -154,7 +157,7 @@ def resample(
     scored = docs.select(
         F.col(doc_id).alias("doc_id"), log_weight(F.col(text), ratios).alias("log_weight"), gumbel(F.col(doc_id), seed).alias("noise")
     )
-    scored = scored.withColumn("key", F.expr(_sortable("(log_weight + noise)"))).withColumn(
+    scored = scored.withColumn("key", sortable(F.col("log_weight") + F.col("noise"))).withColumn(
         "tie", F.monotonically_increasing_id()
     )
     scored = Staging(docs.sparkSession, "importance").keep(scored, "scored")

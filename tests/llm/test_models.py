@@ -172,6 +172,21 @@ def test_resampling_odd_rows(frame):
     assert importance.resample(docs.limit(0), np.zeros(10), 0.5).count() == 0
 
 
+def test_resampling_takes_very_long_texts(frame):
+    texts = ["x " * 1_200_000, "x " * 1_000_000, "x", "x x", ""]  # two n-grams a word: sums below -2**23
+    found = importance.resample(frame([*enumerate(texts)], DOCS), np.full(10, -9.0), 0.8).collect()
+    assert min(r.log_weight for r in found) < -(1 << 24)
+    assert {r.doc_id for r in found if r.kept} == {1, 2, 3, 4}
+
+
+def test_sortable_orders_like_the_double(frame):
+    rnd = random.Random(8)
+    values = [0.0, -0.0, 1e308, -1e308, 5e-324, -5e-324, 8.5e6, -9e7, *(rnd.uniform(-1, 1) * 10 ** rnd.randint(-9, 12) for _ in range(300))]
+    keys = [r.key for r in frame([(v,) for v in values], "v double").select(importance.sortable("v").alias("key")).collect()]
+    order = sorted(range(len(values)), key=lambda i: keys[i])
+    assert [values[i] for i in order] == sorted(values) and keys[0] == keys[1]
+
+
 # -- url filters --------------------------------------------------------------------------------
 
 URLS = [
