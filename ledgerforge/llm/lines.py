@@ -10,7 +10,8 @@ Overlapping matched windows grow together into maximal runs, and every run that
 than its first place is deleted.
 
 So a line goes if and only if some `run` consecutive lines around it also start earlier: in a
-document with a smaller id, or earlier in the same document. Content is compared by 128-bit hashes.
+document with a smaller id, or earlier in the same document. With `words`, runs of fewer lines that hold
+at least so many words are windows too, by the same rule. Content is compared by 128-bit hashes.
 Both joins meet a table with one row per distinct key, built with map-side aggregation, so a
 line that fills a third of the corpus is one aggregated row, and its places are spread by Spark's
 skew join; positions are never paired with each other.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerforge.llm.columns import free_name
-from ledgerforge.llm.tasks import raw_texts
+from ledgerforge.llm.tasks import bounds, raw_texts
 from ledgerforge.sources.staging import Staging
 
 RUN = 3
@@ -36,30 +37,48 @@ WINDOWS = T.ArrayType(
         [
             T.StructField("mark", T.LongType()),
             T.StructField("start", T.IntegerType()),
+            T.StructField("size", T.IntegerType()),
             T.StructField("content", T.BinaryType()),
         ]
     )
 )
 
 
-def _windows(text: bytes, run: int) -> list[tuple[int, int, bytes]]:
-    """(fingerprint, start, content hash) of every window of `run` lines."""
+def _windows(text: bytes, run: int, words: int | None) -> list[tuple[int, int, int, bytes]]:
+    """(fingerprint, start, lines, content hash) of every window."""
     lines = text.split(b"\n")
-    count = len(lines) - run + 1
-    if count < 1:
+    if words is None and len(lines) < run:
         return []
-    hashes = np.array([xxhash.xxh64_intdigest(line) for line in lines], np.uint64).view(np.int64)
-    marks = np.lib.stride_tricks.sliding_window_view(hashes, run).min(axis=1).tolist()
     digests = [xxhash.xxh3_128_digest(line) for line in lines]
-    return [(marks[i], i, xxhash.xxh3_128_digest(b"".join(digests[i : i + run]))) for i in range(count)]
-
-
-def line_windows(text: Column, run: int) -> Column:
+    long = None if words is None else bounds(len(line.split()) for line in lines)
+    out = []
+    for size in range(run if words is None else 1, min(run, len(lines)) + 1):
+        # Another seed for each size: windows of one size only are counted together.
+        hashes = np.array([xxhash.xxh64_intdigest(line, run - size) for line in lines], np.uint64).view(np.int64)
+        marks = np.lib.stride_tricks.sliding_window_view(hashes, size).min(axis=1)
+        starts = np.arange(len(marks)) if size == run else np.flatnonzero(long[size:] - long[:-size] >= words)
+        for i, mark in zip(starts.tolist(), marks[starts].tolist()):
+            out.append((mark, i, size, xxhash.xxh3_128_digest(b"".join(digests[i : i + size]))))
+    return out
+
+
+def line_windows(text: Column, run: int, words: int | None = None) -> Column:
     @F.arrow_udf(WINDOWS)
     def windows(texts: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("mark", pa.int64()), ("start", pa.int32()), ("content", pa.binary())]))
+        kind = pa.list_(
+            pa.struct(
+                [
+                    ("mark", pa.int64()),
+                    ("start", pa.int32()),
+                    ("size", pa.int32()),
+                    ("content", pa.binary()),
+                ]
+            )
+        )
         rows = [
-            [{"mark": m, "start": s, "content": c} for m, s, c in _windows(text or b"", run)]
+            [{"mark": m, "start": s, "size": n, "content": c} for m, s, n, c in _windows(text, run, words)]
+            if text is not None
+            else []
             for text in raw_texts(texts)
         ]
         return pa.array(rows, kind)
@@ -79,8 +98,8 @@ def repeated_windows(places: DataFrame, staging: Staging) -> DataFrame:
     return candidates.join(first, "content").filter("at > first")
 
 
-def repeated_lines(docs: DataFrame, *, doc_id="doc_id", text="text", run=RUN) -> DataFrame:
-    """(doc_id, text_hash, starts): where repeated windows start, for documents that have any.
+def repeated_lines(docs: DataFrame, *, doc_id="doc_id", text="text", run=RUN, words=None) -> DataFrame:
+    """(doc_id, text_hash, gone): positions of repeated lines, for documents that have any.
 
     Rows that agree in id and text are one document. Rows with equal ids but other texts are ordered by a
     hash of the text; a null id comes after all others.
@@ -88,56 +107,58 @@ def repeated_lines(docs: DataFrame, *, doc_id="doc_id", text="text", run=RUN) ->
     staging = Staging(docs.sparkSession, "lines")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
-    ).filter(F.col("text").contains("\n"))
-    places = rows.select("doc_id", "text_hash", F.explode(line_windows(F.col("text"), run)).alias("w")).select(
+    )
+    if words is None and run > 1:
+        rows = rows.filter(F.col("text").contains("\n"))
+    places = rows.select("doc_id", "text_hash", F.explode(line_windows(F.col("text"), run, words)).alias("w")).select(
         F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", F.col("w.start").alias("start")).alias(
             "at"
         ),
+        F.col("w.size").alias("size"),
         F.col("w.mark").alias("mark"),
         F.col("w.content").alias("content"),
     )
     repeated = repeated_windows(staging.keep(places, "places"), staging)
+    covered = F.transform(F.collect_set(F.struct("start", "size")), lambda w: F.sequence(w["start"], w["start"] + w["size"] - 1))
     return (
-        repeated.select("at.*")
+        repeated.select("at.*", "size")
         .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_set("start")).alias("starts"))
+        .agg(F.sort_array(F.array_distinct(F.flatten(covered))).alias("gone"))
     )
 
 
-def _without(run: int):
-    @F.arrow_udf(T.StringType())
-    def kept(texts: pa.Array, starts: pa.Array) -> pa.Array:
-        out = []
-        for text, gone in zip(raw_texts(texts), starts.to_pylist()):
-            if text is not None and gone:
-                lines = text.split(b"\n")
-                keep = np.ones(len(lines), bool)
-                for offset in range(run):
-                    keep[np.array(gone) + offset] = False
-                text = b"\n".join(lines[i] for i in np.flatnonzero(keep))
-            out.append(text)
-        return pa.array(out, pa.binary()).cast(pa.string())
-
-    return kept
+@F.arrow_udf(T.StringType())
+def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    out = []
+    for text, places in zip(raw_texts(texts), gone.to_pylist()):
+        if text is not None and places:
+            lines = text.split(b"\n")
+            keep = np.ones(len(lines), bool)
+            keep[places] = False
+            text = b"\n".join(lines[i] for i in np.flatnonzero(keep))
+        out.append(text)
+    return pa.array(out, pa.binary()).cast(pa.string())
 
 
-def without_repeated_lines(docs: DataFrame, *, doc_id="doc_id", text="text", run=RUN, removed=None) -> DataFrame:
+def without_repeated_lines(
+    docs: DataFrame, *, doc_id="doc_id", text="text", run=RUN, words=None, removed=None
+) -> DataFrame:
     """`docs` with later repeated runs of lines deleted from the text; no row is dropped.
 
     Lines are separated by "\\n" only; the kept lines are joined by it again. A document all of
-    whose lines go has an empty text. Null and empty texts stay. `removed` names an optional
-    column for the number of deleted lines.
+    whose lines go has an empty text. Null and empty texts stay. A run is long enough with `run`
+    lines or, if `words` is given, with so many words. `removed` names an optional column for the number
+    of deleted lines.
     """
     columns = docs.columns
-    found = repeated_lines(docs, doc_id=doc_id, text=text, run=run)
+    found = repeated_lines(docs, doc_id=doc_id, text=text, run=run, words=words)
     taken = [*columns, removed or ""]
     names = {name: free_name(taken, f"_{name}") for name in found.columns}
     found = found.select([F.col(name).alias(own) for name, own in names.items()])
-    starts = F.col(names["starts"])
+    gone = F.col(names["gone"])
     same = F.col(doc_id).eqNullSafe(F.col(names["doc_id"])) & (F.xxhash64(text) == F.col(names["text_hash"]))
     joined = docs.join(found, same, "left")
     if removed:
-        covered = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + run - 1))))
-        joined = joined.withColumn(removed, F.when(starts.isNull(), 0).otherwise(F.size(covered)).cast("bigint"))
+        joined = joined.withColumn(removed, F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("bigint"))
         columns = [*[c for c in columns if c.lower() != removed.lower()], removed]
-    return joined.withColumn(text, _without(run)(F.col(text), starts)).select(columns)
+    return joined.withColumn(text, _without(F.col(text), gone)).select(columns)

@@ -145,6 +145,25 @@ def test_lines_odd_rows(spark, frame):
     assert lines.without_repeated_lines(docs.limit(0)).columns == docs.columns
 
 
+def test_lines_take_short_runs_of_many_words(spark, frame):
+    rnd = random.Random(4)
+    passages = [" ".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (4, 8, 9, 15, 30)]
+    docs = [(i, "\n".join(rnd.choice(passages) if rnd.random() < 0.5 else f"own {rnd.random()}" for _ in range(rnd.randint(1, 6)))) for i in range(60)]
+    seen, gone = set(), {d: set() for d, _ in docs}
+    for doc, text in docs:
+        own = text.split("\n")
+        for at, size in [(i, n) for i in range(len(own)) for n in (1, 2, 3) if i + n <= len(own)]:
+            window = tuple(own[at : at + size])
+            if size == 3 or sum(len(x.split()) for x in window) >= 15:
+                gone[doc] |= set(range(at, at + size)) if window in seen else set()
+                seen.add(window)
+    found = lines.without_repeated_lines(frame(docs, DOCS), words=15, removed="n").collect()
+    assert any(gone[d] and t.count("\n") < 2 for d, t in docs) and len(found) == len(docs)
+    for row in found:
+        own = dict(docs)[row.doc_id].split("\n")
+        assert (row.text, row.n) == ("\n".join(x for i, x in enumerate(own) if i not in gone[row.doc_id]), len(gone[row.doc_id]))
+
+
 # -- substrings -------------------------------------------------------------------------------
 
 
