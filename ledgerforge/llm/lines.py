@@ -1,13 +1,13 @@
-"""Line dedup: winnowing over line hashes, then deletion of later repeated runs of lines.
+"""Line dedup: deletion of later repeated runs of lines, prefiltered by winnowing over line hashes.
 
 A document is its sequence of line hashes. Winnowing slides a window of `run` lines over it and
-selects the smallest line hash in each, so any run of `run` lines that two places share selects
-the same line at the same offset: the selected lines are fingerprints that no shared run escapes.
-Fingerprints that occur once are dropped by an aggregation. Around the others, positions are
-joined and matches extended both ways: a fingerprint's windows (all windows of `run` lines that
-selected it) are keyed by their whole content and joined with the first place of that content.
-Overlapping matched windows grow together into maximal runs, and every run that starts later
-than its first place is deleted.
+selects the smallest line hash in each, the first of equals, so any run of `run` lines that two places
+share selects the same line at the same offset: the selected positions are fingerprints that no
+shared run escapes. An aggregation counts the selected positions of each hash; windows whose
+fingerprint is selected at one position only are dropped. The others are keyed by their whole content and
+joined with the first place of that content. This takes the place of extending matches from
+joined positions, which would pair the places of a frequent line with each other: the windows of a
+longer match are all found by their own content, and overlapping ones delete it whole.
 
 So a line goes if and only if some `run` consecutive lines around it also start earlier: in a
 document with a smaller id, or earlier in the same document. With `words`, runs of fewer lines that hold
@@ -36,6 +36,7 @@ WINDOWS = T.ArrayType(
     T.StructType(
         [
             T.StructField("mark", T.LongType()),
+            T.StructField("fresh", T.BooleanType()),
             T.StructField("start", T.IntegerType()),
             T.StructField("size", T.IntegerType()),
             T.StructField("content", T.BinaryType()),
@@ -44,8 +45,8 @@ WINDOWS = T.ArrayType(
 )
 
 
-def _windows(text: bytes, run: int, words: int | None) -> list[tuple[int, int, int, bytes]]:
-    """(fingerprint, start, lines, content hash) of every window."""
+def _windows(text: bytes, run: int, words: int | None) -> list[tuple[int, bool, int, int, bytes]]:
+    """(fingerprint, whether its position is selected anew, start, lines, content hash) of every window."""
     lines = text.split(b"\n")
     if words is None and len(lines) < run:
         return []
@@ -55,10 +56,12 @@ def _windows(text: bytes, run: int, words: int | None) -> list[tuple[int, int, i
     for size in range(run if words is None else 1, min(run, len(lines)) + 1):
         # Another seed for each size: windows of one size only are counted together.
         hashes = np.array([xxhash.xxh64_intdigest(line, run - size) for line in lines], np.uint64).view(np.int64)
-        marks = np.lib.stride_tricks.sliding_window_view(hashes, size).min(axis=1)
-        starts = np.arange(len(marks)) if size == run else np.flatnonzero(long[size:] - long[:-size] >= words)
-        for i, mark in zip(starts.tolist(), marks[starts].tolist()):
-            out.append((mark, i, size, xxhash.xxh3_128_digest(b"".join(digests[i : i + size]))))
+        slid = np.lib.stride_tricks.sliding_window_view(hashes, size)
+        selected = slid.argmin(axis=1) + np.arange(len(slid))
+        starts = np.arange(len(slid)) if size == run else np.flatnonzero(long[size:] - long[:-size] >= words)
+        marks, fresh = hashes[selected[starts]].tolist(), np.r_[True, np.diff(selected[starts]) > 0][: len(starts)].tolist()
+        for i, mark, new in zip(starts.tolist(), marks, fresh):
+            out.append((mark, new, i, size, xxhash.xxh3_128_digest(b"".join(digests[i : i + size]))))
     return out
 
 
@@ -69,6 +72,7 @@ def line_windows(text: Column, run: int, words: int | None = None) -> Column:
             pa.struct(
                 [
                     ("mark", pa.int64()),
+                    ("fresh", pa.bool_()),
                     ("start", pa.int32()),
                     ("size", pa.int32()),
                     ("content", pa.binary()),
@@ -76,7 +80,7 @@ def line_windows(text: Column, run: int, words: int | None = None) -> Column:
             )
         )
         rows = [
-            [{"mark": m, "start": s, "size": n, "content": c} for m, s, n, c in _windows(text, run, words)]
+            [{"mark": m, "fresh": f, "start": s, "size": n, "content": c} for m, f, s, n, c in _windows(text, run, words)]
             if text is not None
             else []
             for text in raw_texts(texts)
@@ -86,14 +90,18 @@ def line_windows(text: Column, run: int, words: int | None = None) -> Column:
     return windows(text)
 
 
+def shared_marks(places: DataFrame) -> DataFrame:
+    """Fingerprints (mark) of `places` (mark, fresh) that are selected at more than one position."""
+    return places.filter("fresh").groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
+
+
 def repeated_windows(places: DataFrame, staging: Staging) -> DataFrame:
-    """Rows of `places` (mark, content, order columns `at`) whose content also starts earlier.
+    """Rows of `places` (mark, fresh, content, order columns `at`) whose content also starts earlier.
 
     `at` is a struct that orders places; equal places of equal content are the same place.
     """
-    shared = places.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
-    shared = staging.keep(shared, "shared")  # a table of its own, so that Spark may split hot marks
-    candidates = staging.keep(places.join(shared, "mark", "left_semi"), "candidates")
+    shared = staging.keep(shared_marks(places), "shared")  # a table of its own, so that Spark may split hot marks
+    candidates = staging.keep(places.join(shared, "mark", "left_semi").drop("mark", "fresh"), "candidates")
     first = staging.keep(candidates.groupBy("content").agg(F.min("at").alias("first")), "first")
     return candidates.join(first, "content").filter("at > first")
 
@@ -116,6 +124,7 @@ def repeated_lines(docs: DataFrame, *, doc_id="doc_id", text="text", run=RUN, wo
         ),
         F.col("w.size").alias("size"),
         F.col("w.mark").alias("mark"),
+        F.col("w.fresh").alias("fresh"),
         F.col("w.content").alias("content"),
     )
     repeated = repeated_windows(staging.keep(places, "places"), staging)

@@ -164,6 +164,13 @@ def test_lines_take_short_runs_of_many_words(spark, frame):
         assert (row.text, row.n) == ("\n".join(x for i, x in enumerate(own) if i not in gone[row.doc_id]), len(gone[row.doc_id]))
 
 
+def test_lines_selected_at_one_position_are_dropped(spark, frame):
+    docs = frame([(i, "\n".join(f"{i} {j}" for j in range(30))) for i in range(20)] + [(99, "7 1\n7 2\n7 3")], DOCS)
+    places = docs.select(F.explode(lines.line_windows(F.col("text"), 3)).alias("w")).select("w.*")
+    shared = lines.shared_marks(places)
+    assert shared.count() == 1 and places.join(shared, "mark", "left_semi").count() <= 4
+
+
 # -- substrings -------------------------------------------------------------------------------
 
 
