@@ -7,7 +7,7 @@ window is removed.
 The reference of each document is all text before it, which no broadcast can hold. So the reference is
 cut into shards by content. The smallest hash among the GRAM-word runs of a window is its
 anchor; equal windows have equal anchors, and the windows in a row that share one make a piece, at most
-2 * WINDOW - GRAM words. Pieces meet by anchor:
+2 * WINDOW - GRAM words (or several, if they are more than a place can count). Pieces meet by anchor:
 
 1. Each task reports its pieces as hashes, one row with the first place for each distinct (anchor, content)
    in a block of documents. The block's other places of it are repeated for certain and travel by document,
@@ -60,6 +60,8 @@ def _pieces(documents: list[list[bytes]], cache: WordHashes, window: int, gram:
 
     The hashes of a piece's first and last window cover all its words. No two windows of one
     piece are equal: the later one would have taken the anchor's repeat, being the last of equals.
+    More than MOST_WINDOWS windows that share an anchor are several pieces, cut at equal distances from
+    the first, so that equal runs are cut alike.
     """
     edges = bounds(map(len, documents))
     rolling = RollingHash(cache.of([word for document in documents for word in document]))
@@ -70,6 +72,9 @@ def _pieces(documents: list[list[bytes]], cache: WordHashes, window: int, gram:
         return [np.empty(0, np.int64)] * 5
     anchors = _smallest(grams, window - gram + 1)[inside]
     first = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+    if window - gram + 1 > MOST_WINDOWS:
+        since = np.arange(len(anchors)) - np.repeat(first, np.diff(np.r_[first, len(anchors)]))
+        first = np.flatnonzero(since % MOST_WINDOWS == 0)
     last = np.r_[first[1:], len(anchors)] - 1
     count = last - first + 1
     mixed = windows[inside[first]] * np.uint64(0x9E3779B97F4A7C15) + windows[inside[last]] * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -81,6 +86,7 @@ def _pieces(documents: list[list[bytes]], cache: WordHashes, window: int, gram:
 # A place is (doc, at); at holds the first window, the number of windows and some bits of the
 # text's hash, which tell apart rows with equal ids. It orders by the first window.
 COUNT_BITS, TEXT_BITS = 5, 27
+MOST_WINDOWS = (1 << COUNT_BITS) - 1  # of one piece
 
 
 def _at(start: np.ndarray, count: np.ndarray, text_hash: np.ndarray) -> np.ndarray:

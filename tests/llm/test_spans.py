@@ -210,6 +210,19 @@ def test_substrings_odd_rows(spark, frame):
     assert substrings.without_repeated_windows(frame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("split", [256, 1])
+def test_substrings_equal_brute_force_at_wide_windows(spark, frame, monkeypatch, split):
+    monkeypatch.setattr(substrings, "SPLIT", split)
+    rnd = random.Random(split)
+    passage = [f"w{rnd.randint(0, 10**6)}" for _ in range(200)]
+    docs = []
+    for i in range(30):
+        cut = sorted(rnd.sample(range(201), 2))
+        own = [f"o{rnd.randint(0, 10**6)}" for _ in range(120)]
+        docs.append((i, " ".join(own[:60] + passage[cut[0] : cut[1]] + own[60:])))
+    check_substrings(spark, frame, docs, 50, 5)
+
+
 def test_automaton_matching_statistics():
     rnd = random.Random(9)
     texts = [[rnd.choice("ab") for _ in range(rnd.randint(1, 12))] for _ in range(8)]
