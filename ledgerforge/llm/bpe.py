@@ -1,17 +1,19 @@
 """Byte-level BPE over a corpus: each distinct pre-token is encoded once, globally.
 
 Encoding has four steps. (1) Each task cuts its texts into pre-tokens and numbers the distinct
-ones of a block of documents; a document becomes the sequence of these numbers, which keeps
-every position. (2) Each block's distinct words are dealt into buckets by hash and shuffled by
-bucket, so that equal words of all blocks meet; each distinct word is encoded once. (3) The ids
-go back to their blocks. (4) Each block looks its documents' numbers up and lays the ids end to end.
-
-A very frequent word is sent once by each block, not once per occurrence, so no word is a hot
-key. A block's dictionary and texts are bounded by BLOCK_CHARS (a longer text is a block of its
-own), and there are about as many buckets as blocks, which bounds a bucket's words likewise. Words
-and ids of a (block, bucket) travel as one compressed row, and so do a block's documents, by the
-same two shuffles. Blocks are named by input partition and order, so a retried task names them
-alike; a block that does not meet all its ids fails the job.
+ones of a section of documents; a document becomes the sequence of these numbers, which keeps
+every position. (2) Each section's distinct words are dealt into buckets by hash and shuffled by
+bucket, so that equal words of all sections meet; each distinct word is encoded once. (3) The ids
+go back to their sections. (4) Each section looks its documents' numbers up and lays the ids end to
+end; where bytes are asked for, the same step joins them with the token-byte table again.
+
+A very frequent word is sent once by each section, not once per occurrence, so no word is a hot
+key. Within a section, documents travel in blocks of about BLOCK_CHARS (a longer text is a block of
+its own), each one compressed row, and so do a section's words of one bucket, by the same two
+shuffles. Step 4 holds a section's ids (at most SECTION_WORDS words) and one block. There are as many
+buckets as shuffle partitions, at most MOST_BUCKETS, so rows grow with the input and not with its
+square. Sections are named by input partition and order, so a retried task names them alike; a
+section that does not meet all its ids fails the job.
 
 Decoding joins ids with the token-byte table, whose size is the vocabulary's, inside each task.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -33,9 +36,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
-BLOCK_CHARS = 8 << 20
+from pyspark.sql.pandas.types import to_arrow_type
+
+BLOCK_CHARS = 2 << 20
+SECTION_CHARS = 32 << 20
+SECTION_WORDS = 1 << 19  # distinct words after which a section ends with its block
+MOST_BUCKETS = 4096
+KNOWN_WORDS = 1 << 20  # encoded words of a bucket that a task remembers before it starts afresh
+CUT_WORDS = 1 << 18  # pre-tokens numbered in one step
 LAY_OUT_WORDS = 1 << 18  # pre-tokens replaced by ids in one step
+SLICE_TOKENS = 1 << 18  # tokens of documents that are handed on together
 DECODE_ROWS = 256  # texts decoded in one step
 
 # Fixed value: the characters that the tokenizer's engine takes for white space.
@@ -127,175 +137,268 @@ def _grow(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-class _Block:
-    """Documents and distinct words until BLOCK_CHARS of text are in."""
+ROW = [("route", pa.int64()), ("section", pa.int64()), ("part", pa.int32())]
+
 
-    def __init__(self, name: int):
-        self.name, self.chars, self.ids, self.sequences = name, 0, [], []
-        self.numbers = defaultdict()
-        self.numbers.default_factory = self.numbers.__len__
+class _Section:
+    """Documents in blocks, and the distinct words of all of them.
+
+    A block numbers its new words by frequency, after those of the blocks before it. Its row has the
+    documents' numbers and the length of each; a row of words has them with their numbers. `part`
+    is a block's order, or below zero for the words of bucket -1 - part.
+    """
 
-    def add(self, doc_id, words: list[str], size: int) -> None:
+    def __init__(self, name: int, schema: pa.Schema, buckets: int, block_chars: int, section_chars: int):
+        self.name, self.schema, self.buckets = name, schema, buckets
+        self.most_block, self.most = block_chars, section_chars
+        self.chars = self.block_chars = self.blocks = 0
+        self.ids, self.sequences = [], []
+        self.seen = defaultdict()  # word -> order of its first occurrence
+        self.seen.default_factory = self.seen.__len__
+        self.number = np.empty(0, np.int32)  # by that order
+
+    def add(self, doc_id, words: Iterator[str], size: int) -> None:
+        parts = []
+        while len(part := np.fromiter(map(self.seen.__getitem__, itertools.islice(words, CUT_WORDS)), np.int32)):
+            parts.append(part)
         self.ids.append(doc_id)
-        self.sequences.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self.sequences.append(np.concatenate(parts) if parts else np.empty(0, np.int32))
         self.chars += size
-
-    def batch(self, schema: pa.Schema, buckets: int) -> pa.RecordBatch:
-        """One row with the documents, and one for each bucket with its words in the order of their numbers.
-
-        Words are numbered anew by frequency. The documents' row keeps the bucket of each number
-        and the length of each sequence.
-        """
-        numbers = np.concatenate(self.sequences)
-        order = np.argsort(-np.bincount(numbers, minlength=len(self.numbers)), kind="stable")
-        renumbered = np.empty(len(order), np.int32)
-        renumbered[order] = np.arange(len(order))
-        words = list(self.numbers)
-        dealt: dict[int, list[bytes]] = defaultdict(list)
-        bucket_of = np.empty(len(order), "<u4")
-        for number, old in enumerate(order.tolist()):
-            word = words[old].encode()
-            bucket = zlib.crc32(word) % buckets
-            bucket_of[number] = bucket
-            dealt[bucket].append(word)
-        sizes = np.array([len(x) for x in self.sequences], "<u4")
-        documents = (_shrink(_pack(renumbered[numbers])), _shrink(sizes), _shrink(bucket_of))
-        rows = [(self.name, self.name, None, self.ids, *documents)]
-        for bucket, own in sorted(dealt.items()):
-            rows.append((-1 - bucket, self.name, bucket, None, _shrink(b"\xff".join(own)), None, None))
-        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-
-def _into_blocks(pattern: str, buckets: int):
+        self.block_chars += size
+
+    def full(self) -> bool:
+        return self.chars >= self.most or len(self.seen) >= SECTION_WORDS
+
+    def block_full(self) -> bool:
+        return self.block_chars >= self.most_block or self.full()
+
+    def _rows(self, rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), self.schema)], schema=self.schema)
+
+    def block(self) -> pa.RecordBatch:
+        orders, known = np.concatenate(self.sequences), len(self.number)
+        counts = np.bincount(orders, minlength=len(self.seen))[known:]
+        added = np.empty(len(counts), np.int32)
+        added[np.argsort(-counts, kind="stable")] = np.arange(known, len(self.seen))
+        self.number = np.r_[self.number, added]
+        sizes = np.fromiter(map(len, self.sequences), "<u4", len(self.sequences))
+        route = self.name * MOST_BUCKETS + self.blocks
+        row = (route, self.name, self.blocks, self.ids, _shrink(_pack(self.number[orders])), _shrink(sizes), None)
+        self.ids, self.sequences, self.block_chars, self.blocks = [], [], 0, self.blocks + 1
+        return self._rows([row])
+
+    def words(self) -> Iterator[pa.RecordBatch]:
+        dealt: dict[int, list[tuple[int, bytes]]] = defaultdict(list)
+        for word, number in zip(self.seen, self.number.tolist()):
+            word = word.encode()
+            dealt[zlib.crc32(word) % self.buckets].append((number, word))
+        for bucket, own in dealt.items():
+            numbers, words = zip(*sorted(own))
+            steps = _shrink(_pack(np.diff(np.array(numbers, np.int64), prepend=0)))
+            yield self._rows([(-1 - bucket, self.name, -1 - bucket, None, _shrink(b"\xff".join(words)), None, steps)])
+
+
+def _into_sections(pattern: str, *limits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, name = word_pattern(pattern).findall, TaskContext.get().partitionId() << 32
-        block = _Block(name)
+        cut, name, section = word_pattern(pattern), TaskContext.get().partitionId() << 32, None
         for batch in batches:
             schema = pa.schema(
-                [("route", pa.int64()), ("block", pa.int64()), ("bucket", pa.int32())]
+                ROW
                 + [("doc_ids", pa.list_(batch.schema.field(0).type))]
-                + [(data, pa.binary()) for data in ("data", "sizes", "bucket_of")]
+                + [(data, pa.binary()) for data in ("data", "sizes", "numbers")]
             )
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                section = section or _Section(name, schema, *limits)
                 text = text.as_py() or ""
-                block.add(doc_id, cut(text), len(text))
-                if block.chars >= BLOCK_CHARS:
-                    yield block.batch(schema, buckets)
-                    block = _Block(block.name + 1)
-        if block.ids:
-            yield block.batch(schema, buckets)
+                words = iter(cut.findall(text)) if len(text) < BLOCK_CHARS else (m[0] for m in cut.finditer(text))
+                section.add(doc_id.as_py(), words, len(text))
+                if section.block_full():
+                    yield section.block()
+                if section.full():
+                    yield from section.words()
+                    name, section = name + 1, None
+        if section:
+            if section.ids:
+                yield section.block()
+            yield from section.words()
 
     return run
 
 
 def _encode_words(ranks: dict[bytes, int]):
-    """Rows sorted by route: a bucket's words become ids and their number for each word; documents pass."""
+    """Rows sorted by route: a bucket's words become ids and their number for each word; blocks pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, open_bucket = {}, None
         for batch in batches:
-            columns = {name: batch.column(name).to_pylist() for name in ("bucket", "data", "sizes")}
-            for row, bucket in enumerate(columns["bucket"]):
-                if bucket is None:
+            data, sizes = (batch.schema.get_field_index(name) for name in ("data", "sizes"))
+            for row, part in enumerate(batch.column("part").to_pylist()):
+                one = batch.slice(row, 1)
+                if part >= 0:
+                    yield one
                     continue
-                if bucket != open_bucket:
-                    known, open_bucket = {}, bucket
+                if part != open_bucket or len(known) > KNOWN_WORDS:
+                    known, open_bucket = {}, part
                 parts = []
-                for word in _grow(columns["data"][row]).split(b"\xff"):
-                    part = known.get(word)
-                    if part is None:
-                        part = known[word] = np.array(encode_word(word, ranks), "<u4").tobytes()
-                    parts.append(part)
-                columns["data"][row] = _shrink(*parts)
-                columns["sizes"][row] = _shrink(np.fromiter(map(len, parts), "<u4", len(parts)) // np.uint32(4))
-            for name in ("data", "sizes"):
-                at = batch.schema.get_field_index(name)
-                batch = batch.set_column(at, name, pa.array(columns[name], pa.binary()))
-            yield batch
+                for word in _grow(one.column(data)[0].as_py()).split(b"\xff"):
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = np.array(encode_word(word, ranks), "<u4").tobytes()
+                    parts.append(ids)
+                lengths = np.fromiter(map(len, parts), "<u4", len(parts)) // np.uint32(4)
+                one = one.set_column(data, "data", pa.array([_shrink(*parts)], pa.binary()))
+                yield one.set_column(sizes, "sizes", pa.array([_shrink(lengths)], pa.binary()))
 
     return run
 
 
-def _lay_out(rows: pa.Table) -> pa.Table:
-    """One block's documents, and ids of all its words -> documents with their ids."""
-    rows = rows.sort_by([("bucket", "ascending")])  # the documents' row comes last
-    *words, documents = rows.select(["bucket", "data", "sizes", "bucket_of", "doc_ids"]).to_pylist()
-    pool = np.frombuffer(b"".join(_grow(row["data"]) for row in words), "<i4")
-    by_bucket = np.frombuffer(b"".join(_grow(row["sizes"]) for row in words), "<u4").astype(np.int64)
-    order = np.argsort(np.frombuffer(_grow(documents["bucket_of"]), "<u4"), kind="stable")
-    if len(order) != len(by_bucket):
-        raise RuntimeError("A block has met the ids of another run; write the input before encoding it.")
-    width, start = np.empty((2, len(order)), np.int64)
-    width[order], start[order] = by_bucket, np.cumsum(by_bucket) - by_bucket
-    numbers = _unpack(_grow(documents["data"]))
-    total = np.r_[0, np.cumsum(width[numbers])]
-    sizes = np.frombuffer(_grow(documents["sizes"]), "<u4")
-    edges = total[np.r_[0, np.cumsum(sizes, dtype=np.int64)]]
-    flat = np.empty(total[-1], np.int32)
-    for at in range(0, len(numbers), LAY_OUT_WORDS):
-        part = numbers[at : at + LAY_OUT_WORDS]
-        low, high = total[at], total[at + len(part)]
-        shift = np.repeat(start[part] - total[at : at + len(part)], width[part])
-        flat[low:high] = pool[shift + np.arange(low, high)]
-    ids = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat))
-    kind = rows.schema.field("doc_ids").type.value_type
-    return pa.table({"doc_id": pa.array(documents["doc_ids"], kind), "ids": ids})
-
-
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id="doc_id", text="text") -> DataFrame:
+class _Pool:
+    """The ids of a section's words, by number."""
+
+    def __init__(self, section: int):
+        self.section, self.ids, self.sizes, self.numbers = section, [], [], []
+        self.width = None
+
+    def add(self, row: dict) -> None:
+        self.ids.append(np.frombuffer(_grow(row["data"]), "<i4"))
+        self.sizes.append(np.frombuffer(_grow(row["sizes"]), "<u4").astype(np.int64))
+        self.numbers.append(np.cumsum(_unpack(_grow(row["numbers"]))))
+
+    def close(self) -> None:
+        numbers = np.concatenate([*self.numbers, np.empty(0, np.int64)])
+        sizes = np.concatenate([*self.sizes, np.empty(0, np.int64)])
+        if len(np.unique(numbers)) != len(numbers) or (len(numbers) and numbers.max() >= len(numbers)):
+            raise RuntimeError(MIXED)
+        self.flat = np.concatenate([*self.ids, np.empty(0, np.int32)]).astype(np.int32, copy=False)
+        self.width, self.start = np.zeros((2, len(numbers)), np.int64)
+        self.width[numbers], self.start[numbers] = sizes, np.cumsum(sizes) - sizes
+        self.ids = self.sizes = self.numbers = None
+
+    def lay_out(self, numbers: np.ndarray) -> np.ndarray:
+        if len(numbers) and numbers.max() >= len(self.width):
+            raise RuntimeError(MIXED)
+        total = np.r_[0, np.cumsum(self.width[numbers])]
+        out = np.empty(total[-1], np.int32)
+        for at in range(0, len(numbers), LAY_OUT_WORDS):
+            part = numbers[at : at + LAY_OUT_WORDS]
+            low, high = total[at], total[at + len(part)]
+            shift = np.repeat(self.start[part] - total[at : at + len(part)], self.width[part])
+            out[low:high] = self.flat[shift + np.arange(low, high)]
+        return out
+
+
+MIXED = "A section has met the ids of another run; write the input before encoding it."
+
+
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs [first, stop) of documents with about SLICE_TOKENS pre-tokens together."""
+    first = total = 0
+    for stop, size in enumerate(sizes, 1):
+        total += size
+        if total >= SLICE_TOKENS or stop - first >= DECODE_ROWS or stop == len(sizes):
+            yield first, stop
+            first, total = stop, 0
+
+
+def _lay_out(table: pa.Array | None, kind: pa.DataType):
+    """Rows sorted by section and part -> documents with their ids, and their bytes if there is a table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = _Pool(-1)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at].as_py() for name in ("section", "part", "data", "sizes", "numbers")}
+                if row["section"] != pool.section:
+                    pool = _Pool(row["section"])
+                if row["part"] < 0:
+                    pool.add(row)
+                    continue
+                if pool.width is None:
+                    pool.close()
+                numbers = _unpack(_grow(row["data"]))
+                sizes = np.frombuffer(_grow(row["sizes"]), "<u4").astype(np.int64)
+                edges, doc_ids = np.r_[0, np.cumsum(sizes)], batch.column("doc_ids")[at].values
+                for first, stop in _groups(sizes.tolist()):
+                    flat = pool.lay_out(own := numbers[edges[first] : edges[stop]])
+                    ends = np.r_[0, np.cumsum(pool.width[own])][edges[first : stop + 1] - edges[first]]
+                    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                    columns = [doc_ids.slice(first, stop - first).cast(kind), ids]
+                    if table is not None:
+                        columns.append(_bytes_of(ids, table))
+                    yield pa.record_batch(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
+
+    return run
+
+
+def encode(
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    *,
+    doc_id="doc_id",
+    text="text",
+    decoded=None,
+    buckets=None,
+    block_chars=BLOCK_CHARS,
+    section_chars=SECTION_CHARS,
+) -> DataFrame:
     """(doc_id, ids) for every row of `docs`; ids is the array of token ids of the whole text.
 
-    Null and empty texts have no tokens. Repeated rows and null ids stay as they are. `ranks`
-    must hold all 256 single bytes. `docs` should be a table or files, so that a lost task reads its rows again
-    in the same order.
+    With `decoded`, a column of that name holds the bytes that the ids stand for, joined from the
+    token-byte table in the task that lays the ids out. `buckets` is by how many hash buckets distinct words meet, by
+    default the session's shuffle partitions. Null and empty texts have no tokens. Repeated rows and null
+    ids stay as they are. `ranks` must hold all 256 single bytes. `docs` should be a table or files, so
+    that a lost task reads its rows again in the same order.
     """
     kind = docs.schema[doc_id].dataType
-    blocks = T.StructType(
-        [
-            T.StructField("route", T.LongType()),
-            T.StructField("block", T.LongType()),
-            T.StructField("bucket", T.IntegerType()),
-            T.StructField("doc_ids", T.ArrayType(kind)),
-            T.StructField("data", T.BinaryType()),
-            T.StructField("sizes", T.BinaryType()),
-            T.StructField("bucket_of", T.BinaryType()),
-        ]
+    numbers = [T.StructField(name, T.LongType()) for name in ("route", "section")]
+    data = [T.StructField(name, T.BinaryType()) for name in ("data", "sizes", "numbers")]
+    sections = T.StructType(
+        [*numbers, T.StructField("part", T.IntegerType()), T.StructField("doc_ids", T.ArrayType(kind)), *data]
     )
-    chars = docs.agg(F.sum(F.char_length(text))).first()[0] or 0
     laid = T.StructType([T.StructField("doc_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return (
+    if decoded:
+        laid.add("decoded", T.BinaryType())
+    buckets = min(MOST_BUCKETS, buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    out = (
         docs.select(doc_id, text)
-        .mapInArrow(_into_blocks(pattern, chars // BLOCK_CHARS + 8), blocks)
+        .mapInArrow(_into_sections(pattern, buckets, block_chars, section_chars), sections)
         .repartition("route")
         .sortWithinPartitions("route")
-        .mapInArrow(_encode_words(ranks), blocks)
-        .groupBy("block")
-        .applyInArrow(_lay_out, laid)
-        .withColumnRenamed("doc_id", doc_id)
+        .mapInArrow(_encode_words(ranks), sections)
+        .repartition("section")
+        .sortWithinPartitions("section", "part")
+        .mapInArrow(_lay_out(_token_bytes(ranks) if decoded else None, to_arrow_type(kind)), laid)
     )
+    return out.toDF(doc_id, "ids", *([decoded] if decoded else []))
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """Bytes of an array of ids; null for a null array or one with an unknown id."""
-    tokens = [None] * (max(ranks.values(), default=-1) + 1)
+def _token_bytes(ranks: dict[bytes, int]) -> pa.Array:
+    """Bytes by id; null for ids between that are not in the vocabulary, and for the one after the last."""
+    tokens = [None] * (max(ranks.values(), default=-1) + 2)
     for token, rank in ranks.items():
         tokens[rank] = token
-    unknown = len(tokens)
-    table = pa.array([*tokens, None], pa.binary())
-
-    def piece(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten()
-        known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, unknown))
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        edges = np.zeros(len(lists) + 1, np.int32)
-        np.cumsum(sizes, out=edges[1:])
-        pieces = pa.ListArray.from_arrays(pa.array(edges), table.take(pc.if_else(known, flat, unknown)))
-        words = pc.binary_join(pieces, pa.scalar(b"", pa.binary()))
-        return pc.if_else(pc.is_valid(lists), words, pa.scalar(None, pa.binary()))
+    return pa.array(tokens, pa.binary())
+
+
+def _bytes_of(lists: pa.Array, table: pa.Array) -> pa.Array:
+    unknown, flat = len(table) - 1, lists.flatten()
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, unknown))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    edges = np.zeros(len(lists) + 1, np.int32)
+    np.cumsum(sizes, out=edges[1:])
+    pieces = pa.ListArray.from_arrays(pa.array(edges), table.take(pc.if_else(known, flat, unknown)))
+    words = pc.binary_join(pieces, pa.scalar(b"", pa.binary()))
+    return pc.if_else(pc.is_valid(lists), words, pa.scalar(None, pa.binary()))
+
+
+def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """Bytes of an array of ids; null for a null array or one with an unknown id."""
+    table = _token_bytes(ranks)
 
     @F.arrow_udf(T.BinaryType())
     def joined(lists: pa.Array) -> pa.Array:
-        parts = [piece(lists.slice(at, DECODE_ROWS)) for at in range(0, len(lists), DECODE_ROWS)]
+        parts = [_bytes_of(lists.slice(at, DECODE_ROWS), table) for at in range(0, len(lists), DECODE_ROWS)]
         return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return joined(ids)

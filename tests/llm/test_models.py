@@ -57,6 +57,25 @@ def test_documents_encode_and_decode(spark, frame, ranks, reference, monkeypatch
     assert bpe.encode(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("block, section, buckets", [(50, 50, 3), (50, 400, 1), (3000, 1 << 20, 4096), (1, 1, 2)])
+def test_sections_of_any_size_encode_alike(frame, ranks, reference, block, section, buckets):
+    texts = [*brute.ODD_TEXTS, *(f"doc {i} says {i % 3} words, naïve \n" for i in range(40))]
+    docs = frame(list(enumerate(texts)), DOCS).repartition(3)
+    limits = {"buckets": buckets, "block_chars": block, "section_chars": section}
+    found = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="ids_back", **limits)
+    assert found.columns == ["doc_id", "ids", "ids_back"]
+    rows = sorted((r.doc_id, r.ids, bytes(r.ids_back)) for r in found.collect())
+    assert rows == [(i, reference.encode_ordinary(t or ""), (t or "").encode()) for i, t in enumerate(texts)]
+
+
+def test_a_section_needs_all_its_ids(ranks):
+    pool = bpe._Pool(7)
+    word = {"data": bpe._shrink(b"\1\0\0\0"), "sizes": bpe._shrink(b"\1\0\0\0")}
+    pool.add({**word, "numbers": bpe._shrink(bpe._pack(np.array([1])))})
+    with pytest.raises(RuntimeError):
+        pool.close()
+
+
 def test_decoding_unknown_ids(frame, ranks):
     rows = frame([([1, 2],), ([],), (None,), ([999999],), ([-1],)], "ids array<int>").select(bpe.decode(F.col("ids"), ranks).alias("b"))
     assert [r.b is None for r in rows.collect()] == [False, False, True, True, True]
