@@ -95,8 +95,85 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, compone
 FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a) USING (vec_id)
 """
 
+_LEVELS = 9  # of trees in the SQL: more than any of the tables needs
+
+
+def _merkle_tree(name: str, leaves: str) -> str:
+    """CTEs name0, name1, ...: each level's nodes (grp, pos, n, h) and the digests before and after each in its run."""
+
+    def siblings(level: str) -> str:
+        run = "OVER (PARTITION BY grp, pos // 8 ORDER BY pos ROWS BETWEEN"
+        return f"""SELECT *,
+    coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after FROM ({level})"""
+
+    ctes = [f"{name}0 AS MATERIALIZED ({siblings(leaves)})"]
+    for k in range(_LEVELS):
+        up = f"""SELECT grp, pos // 8 AS pos, (any_value(n) + 7) // 8 AS n,
+    CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+    FROM {name}{k} GROUP BY grp, pos // 8"""
+        ctes.append(f"{name}{k + 1} AS MATERIALIZED ({siblings(up)})")
+    return ",\n".join(ctes)
+
+
+def _merkle_climb(first: str, tree: str, group: str, place: str) -> str:
+    """CTEs that fold `first` (doc_id, lang, pos, proof, folded) up `tree`; a node that is alone stays."""
+    ctes, last = [], first
+    for k in range(_LEVELS):
+        name = f"{tree}_way{k}"
+        ctes.append(f"""{name} AS (
+  SELECT w.* EXCLUDE (proof, folded), CASE WHEN t.n = 1 THEN proof ELSE proof || t.before || t.after END AS proof,
+         CASE WHEN t.n = 1 THEN folded ELSE sha256(t.before || folded || t.after) END AS folded
+  FROM {last} w JOIN {tree}{k} t ON t.grp = {group} AND t.pos = {place} // {8**k})""")
+        last = name
+    return ",\n".join(ctes)
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    cast = [f"CAST({field} AS VARCHAR)" for field in fields]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c})) || ':' || {c}, '-')" for c in cast) + ")"
+
+
+OP11 = rf"""
+WITH RECURSIVE crc_rows AS (
+  SELECT 0 AS step, i, CAST(i AS BIGINT) AS c FROM range(256) AS t(i)
+  UNION ALL
+  SELECT step + 1, i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_rows WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_rows WHERE step = 8),
+marked AS (
+  SELECT documents.*,
+         CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS grp,
+         xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                         lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 3 = 0 AS tampered
+  FROM documents, crc_table),
+leaves AS MATERIALIZED (
+  SELECT doc_id, grp, {_leaf_sql("text")} AS leaf,
+         CASE WHEN tampered
+              THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+              ELSE {_leaf_sql("text")} END AS start
+  FROM marked),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY grp) AS n
+  FROM leaves),
+{_merkle_tree("low", "SELECT grp, pos, n, leaf AS h FROM placed")},
+subroots AS MATERIALIZED (
+  SELECT '' AS grp, grp AS own, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, count(*) OVER () AS n, h
+  FROM low{_LEVELS}),
+{_merkle_tree("high", "SELECT grp, pos, n, h FROM subroots")},
+started AS (
+  SELECT p.doc_id, p.leaf, p.grp, p.pos, s.h AS subroot, s.pos AS place, '' AS proof, p.start AS folded
+  FROM placed p JOIN subroots s ON s.own = p.grp),
+{_merkle_climb("started", "low", "w.grp", "w.pos")},
+{_merkle_climb(f"low_way{_LEVELS - 1}", "high", "''", "w.place")}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+FROM high_way{_LEVELS - 1}, (SELECT h FROM high{_LEVELS})
+"""
+
 ORACLE_SQL = {
     "op4_substring_dedup": OP4,
+    "op11_merkle_manifest": OP11,
     "op10_near_vectors": OP10,
     "op8_url_filter": OP8,
     "op9_line_dedup": OP9,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, decontaminate, importance, lines, secrets, simhash, substrings, toxicity, urls, vectors
+from ledgerforge.llm import bpe, decontaminate, importance, lines, merkle, secrets, simhash, substrings, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -129,6 +129,15 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third id by crc32 is checked with a text whose capitals A-Z were lower-cased."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = {"text": F.translate("text", upper, upper.lower())}
+    return merkle.manifest(
+        _table(spark, folder, "documents"), changed=tampered, where=F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_importance": op2_importance,
@@ -140,4 +149,5 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_near_vectors": op10_near_vectors,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }

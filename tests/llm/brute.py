@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import xxhash
 
@@ -97,3 +98,44 @@ def secrets(text):
     spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     return [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(spans)]
+
+
+def merkle(rows, fan=8):
+    """rows (doc_id, source, lang, n_chars, text), changed texts by place -> the manifest of each row."""
+
+    def leaf(values):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    def tree(digests):
+        levels = [digests]
+        while len(levels[-1]) > 1:
+            level = levels[-1]
+            levels.append([sha("".join(level[i : i + fan])) for i in range(0, len(level), fan)])
+        return levels
+
+    def siblings(levels, at):
+        for level in levels[:-1]:
+            run = level[at - at % fan :][:fan]
+            yield "".join(run[: at % fan]), "".join(run[at % fan + 1 :])
+            at //= fan
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    for own in groups.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([leaf(r) for r in groups[g]]) for g in names}
+    upper = tree([trees[g][-1][0] for g in names])
+    out = []
+    for place, g in enumerate(names):
+        for at, row in enumerate(groups[g]):
+            proof = [*siblings(trees[g], at), *siblings(upper, place)]
+            tampered = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None
+            folded = leaf([*row[:4], row[4].translate(LOWER)]) if tampered else leaf(row)
+            for before, after in proof:
+                folded = sha(before + folded + after)
+            root = upper[-1][0]
+            proof_sha = sha("".join(b + a for b, a in proof))
+            out.append((row[0], leaf(row), trees[g][-1][0], root, proof_sha, folded, folded == root))
+    return out
