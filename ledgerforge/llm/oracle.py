@@ -171,9 +171,41 @@ SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded A
 FROM high_way{_LEVELS - 1}, (SELECT h FROM high{_LEVELS})
 """
 
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS MATERIALIZED (
+  SELECT lang, w[i : i + size - 1] AS words, any_value(size) AS size, count(*) AS f
+  FROM w, unnest(range(1, 6)) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i) GROUP BY ALL HAVING count(*) >= 100
+  ),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, words, size, f AS a FROM f WHERE size > 1),
+inside AS (
+  SELECT lang, words[i : i + k - 1] AS words, max(a) AS most
+  FROM c, unnest(range(2, size)) AS s(k), unnest(range(1, size - k + 2)) AS t(i) GROUP BY ALL),
+cuts AS (
+  SELECT c.*, k, lf.f AS l, rf.f AS r, n.n,
+         CAST(CAST(1000 AS HUGEINT) * a * n.n // (CAST(lf.f AS HUGEINT) * rf.f) AS BIGINT) AS score
+  FROM c ANTI JOIN (SELECT inside.lang, inside.words FROM inside JOIN c USING (lang, words) WHERE 100 * most >= 100 * a) gone
+         USING (lang, words), unnest(range(1, size)) AS t(k), f lf, f rf, n
+  WHERE lf.lang = c.lang AND lf.words = c.words[1 : k] AND rf.lang = c.lang AND rf.words = c.words[k + 1 :]
+    AND n.lang = c.lang),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS place FROM cuts) WHERE place = 1),
+ranked AS (
+  SELECT *, array_to_string(words, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(words, ' '))) AS rank
+  FROM best)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op4_substring_dedup": OP4,
     "op11_merkle_manifest": OP11,
+    "op13_collocations": OP13,
     "op10_near_vectors": OP10,
     "op8_url_filter": OP8,
     "op9_line_dedup": OP9,

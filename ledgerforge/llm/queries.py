@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, decontaminate, importance, lines, merkle, secrets, simhash, substrings, toxicity, urls, vectors
+from ledgerforge.llm import bpe, collocations, decontaminate, importance, lines, merkle, secrets, simhash, substrings, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -138,6 +138,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_importance": op2_importance,
@@ -150,4 +154,5 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_near_vectors": op10_near_vectors,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }

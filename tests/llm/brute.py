@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -139,3 +140,34 @@ def merkle(rows, fan=8):
             proof_sha = sha("".join(b + a for b, a in proof))
             out.append((row[0], leaf(row), trees[g][-1][0], root, proof_sha, folded, folded == root))
     return out
+
+
+def collocations(rows, longest=5, least=100, top=2000, absorb=100):
+    """rows (lang, text) -> (lang, rank, phrase, a, l, r, n, score)."""
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", (text or "").translate(LOWER)):
+            w = re.findall("[^ \t]+", piece)
+            totals[lang] += len(w)
+            for i in range(len(w)):
+                counts[lang].update(tuple(w[i:j]) for j in range(i + 1, min(len(w), i + longest) + 1))
+    out = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        gone = {
+            p[i:j]
+            for p, a in candidates.items()
+            for i in range(len(p))
+            for j in range(i + 2, len(p) + 1)
+            if j - i < len(p) and 100 * a >= absorb * f[p[i:j]]
+        }
+        scored = []
+        for p, a in candidates.items():
+            if p not in gone:
+                cuts = [(1000 * a * totals[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+                score, k = min(cuts)
+                scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return out
