@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerforge.llm import bpe, collocations, decontaminate, importance, lines, merkle, secrets, simhash, substrings, toxicity, urls, vectors
+from ledgerforge.llm import bpe, collocations, decontaminate, importance, langid, lines, merkle, secrets, simhash, substrings, toxicity, urls, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -138,6 +138,18 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def unlearned(doc_id: str = "doc_id"):
+    """Rows that language identification never learns from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = langid.language(F.col("text"), langid.train(docs.filter(~unlearned())))
+    judged = docs.select("doc_id", unlearned().alias("held_out"), found.alias("found"))
+    return judged.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected")
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_table(spark, folder, "documents"))
 
@@ -154,5 +166,6 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_near_vectors": op10_near_vectors,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_language_id": op12_language_id,
     "op13_collocations": op13_collocations,
 }
