@@ -1,4 +1,4 @@
-"""One delivery through all layers, in dependency order; the first failure stops the run."""
+"""One delivery through all layers, in dependency order; the first failure stops the run and publishes nothing."""
 
 from __future__ import annotations
 
@@ -13,11 +13,12 @@ from ledgerforge.functions.metrics import DATE_COLUMNS
 from ledgerforge.operators.quality import ERRORS, check_conservation
 from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
 from ledgerforge.plans import gold, silver
-from ledgerforge.session import ensure_namespaces, session_settings, shuffle_settings, table_name
+from ledgerforge.session import ensure_namespaces, namespace, session_settings, shuffle_settings, table_name
 from ledgerforge.sources.delivery import add_lineage, delivery_files, file_bytes, read_delivery
 from ledgerforge.sources.schemas import ENTITIES, SCHEMAS
+from ledgerforge.sources.publication import Publication, recover
 from ledgerforge.sources.staging import Staging
-from ledgerforge.sources.tables import write_table
+from ledgerforge.sources.tables import in_other_catalog, write_table
 
 logger = logging.getLogger(__name__)
 
@@ -26,20 +27,36 @@ logger = logging.getLogger(__name__)
 class Warehouse:
     """Layer tables of one catalog, with the instant that stamps everything a run writes.
 
-    The instant carries its zone, so neither the driver's zone nor the session's shifts it.
+    The instant carries its zone, so neither the driver's zone nor the session's shifts it. Tables that a run
+    replaces in the session catalog are published together, by `commit`; until then only this object reads
+    them. Other catalogs commit each table by themselves. A `prefix` gives a run layers of its own.
     """
 
     spark: SparkSession
     catalog: str | None = None
     run_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+    prefix: str = ""
+
+    def __post_init__(self):
+        self.publication = Publication(self.spark, namespace("silver", None, self.prefix))
+
+    def name(self, layer: str, entity: str) -> str:
+        return table_name(layer, entity, self.catalog, self.prefix)
 
     def read(self, layer: str, entity: str) -> DataFrame:
-        return self.spark.table(table_name(layer, entity, self.catalog))
+        name = self.name(layer, entity)
+        return self.spark.table(name) if in_other_catalog(name) else self.publication.read(name)
 
     def replace(self, layer: str, entity: str, df: DataFrame, partition_by: tuple = ()) -> None:
-        name = table_name(layer, entity, self.catalog)
-        write_table(df, name, mode="create_or_replace", partition_by=partition_by)
-        logger.info("Replaced %s", name)
+        name = self.name(layer, entity)
+        if in_other_catalog(name):
+            write_table(df, name, mode="create_or_replace", partition_by=partition_by)
+        else:
+            self.publication.write(name, df, partition_by)
+        logger.info("Wrote %s", name)
+
+    def commit(self) -> None:
+        self.publication.commit()
 
 
 def land_bronze(house: Warehouse, entity: str, path: str, batch_id: str, replace: bool) -> None:
@@ -51,7 +68,7 @@ def land_bronze(house: Warehouse, entity: str, path: str, batch_id: str, replace
     rows = add_lineage(read_delivery(house.spark, path, SCHEMAS[entity]), batch_id, house.run_at)
     write_table(
         rows,
-        table_name("bronze", entity, house.catalog),
+        house.name("bronze", entity),
         mode="overwrite_partitions" if replace else "append",
         merge_schema=True,
         partition_by=["batch_id"],
@@ -143,19 +160,31 @@ def run_batch(
     catalog: str | None = None,
     replace_batch: bool = False,
     partition_gold_by_date: bool = False,
+    prefix: str = "",
+    run_at: datetime | None = None,
 ) -> dict[str, dict[str, int]]:
     """Land one delivery and rebuild Silver and Gold; returns row counts per entity.
 
-    Texts are parsed and dates derived in UTC, whatever the session's zone.
+    Texts are parsed and dates derived in UTC, whatever the session's zone. Silver, its rejects and Gold
+    are published together at the end: a run that fails leaves those of the run before. `run_at` is the instant
+    that stamps the run, by default now.
     """
     files = delivery_files(spark, raw_root, batch_id)
-    ensure_namespaces(spark, catalog)
-    house = Warehouse(spark, catalog)
+    ensure_namespaces(spark, catalog, prefix)
+    house = Warehouse(spark, catalog, **({"run_at": run_at} if run_at else {}), prefix=prefix)
     with session_settings(spark, {"spark.sql.session.timeZone": "UTC"}):
         for entity in ENTITIES:
             land_bronze(house, entity, files[entity], batch_id, replace_batch)
-        tables = [house.read("bronze", entity) for entity in ENTITIES]
-        with session_settings(spark, shuffle_settings(spark, sum(map(file_bytes, tables)))):
+        return rebuild(house, partition_gold_by_date)
+
+
+def rebuild(house: Warehouse, partition_gold_by_date: bool = False) -> dict[str, dict[str, int]]:
+    """Silver and Gold from all of Bronze, published by one commit."""
+    if house.catalog is None:
+        recover(house.spark, house.publication.home)
+    tables = [house.read("bronze", entity) for entity in ENTITIES]
+    with session_settings(house.spark, shuffle_settings(house.spark, sum(map(file_bytes, tables)))):
+        with house.publication:
             report = build_silver(house)
             build_gold(house, partition_gold_by_date)
     return report

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,11 +15,13 @@ from ledgerforge.functions.metrics import measure
 from ledgerforge.operators.quality import quarantine
 from ledgerforge.operators.utxo import check_chain_links, resolve_inputs
 from ledgerforge.plans import exercises, gold, reports, silver
+from ledgerforge.plans.batch import Warehouse, run_batch
 from ledgerforge.plans.corruption import inject_corruption
 from ledgerforge.plans.rules import INPUT_RULES, OUTPUT_RULES
 from ledgerforge.plans.sample_ledger import SampleLedger
+from ledgerforge.session import drop_namespaces
 from ledgerforge.sources.delivery import add_lineage, read_delivery
-from ledgerforge.sources.schemas import ENTITIES, LINEAGE, SCHEMAS, conform
+from ledgerforge.sources.schemas import ENTITIES, KEYS, LINEAGE, SCHEMAS, conform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +96,12 @@ def _double_spends(ledger: SampleLedger) -> DataFrame:
 
 
 BATCH = "1995-01-01"
+RUN_AT = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
+QUOTING = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _file_name() -> Column:
+    return F.regexp_extract("source_file", r"/(\w+\.csv)/[^/]*$", 1).alias("source_file")
 
 
 def _landed(entity: str) -> Callable[[SampleLedger], DataFrame]:
@@ -100,15 +110,55 @@ def _landed(entity: str) -> Callable[[SampleLedger], DataFrame]:
     def land(ledger: SampleLedger) -> DataFrame:
         delivered = ledger.bronze[entity].select(*SCHEMAS[entity].names)
         path = f"{ledger.stage.folder}/ingest_{BATCH}/{entity}.csv"
-        quoting = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-        delivered.write.mode("overwrite").options(**quoting).csv(path)
+        delivered.write.mode("overwrite").options(**QUOTING).csv(path)
         landed = add_lineage(read_delivery(ledger.spark, path, SCHEMAS[entity]), BATCH)
-        file = F.regexp_extract("source_file", r"/(\w+\.csv)/[^/]*$", 1)
-        return landed.withColumn("source_file", file).drop("ingested_at")
+        return landed.withColumn("source_file", _file_name()).drop("ingested_at")
 
     return land
 
 
+def _deliver(ledger: SampleLedger, root: str) -> None:
+    """All entities as CSV. Rows of one key share a file, so that the file's name decides between no two of them."""
+    for entity in ENTITIES:
+        key = [F.trim(F.col(name).cast("string")) for name in KEYS[entity]]
+        delivered = ledger.bronze[entity].select(*SCHEMAS[entity].names).repartition(*key)
+        delivered.write.options(**QUOTING).csv(f"{root}/ingest_{BATCH}/{entity}.csv")
+
+
+def _batch(ledger: SampleLedger) -> dict[str, DataFrame]:
+    """Counts, rejects and Gold outputs of one batch run from CSV, in layers of its own that are dropped after it."""
+    kept = ledger.__dict__.setdefault("batch", {})
+    if kept:
+        return kept
+    spark, prefix, root = ledger.spark, f"run_{uuid4().hex[:12]}_", f"{ledger.stage.folder}/delivered"
+    _deliver(ledger, root)
+    try:
+        counts = run_batch(spark, root, BATCH, prefix=prefix, run_at=RUN_AT)
+        house = Warehouse(spark, prefix=prefix)
+        counted = spark.createDataFrame([(entity, *own.values()) for entity, own in counts.items()], COUNTED)
+        outputs = house.read("gold", "outputs")
+        outputs = outputs.withColumn("source_file", _file_name())
+        rejects = [
+            house.read("silver_rejects", entity).select(
+                F.lit(entity).alias("entity"), F.explode("validation_errors").alias("reason"), "batch_id", "ingested_at", "rejected_at"
+            )
+            for entity in ENTITIES
+        ]
+        stamped = reduce(DataFrame.unionByName, rejects).groupBy("entity", "reason", "batch_id", "ingested_at", "rejected_at")
+        made = {"counts": counted, "outputs": outputs, "rejects": stamped.agg(F.count("*").alias("row_count"))}
+        kept.update({name: ledger.stage.keep(df, f"batch_{name}") for name, df in made.items()})
+    finally:
+        drop_namespaces(spark, prefix)
+    return kept
+
+
+COUNTED = "entity string, bronze bigint, candidates bigint, duplicates bigint, accepted bigint, rejected bigint"
+
+
+def _batch_part(name: str) -> Query:
+    return lambda spark, folder: _batch(SampleLedger.shared(spark, folder))[name]
+
+
 def _roundtrip(ledger: SampleLedger) -> DataFrame:
     return _landed("outputs")(ledger).drop("source_file")
 
@@ -212,6 +262,10 @@ QUERIES: dict[str, Query] = {
     # The same with dates, times and arrays as such.
     "silver_blocks_native": lambda spark, folder: SampleLedger.shared(spark, folder).run_again("blocks").accepted,
     "reject_inputs_native": lambda spark, folder: _rejected("inputs")(SampleLedger.shared(spark, folder)),
+    # The whole run from delivered files, with the stamps of the run.
+    "batch_counts": _batch_part("counts"),
+    "batch_rejects": _batch_part("rejects"),
+    "batch_gold_outputs": _batch_part("outputs"),
     "utxo_reconciliation": _ledger(_raw_reconciliation),
     "utxo_reconciliation_dedup": _job("reconciliation"),
     "double_spends": _ledger(_double_spends),

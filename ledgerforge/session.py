@@ -93,14 +93,25 @@ def shuffle_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     return {INITIAL_PARTITIONS: str(wanted)}
 
 
-def table_name(layer: str, entity: str, catalog: str | None = None) -> str:
-    """`catalog.layer.entity`, or `layer.entity` in the session catalog."""
+def namespace(layer: str, catalog: str | None = None, prefix: str = "") -> str:
+    """`catalog.layer`, or `layer` in the session catalog; a prefix gives a run layers of its own."""
     if layer not in LAYERS:
         raise ValueError(f"Unknown layer: {layer}")
-    return ".".join(part for part in (catalog, layer, entity) if part)
+    return ".".join(part for part in (catalog, prefix + layer) if part)
 
 
-def ensure_namespaces(spark: SparkSession, catalog: str | None = None) -> None:
-    prefix = f"{catalog}." if catalog else ""
+def table_name(layer: str, entity: str, catalog: str | None = None, prefix: str = "") -> str:
+    return f"{namespace(layer, catalog, prefix)}.{entity}"
+
+
+def ensure_namespaces(spark: SparkSession, catalog: str | None = None, prefix: str = "") -> None:
+    for layer in LAYERS:
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace(layer, catalog, prefix)}")
+
+
+def drop_namespaces(spark: SparkSession, prefix: str, catalog: str | None = None) -> None:
+    """Drop the layers that a prefix named, with their tables; the layers without a prefix stay."""
+    if not prefix:
+        raise ValueError("Only layers with a prefix can be dropped.")
     for layer in LAYERS:
-        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {prefix}{layer}")
+        spark.sql(f"DROP NAMESPACE IF EXISTS {namespace(layer, catalog, prefix)} CASCADE")

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerforge.sources.publication import Publication
+
 MODES = ("append", "overwrite_partitions", "create_or_replace")
 SESSION_CATALOG = "spark_catalog"
 
@@ -28,17 +30,22 @@ def write_table(
 
     merge_schema lets append and overwrite_partitions add the frame's new columns to the
     table. Tables of other catalogs (`catalog.layer.entity`) go through the v2 writer and get
-    that format's atomic commit; the session catalog keeps Parquet tables.
+    that format's atomic commit; the session catalog keeps Parquet tables, whose replacement is
+    written beside the old files first, so that a failed write changes nothing.
     """
     if mode not in MODES:
         raise ValueError(f"Unsupported write mode: {mode}")
-    parts = name.split(".")
-    if len(parts) > 2 and parts[0] != SESSION_CATALOG:
+    if in_other_catalog(name):
         _write_v2(df, name, mode, merge_schema, partition_by)
     else:
         _write_session(df, name, mode, merge_schema, partition_by)
 
 
+def in_other_catalog(name: str) -> bool:
+    parts = name.split(".")
+    return len(parts) > 2 and parts[0] != SESSION_CATALOG
+
+
 def _write_v2(df, name, mode, merge_schema, partition_by) -> None:
     writer = df.writeTo(name)
     if merge_schema:
@@ -59,8 +66,13 @@ def _write_v2(df, name, mode, merge_schema, partition_by) -> None:
 def _write_session(df, name, mode, merge_schema, partition_by) -> None:
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
-    if not exists or mode == "create_or_replace":
-        writer = df.write.format("parquet").mode("overwrite" if exists else "error")
+    if exists and mode == "create_or_replace":
+        qualified = name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+        with Publication(spark, qualified.rpartition(".")[0]) as publication:
+            publication.write(qualified, df, partition_by)
+        return
+    if not exists:
+        writer = df.write.format("parquet").mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(name)

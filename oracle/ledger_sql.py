@@ -324,14 +324,18 @@ table("valid_inputs", "v_inputs")("SELECT * EXCLUDE (errors) FROM v_inputs WHERE
 table("valid_outputs", "v_outputs")("SELECT * EXCLUDE (errors) FROM v_outputs WHERE len(errors) = 0")
 resolution_table("raw_reconciliation", "valid_inputs", "valid_outputs")
 
-table("outputs_enriched", "silver_outputs", "reconciliation")("""
+def enriched_table(p: str = "") -> None:
+    table(f"{p}outputs_enriched", f"{p}silver_outputs", f"{p}reconciliation")(f"""
 SELECT * RENAME (spent AS source_spent), observed AS observed_spent, observed AS canonical_spent,
        spent IS DISTINCT FROM observed AS spend_discrepancy
-FROM (SELECT o.*, EXISTS (SELECT 1 FROM reconciliation r WHERE r.resolution_status = 'resolved'
+FROM (SELECT o.*, EXISTS (SELECT 1 FROM {p}reconciliation r WHERE r.resolution_status = 'resolved'
         AND r.previous_tx_hash = o.tx_hash AND r.previous_output_index = o.output_index) AS observed
-      FROM silver_outputs o)
+      FROM {p}silver_outputs o)
 """)
 
+
+enriched_table()
+
 # ---------------------------------------------------------------- gold
 
 table("gold_blocks", "silver_blocks", "silver_transactions")("""
@@ -372,17 +376,21 @@ LEFT JOIN silver_transactions s ON s.tx_hash = r.tx_hash
 LEFT JOIN silver_transactions p ON p.tx_hash = r.referenced_tx_hash
 """)
 
-table("gold_outputs", "outputs_enriched", "reconciliation", "silver_transactions")("""
+def gold_outputs_table(p: str = "") -> None:
+    table(f"{p}gold_outputs", f"{p}outputs_enriched", f"{p}reconciliation", f"{p}silver_transactions")(f"""
 SELECT o.*, coalesce(a.n, 0) AS observed_spend_count, a.first_ts AS first_spent_timestamp,
        t.block_hash AS creating_block_hash, t.timestamp AS created_timestamp, CAST(t.timestamp AS DATE) AS output_date,
        CAST(a.first_ts AS DATE) AS first_spend_date, coalesce(a.n, 0) > 1 AS has_multiple_spend_attempts,
        CASE WHEN o.canonical_spent THEN
          CAST(date_diff('day', CAST(t.timestamp AS DATE), CAST(a.first_ts AS DATE)) AS INTEGER) END AS time_to_spend_days
-FROM outputs_enriched o
+FROM {p}outputs_enriched o
 LEFT JOIN (SELECT r.previous_tx_hash AS tx_hash, r.previous_output_index AS output_index, count(*) AS n,
                   min(s.timestamp) AS first_ts
-           FROM reconciliation r LEFT JOIN silver_transactions s ON s.tx_hash = r.tx_hash
+           FROM {p}reconciliation r LEFT JOIN {p}silver_transactions s ON s.tx_hash = r.tx_hash
            WHERE r.resolution_status = 'resolved' GROUP BY 1, 2) a
   ON a.tx_hash = o.tx_hash AND a.output_index = o.output_index
-LEFT JOIN silver_transactions t ON t.tx_hash = o.tx_hash
+LEFT JOIN {p}silver_transactions t ON t.tx_hash = o.tx_hash
 """)
+
+
+gold_outputs_table()

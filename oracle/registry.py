@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from oracle.ledger_sql import resolution_table, silver_tables, table, with_tables
+from oracle.ledger_sql import (
+    enriched_table,
+    gold_outputs_table,
+    resolution_table,
+    silver_tables,
+    table,
+    with_tables,
+)
 
 STAMPS = {
     "timestamp", "ingested_at", "spending_timestamp", "referenced_transaction_timestamp",
@@ -82,18 +89,19 @@ def landed(entity: str) -> str:
 SELECT {listed}, '{entity}.csv' AS source_file, '1995-01-01' AS batch_id FROM bronze_{entity}"""
 
 
-def conservation() -> str:
+def conservation(prefix: str = "") -> str:
     """Every Bronze row is accepted, rejected, or an older delivery of a key that was judged."""
     late = "'BLOCK_NOT_FOUND', 'TRANSACTION_NOT_FOUND'" + "".join(
         f", '{side}_{what}_MISMATCH'" for side in ("INPUT", "OUTPUT") for what in ("VALUE_TOTAL", "COUNT")
     )
     parts = [
-        f"""SELECT '{e}' AS entity, (SELECT count(*) FROM bronze_{e}) AS bronze,
-  (SELECT count(*) FROM bronze_{e}) - (SELECT count(*) FROM reject_{e} WHERE NOT list_has_any(errors, [{late}])) AS candidates,
-  (SELECT count(*) FROM silver_{e}) AS accepted, (SELECT count(*) FROM reject_{e}) AS rejected"""
+        f"""SELECT '{e}' AS entity, (SELECT count(*) FROM {prefix}bronze_{e}) AS bronze,
+  (SELECT count(*) FROM {prefix}bronze_{e})
+    - (SELECT count(*) FROM {prefix}reject_{e} WHERE NOT list_has_any(errors, [{late}])) AS candidates,
+  (SELECT count(*) FROM {prefix}silver_{e}) AS accepted, (SELECT count(*) FROM {prefix}reject_{e}) AS rejected"""
         for e in RAW
     ]
-    names = [f"{layer}_{e}" for e in RAW for layer in ("bronze", "silver", "reject")]
+    names = [f"{prefix}{layer}_{e}" for e in RAW for layer in ("bronze", "silver", "reject")]
     return f"""{with_tables(*names)}
 SELECT *, bronze - accepted - rejected AS duplicates FROM ({' UNION ALL '.join(parts)})"""
 
@@ -226,6 +234,32 @@ SELECT o.*, spent IS DISTINCT FROM EXISTS (SELECT 1 FROM mix_reconciliation r WH
 FROM mix_silver_outputs o
 """)
 
+RUN_AT = "TIMESTAMP '2026-01-02 03:04:05'"
+
+
+def delivered_tables(prefix: str) -> None:
+    """The Bronze rows as one delivery of one run, through all layers."""
+    for entity, columns in RAW.items():
+        delivered = ", ".join(c for c in columns if c not in ("ingested_at", "source_file", "batch_id"))
+        table(f"{prefix}bronze_{entity}", f"bronze_{entity}")(f"""
+SELECT {delivered}, {RUN_AT} AS ingested_at, '{entity}.csv' AS source_file, '1995-01-01' AS batch_id FROM bronze_{entity}""")
+    silver_tables(prefix)
+    resolution_table(f"{prefix}reconciliation", f"{prefix}silver_inputs", f"{prefix}silver_outputs")
+    enriched_table(prefix)
+    gold_outputs_table(prefix)
+
+
+delivered_tables("batch_")
+
+
+def stamped_rejects(prefix: str) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, unnest(errors) AS reason, batch_id, ingested_at FROM {prefix}reject_{e}" for e in RAW
+    )
+    return f"""{with_tables(*(f"{prefix}reject_{e}" for e in RAW))}
+SELECT entity, reason, batch_id, ingested_at, {RUN_AT} AS rejected_at, count(*) AS row_count FROM ({parts}) GROUP BY ALL"""
+
+
 # ---------------------------------------------------------------- queries
 
 CENTS = "CAST(round({0} * 100) AS BIGINT)"
@@ -305,6 +339,9 @@ LEFT JOIN nation ON n_nationkey = c_nationkey ORDER BY balance_cents DESC, n_nam
     "silver_outputs": export("silver_outputs", OUTPUTS),
     **{f"reject_{e}": rejects(e) for e in RAW},
     "silver_conservation": conservation(),
+    "batch_counts": conservation("batch_"),
+    "batch_rejects": stamped_rejects("batch_"),
+    "batch_gold_outputs": f"{with_tables('batch_gold_outputs')}SELECT {', '.join(GOLD_OUTPUTS)} FROM batch_gold_outputs",
     "silver_blocks_native": over(f"SELECT {', '.join(SILVER_BLOCKS)} FROM silver_blocks", "silver_blocks"),
     "reject_inputs_native": over(
         f"SELECT {', '.join(INPUTS)}, errors AS validation_errors FROM reject_inputs", "reject_inputs"
