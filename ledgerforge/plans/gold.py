@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerforge.functions.expressions import days_between, fee_rate, is_genesis
+from ledgerforge.functions.metrics import exact_sum
 from ledgerforge.operators.utxo import NOT_RECONCILED, OUTPUT_KEY, RESOLVED, SPENT_KEY
 
 # What a reconciliation row adds to its input.
@@ -23,6 +24,7 @@ RECONCILED_FIELDS = [
 
 
 def gold_blocks(blocks: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Sums are decimal(38,0): valid amounts of one block can add up to more than a long holds."""
     sums = {
         "total_fee_sats": "fee_sats",
         "total_transaction_size_bytes": "size_bytes",
@@ -31,7 +33,7 @@ def gold_blocks(blocks: DataFrame, transactions: DataFrame) -> DataFrame:
     }
     per_block = transactions.groupBy("block_hash").agg(
         F.count("*").alias("observed_transaction_count"),
-        *[F.sum(source).alias(name) for name, source in sums.items()],
+        *[exact_sum(source).alias(name) for name, source in sums.items()],
     )
     return (
         blocks.join(per_block, "block_hash", "left")
@@ -46,7 +48,7 @@ def gold_blocks(blocks: DataFrame, transactions: DataFrame) -> DataFrame:
 def _observed(children: DataFrame, side: str) -> DataFrame:
     return children.groupBy("tx_hash").agg(
         F.count("*").alias(f"observed_{side}_count"),
-        F.sum("value_sats").alias(f"observed_total_{side}_sats"),
+        exact_sum("value_sats").alias(f"observed_total_{side}_sats"),
     )
 
 

@@ -22,6 +22,7 @@ from ledgerforge.plans.sample_ledger import SampleLedger
 from ledgerforge.session import drop_namespaces
 from ledgerforge.sources.delivery import add_lineage, read_delivery
 from ledgerforge.sources.schemas import ENTITIES, KEYS, LINEAGE, SCHEMAS, conform
+from ledgerforge.streaming.incremental import run_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,12 +118,12 @@ def _landed(entity: str) -> Callable[[SampleLedger], DataFrame]:
     return land
 
 
-def _deliver(ledger: SampleLedger, root: str) -> None:
-    """All entities as CSV. Rows of one key share a file, so that the file's name decides between no two of them."""
+def _deliver(ledger: SampleLedger, root: str, batch_id: str = BATCH, where: str = "true") -> None:
+    """Rows of all entities as CSV. Those of one key share a file, so that the file's name decides between no two of them."""
     for entity in ENTITIES:
         key = [F.trim(F.col(name).cast("string")) for name in KEYS[entity]]
-        delivered = ledger.bronze[entity].select(*SCHEMAS[entity].names).repartition(*key)
-        delivered.write.options(**QUOTING).csv(f"{root}/ingest_{BATCH}/{entity}.csv")
+        delivered = ledger.bronze[entity].filter(where).select(*SCHEMAS[entity].names).repartition(*key)
+        delivered.write.options(**QUOTING).csv(f"{root}/ingest_{batch_id}/{entity}.csv")
 
 
 def _batch(ledger: SampleLedger) -> dict[str, DataFrame]:
@@ -152,11 +153,36 @@ def _batch(ledger: SampleLedger) -> dict[str, DataFrame]:
     return kept
 
 
+def _increments(ledger: SampleLedger) -> dict[str, DataFrame]:
+    """Counts and Silver outputs after two deliveries that a file stream landed one after the other."""
+    kept = ledger.__dict__.setdefault("increments", {})
+    if kept:
+        return kept
+    spark, prefix, root = ledger.spark, f"run_{uuid4().hex[:12]}_", f"{ledger.stage.folder}/arriving"
+    checkpoint = f"{ledger.stage.folder}/arrived"
+    try:
+        for batch_id, run_at, where in DELIVERIES:
+            _deliver(ledger, root, batch_id, where)
+            last = batch_id == DELIVERIES[-1][0]
+            counts = run_increment(spark, root, checkpoint, run_at=run_at, prefix=prefix, build=last)
+        counted = spark.createDataFrame([(entity, *own.values()) for entity, own in counts.items()], COUNTED)
+        outputs = Warehouse(spark, prefix=prefix).read("silver", "outputs").withColumn("source_file", _file_name())
+        kept.update({name: ledger.stage.keep(df, f"increments_{name}") for name, df in (("counts", counted), ("outputs", outputs))})
+    finally:
+        drop_namespaces(spark, prefix)
+    return kept
+
+
+#: Batch, instant of its run, and the rows it delivers.
+DELIVERIES = (
+    ("2026-01-01", datetime(2026, 1, 1, 6, tzinfo=timezone.utc), "batch_id < '1995-01-01'"),
+    ("2026-01-02", datetime(2026, 1, 2, 6, tzinfo=timezone.utc), "batch_id >= '1995-01-01'"),
+)
 COUNTED = "entity string, bronze bigint, candidates bigint, duplicates bigint, accepted bigint, rejected bigint"
 
 
-def _batch_part(name: str) -> Query:
-    return lambda spark, folder: _batch(SampleLedger.shared(spark, folder))[name]
+def _run_part(run: Callable[[SampleLedger], dict[str, DataFrame]], name: str) -> Query:
+    return lambda spark, folder: run(SampleLedger.shared(spark, folder))[name]
 
 
 def _roundtrip(ledger: SampleLedger) -> DataFrame:
@@ -263,9 +289,11 @@ QUERIES: dict[str, Query] = {
     "silver_blocks_native": lambda spark, folder: SampleLedger.shared(spark, folder).run_again("blocks").accepted,
     "reject_inputs_native": lambda spark, folder: _rejected("inputs")(SampleLedger.shared(spark, folder)),
     # The whole run from delivered files, with the stamps of the run.
-    "batch_counts": _batch_part("counts"),
-    "batch_rejects": _batch_part("rejects"),
-    "batch_gold_outputs": _batch_part("outputs"),
+    "batch_counts": _run_part(_batch, "counts"),
+    "batch_rejects": _run_part(_batch, "rejects"),
+    "batch_gold_outputs": _run_part(_batch, "outputs"),
+    "incremental_counts": _run_part(_increments, "counts"),
+    "incremental_silver_outputs": _run_part(_increments, "outputs"),
     "utxo_reconciliation": _ledger(_raw_reconciliation),
     "utxo_reconciliation_dedup": _job("reconciliation"),
     "double_spends": _ledger(_double_spends),

@@ -341,9 +341,9 @@ enriched_table()
 table("gold_blocks", "silver_blocks", "silver_transactions")("""
 SELECT *, transaction_count = observed_transaction_count AS transaction_count_matches
 FROM (
-  SELECT b.*, coalesce(n, 0) AS observed_transaction_count, CAST(coalesce(fee, 0) AS BIGINT) AS total_fee_sats,
-         CAST(coalesce(size, 0) AS BIGINT) AS total_transaction_size_bytes,
-         CAST(coalesce(ti, 0) AS BIGINT) AS total_input_sats, CAST(coalesce(tout, 0) AS BIGINT) AS total_output_sats
+  SELECT b.*, coalesce(n, 0) AS observed_transaction_count, CAST(coalesce(fee, 0) AS DECIMAL(38,0)) AS total_fee_sats,
+         CAST(coalesce(size, 0) AS DECIMAL(38,0)) AS total_transaction_size_bytes,
+         CAST(coalesce(ti, 0) AS DECIMAL(38,0)) AS total_input_sats, CAST(coalesce(tout, 0) AS DECIMAL(38,0)) AS total_output_sats
   FROM silver_blocks b
   LEFT JOIN (SELECT block_hash, count(*) AS n, sum(fee_sats) AS fee, sum(size_bytes) AS size,
                     sum(total_input_sats) AS ti, sum(total_output_sats) AS tout
@@ -358,8 +358,8 @@ SELECT *, CASE WHEN size_bytes = 0 THEN NULL ELSE fee_sats / size_bytes END AS f
        total_output_sats = observed_total_output_sats AS output_value_matches,
        CAST(timestamp AS DATE) AS transaction_date
 FROM (
-  SELECT t.*, coalesce(i.n, 0) AS observed_input_count, CAST(coalesce(i.s, 0) AS BIGINT) AS observed_total_input_sats,
-         coalesce(o.n, 0) AS observed_output_count, CAST(coalesce(o.s, 0) AS BIGINT) AS observed_total_output_sats
+  SELECT t.*, coalesce(i.n, 0) AS observed_input_count, CAST(coalesce(i.s, 0) AS DECIMAL(38,0)) AS observed_total_input_sats,
+         coalesce(o.n, 0) AS observed_output_count, CAST(coalesce(o.s, 0) AS DECIMAL(38,0)) AS observed_total_output_sats
   FROM silver_transactions t
   LEFT JOIN (SELECT tx_hash, count(*) AS n, sum(value_sats) AS s FROM silver_inputs GROUP BY 1) i ON i.tx_hash = t.tx_hash
   LEFT JOIN (SELECT tx_hash, count(*) AS n, sum(value_sats) AS s FROM silver_outputs GROUP BY 1) o ON o.tx_hash = t.tx_hash)

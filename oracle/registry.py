@@ -237,12 +237,12 @@ FROM mix_silver_outputs o
 RUN_AT = "TIMESTAMP '2026-01-02 03:04:05'"
 
 
-def delivered_tables(prefix: str) -> None:
-    """The Bronze rows as one delivery of one run, through all layers."""
+def delivered_tables(prefix: str, run_at: str = RUN_AT, batch_id: str = "'1995-01-01'") -> None:
+    """The Bronze rows as delivered by a run, through all layers."""
     for entity, columns in RAW.items():
         delivered = ", ".join(c for c in columns if c not in ("ingested_at", "source_file", "batch_id"))
         table(f"{prefix}bronze_{entity}", f"bronze_{entity}")(f"""
-SELECT {delivered}, {RUN_AT} AS ingested_at, '{entity}.csv' AS source_file, '1995-01-01' AS batch_id FROM bronze_{entity}""")
+SELECT {delivered}, {run_at} AS ingested_at, '{entity}.csv' AS source_file, {batch_id} AS batch_id FROM bronze_{entity}""")
     silver_tables(prefix)
     resolution_table(f"{prefix}reconciliation", f"{prefix}silver_inputs", f"{prefix}silver_outputs")
     enriched_table(prefix)
@@ -250,6 +250,12 @@ SELECT {delivered}, {RUN_AT} AS ingested_at, '{entity}.csv' AS source_file, '199
 
 
 delivered_tables("batch_")
+EARLY = "CASE WHEN batch_id < '1995-01-01' THEN {} ELSE {} END".format
+delivered_tables(
+    "step_",
+    EARLY("TIMESTAMP '2026-01-01 06:00:00'", "TIMESTAMP '2026-01-02 06:00:00'"),
+    EARLY("'2026-01-01'", "'2026-01-02'"),
+)
 
 
 def stamped_rejects(prefix: str) -> str:
@@ -340,6 +346,8 @@ LEFT JOIN nation ON n_nationkey = c_nationkey ORDER BY balance_cents DESC, n_nam
     **{f"reject_{e}": rejects(e) for e in RAW},
     "silver_conservation": conservation(),
     "batch_counts": conservation("batch_"),
+    "incremental_counts": conservation("step_"),
+    "incremental_silver_outputs": f"{with_tables('step_silver_outputs')}SELECT {', '.join(OUTPUTS)} FROM step_silver_outputs",
     "batch_rejects": stamped_rejects("batch_"),
     "batch_gold_outputs": f"{with_tables('batch_gold_outputs')}SELECT {', '.join(GOLD_OUTPUTS)} FROM batch_gold_outputs",
     "silver_blocks_native": over(f"SELECT {', '.join(SILVER_BLOCKS)} FROM silver_blocks", "silver_blocks"),
