@@ -135,25 +135,21 @@ TYPES = {
     "input_index": "INTEGER", "value_sats": "BIGINT", "output_index": "INTEGER", "spent": "BOOLEAN",
 }
 RATE, SEED = 0.02, 7
-BELOW = format(int(RATE * 16**8), "08x")
-
-
-def _selection(entity: str, step: str) -> str:
-    key = ", ".join(KEY[entity])
-    return f"md5(concat_ws(':', {key}, '{step}', '{SEED}'))"
 
 
 def mutate(name: str, source: str, entity: str, step: str, cases: list[tuple[str, str]]) -> None:
     """Row n of `cases` replaces one column in the selected rows of variant n."""
+    content = ", ".join(f"coalesce({c}, '~')" for c in RAW[entity] if c not in ("ingested_at", "source_file", "batch_id"))
     replaced = ", ".join(
-        f"CASE WHEN substr(mark, 1, 8) <= '{BELOW}' AND"
+        f"CASE WHEN place <= least(n, greatest(1, round_even(n * {RATE}, 0))) AND"
         f" CAST('0x' || substr(mark, 9, 8) AS BIGINT) % {len(cases)} = {number}"
         f" THEN {value} ELSE {column} END AS {column}"
         for number, (column, value) in enumerate(cases)
     )
     table(name, source)(f"""
-SELECT * EXCLUDE (mark) REPLACE ({replaced})
-FROM (SELECT *, {_selection(entity, step)} AS mark FROM {source})""")
+SELECT * EXCLUDE (mark, place, n) REPLACE ({replaced})
+FROM (SELECT *, row_number() OVER (ORDER BY mark) AS place, count(*) OVER () AS n
+      FROM (SELECT *, md5(concat_ws(':', {content}, '{step}', '{SEED}')) AS mark FROM {source}))""")
 
 
 def duplicate(name: str, source: str, entity: str) -> None:

@@ -107,3 +107,12 @@ def test_top_fees_plan_keeps_few_rows_per_task(frame, transactions):
     rated = transactions.selectExpr("*", "0.5D AS fee_rate_sats_per_byte")
     plan = reports.top_fees(rated)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_sums_beyond_a_long(frame):
+    most = 2**62
+    blocks = frame([("b", 2)], "block_hash string, transaction_count int")
+    schema = "block_hash string, fee_sats long, size_bytes int, total_input_sats long, total_output_sats long"
+    found = gold.gold_blocks(blocks, frame([("b", most, 2**31 - 1, most, most)] * 2, schema)).first()
+    assert (found.total_fee_sats, found.total_input_sats, found.total_output_sats) == (2 * most,) * 3
+    assert found.total_transaction_size_bytes == 2**32 - 2 and found.transaction_count_matches
