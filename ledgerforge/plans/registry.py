@@ -80,8 +80,25 @@ def _raw_reconciliation(ledger: SampleLedger) -> DataFrame:
 
 def _kpis_in_range(ledger: SampleLedger) -> DataFrame:
     """The date-range slot of the reports: metrics of one half year."""
-    half_year = {"start": "1996-01-01", "end": "1996-07-01"}
-    return reports.daily_trend(ledger.gold_transactions, **half_year)
+    return reports.daily_trend(ledger.gold_transactions, **HALF_YEAR)
+
+
+HALF_YEAR = {"start": "1996-01-01", "end": "1996-07-01"}
+
+
+def _rounded_trend(transactions: DataFrame, **dates: str) -> DataFrame:
+    average = "average_fee_rate_sats_per_byte"
+    return reports.daily_trend(transactions, **dates).withColumn(average, F.round(average, 6))
+
+
+def _trend_of_partitions(ledger: SampleLedger) -> DataFrame:
+    return _rounded_trend(ledger.gold_transactions_by_date, **HALF_YEAR)
+
+
+def _trend_of_hard_days(ledger: SampleLedger) -> DataFrame:
+    """The daily trend on the dates of the most difficult blocks."""
+    hard = ledger.gold_blocks.filter("difficulty >= 88").select("block_date")
+    return _rounded_trend(reports.on_dates(ledger.gold_transactions_by_date, "transactions", hard))
 
 
 def _reconciliation_kpis(ledger: SampleLedger) -> DataFrame:
@@ -319,6 +336,8 @@ QUERIES: dict[str, Query] = {
     },
     "q_daily_trend": _ledger(lambda ledger: reports.daily_trend(ledger.gold_transactions)),
     "q_trend_in_range": _ledger(_kpis_in_range),
+    "q_trend_in_range_partitioned": lambda spark, folder: _trend_of_partitions(SampleLedger.shared(spark, folder)),
+    "q_trend_on_dates": lambda spark, folder: _trend_of_hard_days(SampleLedger.shared(spark, folder)),
     "q_output_recon_summary": _ledger(
         lambda ledger: reports.output_reconciliation_summary(ledger.gold_outputs)
     ),

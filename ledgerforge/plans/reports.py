@@ -100,6 +100,16 @@ def top_fees(transactions: DataFrame, count: int = 20, start=None, end=None) ->
     )
 
 
+def on_dates(df: DataFrame, table: str, dates: DataFrame) -> DataFrame:
+    """Rows whose date is in the one column of `dates`, a short list that a query decides.
+
+    Over a table partitioned by that date, the list is evaluated first and only its partitions are read.
+    """
+    column = DATE_COLUMNS[table]
+    wanted = dates.select(F.col(dates.columns[0]).alias(column))
+    return df.join(wanted, column, "left_semi")
+
+
 def daily_trend(transactions: DataFrame, start=None, end=None) -> DataFrame:
     names = ["transaction_count", "total_fee_sats", "average_fee_rate_sats_per_byte"]
     dated = _dated(transactions, "transactions", start, end)

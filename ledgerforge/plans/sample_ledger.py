@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerforge.functions.metrics import DATE_COLUMNS
 from ledgerforge.operators.latest import keep_latest
 from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
 from ledgerforge.plans import gold, silver
@@ -378,6 +379,12 @@ class SampleLedger:
         )
         return self.stage.keep(made, "gold_transactions")
 
+    @cached_property
+    def gold_transactions_by_date(self) -> DataFrame:
+        """Gold transactions in one folder per date, as a batch run can publish them."""
+        date = DATE_COLUMNS["transactions"]
+        return self.stage.keep(self.gold_transactions, "gold_transactions_by_date", partition_by=[date])
+
     @cached_property
     def gold_inputs(self) -> DataFrame:
         reconciled = self.reconciliation.drop("matching_output_count")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,11 +34,17 @@ class Staging:
         self.folder = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
         self._names: set[str] = set()
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write a frame and read it back; with `partition_by` in a folder per value of these columns."""
         if name in self._names:
             raise ValueError(f"Already staged: {name}")
         self._names.add(name)
         path = f"{self.folder}/{name}"
+        if partition_by:
+            # Few files per folder, while adaptive execution splits a value with too many rows.
+            df = df.hint("rebalance", *map(F.col, partition_by))
+            df.write.partitionBy(*partition_by).parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -264,6 +264,10 @@ SELECT entity, reason, batch_id, ingested_at, {RUN_AT} AS rejected_at, count(*)
 
 # ---------------------------------------------------------------- queries
 
+NATIVE_TREND = """
+SELECT transaction_date, count(*) AS transaction_count, CAST(sum(fee_sats) AS DECIMAL(38, 0)) AS total_fee_sats,
+       round(avg(fee_rate_sats_per_byte), 6) AS average_fee_rate_sats_per_byte
+FROM gold_transactions"""
 CENTS = "CAST(round({0} * 100) AS BIGINT)"
 
 ORACLE_SQL: dict[str, str] = {
@@ -449,6 +453,15 @@ SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, count(*) AS transa
 FROM gold_transactions GROUP BY 1""",
         "gold_transactions",
     ),
+    "q_trend_in_range_partitioned": over(
+        f"{NATIVE_TREND} WHERE transaction_date >= DATE '1996-01-01' AND transaction_date < DATE '1996-07-01' GROUP BY 1",
+        "gold_transactions",
+    ),
+    "q_trend_on_dates": over(
+        f"{NATIVE_TREND} WHERE transaction_date IN (SELECT block_date FROM gold_blocks WHERE difficulty >= 88) GROUP BY 1",
+        "gold_transactions",
+        "gold_blocks",
+    ),
     "q_trend_in_range": over(
         """
 SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, count(*) AS transaction_count,

@@ -93,3 +93,41 @@ def test_date_range_reaches_the_scan(spark, ledger):
     assert "GreaterThanOrEqual(transaction_date" in text and "LessThan(transaction_date" in text
     schema = text[text.index("ReadSchema") :]
     assert "fee_rate_sats_per_byte" in schema and "total_input_sats" not in schema
+
+
+def scans(df):
+    """(partition filters, folders read, files read) of each scan, after the query ran."""
+    df.collect()
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            left.append(node.plan())
+        elif name == "FileSourceScanExec":
+            metrics = {key: node.metrics().apply(key).value() for key in ("numFiles", "numPartitions") if node.metrics().contains(key)}
+            found.append((node.partitionFilters().toString(), metrics.get("numPartitions"), metrics["numFiles"]))
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_only_partitions_in_the_range_are_read(ledger):
+    by_date = ledger.gold_transactions_by_date
+    days = by_date.filter("transaction_date >= '1996-01-01' AND transaction_date < '1996-07-01'").select("transaction_date").distinct().count()
+    [(filters, folders, files)] = scans(reports.daily_trend(by_date, start="1996-01-01", end="1996-07-01"))
+    assert "transaction_date" in filters and folders == days > 50
+    assert days <= files < len(by_date.inputFiles()) / 5
+
+
+def test_a_list_of_dates_prunes_partitions_when_it_is_known(ledger):
+    by_date = ledger.gold_transactions_by_date
+    hard = ledger.gold_blocks.filter("difficulty >= 88").select("block_date")
+    wanted = {r.block_date for r in hard.distinct().collect()}
+    days = {r.transaction_date for r in by_date.select("transaction_date").distinct().collect()}
+    found = reports.daily_trend(reports.on_dates(by_date, "transactions", hard))
+    pruned = [scan for scan in scans(found) if "dynamicpruning" in scan[0]]
+    assert len(pruned) == 1 and pruned[0][1] == len(wanted & days) < len(days) / 3
+    assert {r.transaction_date for r in found.collect()} == wanted & days
