@@ -23,19 +23,26 @@ from ledgerforge.sources.tables import in_other_catalog, write_table
 logger = logging.getLogger(__name__)
 
 
+#: Tables that come out of their job dealt by tx_hash, so that buckets cost no shuffle.
+BUCKETED = {("silver", name) for name in ("transactions", "inputs", "outputs", "outputs_enriched")}
+BUCKET_JOINS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
 @dataclass
 class Warehouse:
     """Layer tables of one catalog, with the instant that stamps everything a run writes.
 
     The instant carries its zone, so neither the driver's zone nor the session's shifts it. Tables that a run
     replaces in the session catalog are published together, by `commit`; until then only this object reads
-    them. Other catalogs commit each table by themselves. A `prefix` gives a run layers of its own.
+    them. Other catalogs commit each table by themselves. A `prefix` gives a run layers of its own. `buckets`
+    deals the tables of BUCKETED by tx_hash, in the session catalog.
     """
 
     spark: SparkSession
     catalog: str | None = None
     run_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     prefix: str = ""
+    buckets: int | None = None
 
     def __post_init__(self):
         self.publication = Publication(self.spark, namespace("silver", None, self.prefix))
@@ -52,7 +59,8 @@ class Warehouse:
         if in_other_catalog(name):
             write_table(df, name, mode="create_or_replace", partition_by=partition_by)
         else:
-            self.publication.write(name, df, partition_by)
+            bucket = (self.buckets, "tx_hash") if self.buckets and (layer, entity) in BUCKETED else None
+            self.publication.write(name, df, partition_by, bucket)
         logger.info("Wrote %s", name)
 
     def commit(self) -> None:
@@ -107,7 +115,7 @@ def _publish(house: Warehouse, entity: str, checked: silver.Checked) -> dict[str
 
 def build_silver(house: Warehouse) -> dict[str, dict[str, int]]:
     report = {}
-    with Staging(house.spark) as stage:
+    with Staging(house.spark, namespace=namespace("silver", None, house.prefix)) as stage:
         blocks = silver.silver_blocks(house.read("bronze", "blocks"), stage, house.run_at)
         report["blocks"] = _publish(house, "blocks", blocks)
         transactions = silver.silver_transactions(
@@ -115,11 +123,12 @@ def build_silver(house: Warehouse) -> dict[str, dict[str, int]]:
             house.read("silver", "blocks"),
             stage,
             house.run_at,
+            house.buckets,
         )
         report["transactions"] = _publish(house, "transactions", transactions)
         known = house.read("silver", "transactions")
         for entity, job in (("inputs", silver.silver_inputs), ("outputs", silver.silver_outputs)):
-            checked = job(house.read("bronze", entity), known, stage, house.run_at)
+            checked = job(house.read("bronze", entity), known, stage, house.run_at, house.buckets)
             report[entity] = _publish(house, entity, checked)
         outputs = house.read("silver", "outputs")
         resolved = resolve_inputs(house.read("silver", "inputs"), outputs, unique_outputs=True, stage=stage)
@@ -162,16 +171,18 @@ def run_batch(
     partition_gold_by_date: bool = False,
     prefix: str = "",
     run_at: datetime | None = None,
+    buckets: int | None = None,
 ) -> dict[str, dict[str, int]]:
     """Land one delivery and rebuild Silver and Gold; returns row counts per entity.
 
     Texts are parsed and dates derived in UTC, whatever the session's zone. Silver, its rejects and Gold
     are published together at the end: a run that fails leaves those of the run before. `run_at` is the instant
-    that stamps the run, by default now.
+    that stamps the run, by default now. With `buckets`, Silver is dealt by tx_hash into that many files, which
+    later joins by transaction do not deal again (see plans/silver.py for when to use it).
     """
     files = delivery_files(spark, raw_root, batch_id)
     ensure_namespaces(spark, catalog, prefix)
-    house = Warehouse(spark, catalog, **({"run_at": run_at} if run_at else {}), prefix=prefix)
+    house = Warehouse(spark, catalog, **({"run_at": run_at} if run_at else {}), prefix=prefix, buckets=buckets)
     with session_settings(spark, {"spark.sql.session.timeZone": "UTC"}):
         for entity in ENTITIES:
             land_bronze(house, entity, files[entity], batch_id, replace_batch)
@@ -183,7 +194,8 @@ def rebuild(house: Warehouse, partition_gold_by_date: bool = False) -> dict[str,
     if house.catalog is None:
         recover(house.spark, house.publication.home)
     tables = [house.read("bronze", entity) for entity in ENTITIES]
-    with session_settings(house.spark, shuffle_settings(house.spark, sum(map(file_bytes, tables)))):
+    settings = shuffle_settings(house.spark, sum(map(file_bytes, tables)))
+    with session_settings(house.spark, settings | (BUCKET_JOINS if house.buckets else {})):
         with house.publication:
             report = build_silver(house)
             build_gold(house, partition_gold_by_date)

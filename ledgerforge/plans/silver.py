@@ -3,6 +3,11 @@
 Each job reads Bronze once, into a written frame that marks the rows that fail a rule. It shuffles
 its wide rows once, to find the latest record per key, and writes that result. Set checks are
 decided per key, and the written rows are separated by the written list of problem keys.
+
+With `buckets` that one shuffle deals rows into as many buckets by tx_hash, and the result is written so. Totals,
+references and all later joins by transaction then find the rows where they lie. All rows of a transaction
+share a task there, so it is for ledgers whose transactions are of bounded size, as a protocol's
+block limit makes them; without it, adaptive execution splits a key that is hot.
 """
 
 from __future__ import annotations
@@ -139,12 +144,24 @@ def silver_blocks(bronze: DataFrame, stage: Staging, rejected_at: datetime | Non
     return Checked(accepted, rejects, accepted, valid, marked)
 
 
+def _kept_latest(valid: DataFrame, entity: str, stage: Staging, buckets: int | None) -> DataFrame:
+    """The latest rows, written; with `buckets` dealt by tx_hash once for this and all that follows."""
+    if buckets is None:
+        return stage.keep(_newest(valid, entity, NEWEST), f"latest_{entity}")
+    dealt = valid.repartition(buckets, "tx_hash")
+    return stage.keep(_newest(dealt, entity, NEWEST), f"latest_{entity}", bucket=(buckets, "tx_hash"))
+
+
 def silver_transactions(
-    bronze: DataFrame, blocks: DataFrame, stage: Staging, rejected_at: datetime | None = None
+    bronze: DataFrame,
+    blocks: DataFrame,
+    stage: Staging,
+    rejected_at: datetime | None = None,
+    buckets: int | None = None,
 ) -> Checked:
     rows = canonical_transactions(bronze)
     valid, rejected, marked = _judge(rows, "transactions", stage, TRANSACTION_RULES, ACCOUNTING_RULES)
-    latest = stage.keep(_newest(valid, "transactions", NEWEST), "latest_transactions")
+    latest = _kept_latest(valid, "transactions", stage, buckets)
     unknown = missing_references(latest, blocks, ["block_hash"], BLOCK_NOT_FOUND)
     accepted, orphans = _separate(latest, unknown, "block_hash", "unknown_blocks", stage)
     rejects = finalize_rejections(rejected, orphans, rejected_at=rejected_at)
@@ -169,22 +186,30 @@ def _against_transactions(
 
 
 def silver_inputs(
-    bronze: DataFrame, transactions: DataFrame, stage: Staging, rejected_at: datetime | None = None
+    bronze: DataFrame,
+    transactions: DataFrame,
+    stage: Staging,
+    rejected_at: datetime | None = None,
+    buckets: int | None = None,
 ) -> Checked:
     valid, rejected, marked = _judge(canonical_inputs(bronze), "inputs", stage, INPUT_RULES)
-    latest = stage.keep(_newest(valid, "inputs", NEWEST), "latest_inputs")
+    latest = _kept_latest(valid, "inputs", stage, buckets)
     accepted, failed = _against_transactions(latest, transactions, "input", stage)
     rejects = finalize_rejections(rejected, failed, rejected_at=rejected_at)
     return Checked(accepted, rejects, latest, valid, marked)
 
 
 def silver_outputs(
-    bronze: DataFrame, transactions: DataFrame, stage: Staging, rejected_at: datetime | None = None
+    bronze: DataFrame,
+    transactions: DataFrame,
+    stage: Staging,
+    rejected_at: datetime | None = None,
+    buckets: int | None = None,
 ) -> Checked:
     valid, rejected, marked = _judge(canonical_outputs(bronze), "outputs", stage, OUTPUT_RULES)
     collisions = id_collisions(valid, "output_id", KEYS["outputs"], OUTPUT_ID_COLLISION)
     owned, collided = _separate(valid, collisions, "output_id", "output_id_collisions", stage)
-    latest = stage.keep(_newest(owned, "outputs", NEWEST), "latest_outputs")
+    latest = _kept_latest(owned, "outputs", stage, buckets)
     accepted, failed = _against_transactions(latest, transactions, "output", stage)
     rejects = finalize_rejections(rejected, collided, failed, rejected_at=rejected_at)
     return Checked(accepted, rejects, latest, owned, marked)

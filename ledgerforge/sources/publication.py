@@ -38,19 +38,23 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
-def _details(spark: SparkSession, name: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    details = {row.col_name: row.data_type for row in rows}
-    return {key: details.get(key) or "" for key in ("Location", "Num Buckets", "Bucket Columns", "Sort Columns")}
+def _details(spark: SparkSession, name: str) -> dict[str, object]:
+    """Columns, partition columns, buckets and location of a table, from one question to the catalog."""
+    rows = [(row.col_name, row.data_type) for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    names = [key for key, _ in rows]
+    headings = [i for i, key in enumerate(names) if key == "" or key.startswith("#")]
+    partitions = []
+    if "# Partition Information" in names:
+        start = names.index("# Partition Information") + 2
+        partitions = rows[start : next(i for i in headings if i >= start)]
+    details = dict(rows[headings[0] :])
+    found = {key: details.get(key) or "" for key in ("Location", "Num Buckets", "Bucket Columns", "Sort Columns")}
+    return {**found, "columns": rows[: headings[0]], "partitions": partitions}
 
 
-def _layout(spark: SparkSession, name: str) -> tuple:
-    """What a table must share with its new version for a change of location to be enough."""
-    columns = spark.catalog.listColumns(name)
-    partitions = [c.name for c in columns if c.isPartition]
-    details = _details(spark, name)
-    details.pop("Location")
-    return [(c.name, c.dataType) for c in columns], partitions, details
+def _same_layout(one: dict, other: dict) -> bool:
+    """Whether a change of location is enough to replace one version by the other."""
+    return all(one[key] == other[key] for key in one if key != "Location") and not one["partitions"]
 
 
 class Publication:
@@ -59,12 +63,18 @@ class Publication:
     def __init__(self, spark: SparkSession, home: str):
         self.spark, self.home = spark, home
         self.pending: dict[str, str] = {}  # name -> the table that holds its new version
+        self._locations: dict[str, str] = {}
+
+    def _location(self, namespace: str) -> str:
+        if namespace not in self._locations:
+            self._locations[namespace] = namespace_location(self.spark, namespace)
+        return self._locations[namespace]
 
     def write(self, name: str, df: DataFrame, partition_by=(), bucket: tuple[int, str] | None = None) -> None:
         """Write the next version of `name`; `bucket` is a number of buckets and the column that decides."""
         namespace, _, table = name.rpartition(".")
         mark = uuid4().hex
-        path = f"{namespace_location(self.spark, namespace)}/{VERSIONS}/{table}-{mark}"
+        path = f"{self._location(namespace)}/{VERSIONS}/{table}-{mark}"
         beside = f"{namespace}._{table}_{mark}"
         writer = df.write.format("parquet").option("path", path)
         if partition_by:
@@ -81,7 +91,9 @@ class Publication:
 
     def read(self, name: str) -> DataFrame:
         """The version this run wrote, or else the published one."""
-        return self.spark.table(self.pending[name]) if name in self.pending else published(self.spark, self.home, name)
+        if name in self.pending:
+            return self.spark.table(self.pending[name])
+        return _last_version(self.spark, self._location(self.home), name)
 
     def commit(self) -> None:
         """Publish all pending tables at once."""
@@ -106,42 +118,41 @@ class Publication:
         self.commit() if kind is None else self.abandon()
 
 
-def _journal(spark: SparkSession, home: str) -> str:
-    return f"{namespace_location(spark, home)}/{JOURNAL}"
-
-
 def _write_journal(spark: SparkSession, home: str, pending: dict[str, str]) -> None:
-    path = _journal(spark, home)
+    path = f"{namespace_location(spark, home)}/{JOURNAL}"
     draft, files = _path(spark, f"{path}-{uuid4().hex}")
     out = files.create(draft, False)
     out.write(bytearray(json.dumps(pending).encode()))
     out.close()
-    if not files.rename(draft, _path(spark, path)[0]):
+    if files.exists(_path(spark, path)[0]) or not files.rename(draft, _path(spark, path)[0]):
         files.delete(draft, False)
         raise RuntimeError(f"Another run is publishing under {home}; recover it first.")
 
 
-def _read_journal(spark: SparkSession, home: str) -> dict[str, str]:
-    path = _journal(spark, home)
-    at, files = _path(spark, path)
+def _read_journal(spark: SparkSession, folder: str) -> dict[str, str]:
+    at, files = _path(spark, f"{folder}/{JOURNAL}")
     if not files.exists(at):
         return {}
-    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+    return json.loads(spark.read.text(f"{folder}/{JOURNAL}", wholetext=True).first()[0])
+
+
+def _last_version(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    beside = _read_journal(spark, folder).get(name)
+    return spark.table(beside if beside and spark.catalog.tableExists(beside) else name)
 
 
 def published(spark: SparkSession, home: str, name: str) -> DataFrame:
     """The last committed version of a table, also while the catalog has not followed yet."""
-    beside = _read_journal(spark, home).get(name)
-    return spark.table(beside if beside and spark.catalog.tableExists(beside) else name)
+    return _last_version(spark, namespace_location(spark, home), name)
 
 
 def recover(spark: SparkSession, home: str) -> list[str]:
     """Let the catalog follow the last commit; returns the tables that had not been switched."""
-    left = _read_journal(spark, home)
+    folder = namespace_location(spark, home)
+    left = _read_journal(spark, folder)
     switched = [name for name, beside in left.items() if _switch(spark, name, beside)]
     if left:
-        at, files = _path(spark, _journal(spark, home))
-        files.delete(at, False)
+        delete_folder(spark, f"{folder}/{JOURNAL}")
     return switched
 
 
@@ -149,22 +160,21 @@ def _switch(spark: SparkSession, name: str, beside: str) -> bool:
     """Give `name` the files of `beside`. Can be repeated after it stopped anywhere."""
     if not spark.catalog.tableExists(beside):
         return False
-    new, old, before = _details(spark, beside)["Location"], "", ""
+    new, old, before = _details(spark, beside), {"Location": ""}, ""
     if spark.catalog.tableExists(name):
-        old = _details(spark, name)["Location"]
-        before = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == PREVIOUS).first()
-        before = before["value"] if before else ""
-        layout = _layout(spark, name)
-        if layout == _layout(spark, beside) and not layout[1]:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+        old = _details(spark, name)
+        found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == PREVIOUS).first()
+        before = found["value"] if found else ""
+        if _same_layout(old, new):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{new['Location']}'")
             spark.sql(f"DROP TABLE {beside}")
         else:
             spark.sql(f"DROP TABLE {name}")
     if spark.catalog.tableExists(beside):
         spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
-    if old and old != new:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PREVIOUS}' = '{old}')")
-    if before and before not in (old, new):
+    if old["Location"] not in ("", new["Location"]):
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PREVIOUS}' = '{old['Location']}')")
+    if before and before not in (old["Location"], new["Location"]):
         delete_folder(spark, before)
     spark.catalog.refreshTable(name)
     return True

@@ -29,13 +29,23 @@ class Staging:
     (which is what lets it broadcast short lists of problem keys and nothing larger).
     """
 
-    def __init__(self, spark: SparkSession, label: str = "ledger"):
+    def __init__(self, spark: SparkSession, label: str = "ledger", namespace: str = "default"):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
+        self.mark = uuid4().hex
+        self.folder = f"{shared_folder(spark)}/{label}-{self.mark}"
+        self.namespace = namespace
         self._names: set[str] = set()
+        self._tables: list[str] = []
 
-    def keep(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write a frame and read it back; with `partition_by` in a folder per value of these columns."""
+    def keep(
+        self, df: DataFrame, name: str, partition_by: Sequence[str] = (), bucket: tuple[int, str] | None = None
+    ) -> DataFrame:
+        """Write a frame and read it back; with `partition_by` in a folder per value of these columns.
+
+        With `bucket`, a number and a column, rows are dealt into that many buckets by the column's hash, which
+        joins and aggregates by it find and do not deal again. Buckets are known to the catalog only, so
+        the frame is a table of `namespace` until it is released.
+        """
         if name in self._names:
             raise ValueError(f"Already staged: {name}")
         self._names.add(name)
@@ -45,11 +55,18 @@ class Staging:
             df = df.hint("rebalance", *map(F.col, partition_by))
             df.write.partitionBy(*partition_by).parquet(path)
             return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        if bucket:
+            table = f"{self.namespace}.staged_{self.mark}_{name}"
+            self._tables.append(table)
+            df.write.bucketBy(*bucket).sortBy(bucket[1]).option("path", path).format("parquet").saveAsTable(table)
+            return self.spark.table(table)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
         """Delete the run folder. Frames that were kept cannot be read afterwards."""
+        while self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._tables.pop()}")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
