@@ -31,6 +31,7 @@ from ledgerforge.llm.tasks import bounds, raw_texts
 from ledgerforge.sources.staging import Staging
 
 RUN = 3
+WORDS = 20  # that make a shorter run long enough, in the registered query and the pipeline
 
 WINDOWS = T.ArrayType(
     T.StructType(
@@ -58,7 +59,12 @@ def _windows(text: bytes, run: int, words: int | None) -> list[tuple[int, bool,
         hashes = np.array([xxhash.xxh64_intdigest(line, run - size) for line in lines], np.uint64).view(np.int64)
         slid = np.lib.stride_tricks.sliding_window_view(hashes, size)
         selected = slid.argmin(axis=1) + np.arange(len(slid))
-        starts = np.arange(len(slid)) if size == run else np.flatnonzero(long[size:] - long[:-size] >= words)
+        starts = np.arange(len(slid))
+        if words is not None:
+            enough = long[size:] - long[:-size] >= words if size < run else np.ones(len(slid), bool)
+            # Where each line is long enough alone, their own windows say the same.
+            alone = np.lib.stride_tricks.sliding_window_view(np.diff(long) >= words, size).all(axis=1)
+            starts = np.flatnonzero(enough & ~alone) if size > 1 else np.flatnonzero(enough)
         marks, fresh = hashes[selected[starts]].tolist(), np.r_[True, np.diff(selected[starts]) > 0][: len(starts)].tolist()
         for i, mark, new in zip(starts.tolist(), marks, fresh):
             out.append((mark, new, i, size, xxhash.xxh3_128_digest(b"".join(digests[i : i + size]))))

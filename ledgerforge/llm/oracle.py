@@ -49,13 +49,14 @@ FROM d LEFT JOIN kept USING (doc_id)
 OP9 = """
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 w AS (
-  SELECT doc_id, i, array_to_string(lines[i : i + 2], chr(10)) AS content
-  FROM d, unnest(range(1, len(lines) - 1)) AS t(i)),
+  SELECT doc_id, i, size, array_to_string(lines[i : i + size - 1], chr(10)) AS content
+  FROM d, (VALUES (1), (2), (3)) AS s(size), unnest(range(1, len(lines) - size + 2)) AS t(i)
+  WHERE size = 3 OR len(regexp_extract_all(array_to_string(lines[i : i + size - 1], ' '), '[^\\x20\\x09-\\x0D]+')) >= 20),
 later AS (
-  SELECT doc_id, i FROM (
-    SELECT doc_id, i, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS place FROM w)
+  SELECT doc_id, i, size FROM (
+    SELECT doc_id, i, size, row_number() OVER (PARTITION BY size, content ORDER BY doc_id, i) AS place FROM w)
   WHERE place > 1),
-gone AS (SELECT doc_id, list(DISTINCT j) AS gone FROM later, unnest([i, i + 1, i + 2]) AS t(j) GROUP BY doc_id)
+gone AS (SELECT doc_id, list(DISTINCT j) AS gone FROM later, unnest(range(i, i + size)) AS t(j) GROUP BY doc_id)
 SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
        sha256(array_to_string(list_filter(lines, lambda line, j : NOT list_contains(coalesce(gone, []), j)), chr(10)))
          AS kept_sha256

@@ -120,7 +120,7 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     count = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint")
-    kept = lines.without_repeated_lines(docs.withColumn("n_lines", count), removed="n_removed")
+    kept = lines.without_repeated_lines(docs.withColumn("n_lines", count), words=lines.WORDS, removed="n_removed")
     return kept.select("doc_id", "n_lines", "n_removed", _sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
 
 

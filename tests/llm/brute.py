@@ -91,6 +91,21 @@ def repeated(sequences, size):
     return gone
 
 
+def repeated_lines(docs, run=3, words=20):
+    """doc -> positions of lines in a run of `run` lines, or of fewer with so many words, that also starts earlier."""
+    gone = repeated(docs, run)
+    for size in range(1, run):
+        seen = set()
+        for doc, lines in docs:
+            for i in range(len(lines) - size + 1):
+                part = tuple(lines[i : i + size])
+                if len(ASCII_WORDS.findall(" ".join(part))) >= words:
+                    if part in seen:
+                        gone[doc] |= set(range(i, i + size))
+                    seen.add(part)
+    return gone
+
+
 def secrets(text):
     """Spans by the three patterns, sorted by start and kind."""
     assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""

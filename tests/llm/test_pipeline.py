@@ -18,7 +18,7 @@ def test_pipeline_equals_brute_force(spark):
     docs = {r.doc_id: r.text for r in table.collect()}
     docs = {d: t for d, t in sorted(docs.items()) if judge.score(t or "") < toxicity.THRESHOLD}
 
-    gone = brute.repeated([(d, (t or "").split("\n")) for d, t in docs.items()], 3)
+    gone = brute.repeated_lines([(d, (t or "").split("\n")) for d, t in docs.items()])
     docs = {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if i not in gone[d]) for d, t in docs.items()}
 
     groups = brute.simhash_groups(list(docs.items()))
