@@ -22,8 +22,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines go from the texts; n_chars follows; no document goes."""
-    return lines.without_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    """Later repeated runs of lines, short ones if they have many words, go from the texts; n_chars follows; no document goes."""
+    kept = lines.without_repeated_lines(docs, words=lines.WORDS)
+    return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
