@@ -5,8 +5,9 @@ gives document counts of every word. Words and word stems that toxic documents u
 often than clean ones become the lexicon, each weighted by its smoothed log-odds.
 
 Matching. The lexicon is a trie; its product with the Levenshtein automata of its terms
-(no edit for short terms, one for medium, two for long ones) is made deterministic state by
-state as words ask for it. A word that leaves every live path is dropped after a few letters, so each
+(no edit for terms under five letters, one for medium, two for long ones; a letter more, less or
+other, and neighbours that changed places, are one edit each) is made deterministic state by state as words
+ask for it. A word that leaves every live path is dropped after a few letters, so each
 distinct word a task meets costs little, and repeats cost a lookup. Misspelled forms weigh
 less; a form that clean sample documents use is an ordinary word and never matches.
 
@@ -34,14 +35,12 @@ from ledgerforge.llm.tasks import CACHE_WORDS
 from ledgerforge.sources.staging import Staging
 
 SAMPLE_ROWS = 20_000
-LEXICON_TERMS = 2_000  # the strongest by weight
 LEAST_DOCUMENTS = 10  # toxic sample documents that must use a term
 LEAST_WEIGHT = 2.0  # of a term's log-odds, two standard errors below the estimate
 STEM_LETTERS = 4  # a stem has at least so many
 STEM_WORDS = 5  # and is followed by at least so many endings, none with most of the uses
 THRESHOLD = 0.3
 WINDOW = 6  # tokens on either side of a hit
-MOST_WEIGHT = 12.0
 EDIT_COST = (0.0, 4.0, 6.0)  # taken from a term's weight, by edits: weak terms must be exact
 
 # Quotation marks, reporting words and forms of address in the four languages.
@@ -86,32 +85,40 @@ class LexiconAutomaton:
         self.states: list[frozenset] = []
         self.word_end: list[tuple[int, str] | None] = []
         self.stem_end: list[tuple[int, str] | None] = []
-        self.start = self._state({(0, 0)})
+        self.start = self._state({(0, 0, "")})
 
-    def _state(self, live: set[tuple[int, int]]) -> int:
-        """The state of all live (trie node, edits), closed under letters missing from the word."""
+    def _state(self, live: set[tuple[int, int, str]]) -> int:
+        """The state of all live (trie node, edits, letter still to come of a swapped pair), closed under
+        letters missing from the word."""
         pending, best = list(live), {}
         while pending:
-            node, edits = pending.pop()
-            if edits > self.budget[node] or edits >= best.get(node, 99):
+            node, edits, swapped = pending.pop()
+            if edits > self.budget[node] or edits >= best.get((node, swapped), 99):
                 continue
-            best[node] = edits
-            pending += [(child, edits + 1) for child in self.children[node].values()]
-        key = frozenset(best.items())
+            best[node, swapped] = edits
+            if not swapped:
+                pending += [(child, edits + 1, "") for child in self.children[node].values()]
+        key = frozenset((node, edits, swapped) for (node, swapped), edits in best.items())
         if key not in self.ids:
             self.ids[key] = len(self.states)
             self.states.append(key)
-            ends = [(e, *self.terminal[n]) for n, e in key if self.terminal[n]]
+            ends = [(e, *self.terminal[n]) for n, e, swapped in key if self.terminal[n] and not swapped]
             self.word_end.append(min(((e, t) for e, t, most, _ in ends if e <= most), default=None))
             self.stem_end.append(min(((e, t) for e, t, most, stem in ends if stem and e <= most), default=None))
         return self.ids[key]
 
     def _move(self, state: int, letter: str) -> int:
         live = set()
-        for node, edits in self.states[state]:
-            live.add((node, edits + 1))  # a letter too many
+        for node, edits, swapped in self.states[state]:
+            if swapped:
+                if swapped == letter:
+                    live.add((node, edits, ""))
+                continue
+            live.add((node, edits + 1, ""))  # a letter too many
             for other, child in self.children[node].items():
-                live.add((child, edits + (other != letter)))
+                live.add((child, edits + (other != letter), ""))
+                if other != letter and letter in self.children[child]:  # neighbours that changed places
+                    live.add((self.children[child][letter], edits + 1, other))
         self.moves[state, letter] = to = self._state(live)
         return to
 
@@ -173,21 +180,38 @@ class _Judge(dict):
         weights = list(map(self.__getitem__, tokens))
         total = 0.0
         for at, weight in enumerate(weights):
-            if weight is not None and total < MOST_WEIGHT:
+            if weight is not None:
                 total += weight * context_share(tokens, at)
         if not total:
             return self.model.quiet_rate
-        return 1 / (1 + math.exp(-self.base - min(total, MOST_WEIGHT)))
+        return 1 / (1 + math.exp(-self.base - total))
+
+
+def _quotation(tokens: list[str], at: int) -> tuple[int, int] | None:
+    """First and last token of the marks around a hit, if they open before and close after it."""
+    low, high = max(0, at - WINDOW), min(len(tokens), at + 1 + WINDOW)
+    opened = next((i for i in range(at, low - 1, -1) if tokens[i][0] in OPENING), None)
+    ends = (i for i in range(at, high) if len(tokens[i]) > 1 or tokens[i] not in OPENING)
+    closed = next((i for i in ends if (mark := tokens[i].rstrip(".,;:!?")[-1:]) and mark in CLOSING), None)
+    return None if opened is None or closed is None else (opened, closed)
 
 
 def context_share(tokens: list[str], at: int) -> float:
-    """How much of a hit counts: 1 for plain use, little inside a reported quotation."""
-    before, after = tokens[max(0, at - WINDOW) : at], tokens[at + 1 : at + 1 + WINDOW]
-    opened = any(t[0] in OPENING for t in [*before, tokens[at]])
-    closed = any(t.rstrip(".,;:!?")[-1:] in CLOSING and len(t) > 1 for t in [tokens[at], *after])
-    around = {EDGES.sub("", t) for t in before + after}
-    share = 1.0 - 0.65 * (opened and closed) - 0.25 * bool(around & REPORTING) + 0.3 * bool(around & ADDRESS)
-    return min(1.0, max(0.1, share))
+    """How much of a hit counts: 1 for plain use, little inside a reported quotation or as the subject of a remark.
+
+    Inside a quotation, whom it addresses plays no part: only address outside of the marks counts. Two reporting
+    words without any address are a remark about the term.
+    """
+    low, high = max(0, at - WINDOW), min(len(tokens), at + 1 + WINDOW)
+    quoted = _quotation(tokens, at)
+    around = {EDGES.sub("", tokens[i]) for i in range(low, high) if i != at}
+    inside = range(quoted[0], quoted[1] + 1) if quoted else range(0)
+    outside = {EDGES.sub("", tokens[i]) for i in range(low, high) if i != at and i not in inside}
+    reporting, addressed = len(around & REPORTING), bool(outside & ADDRESS)
+    share = 1.0 - 0.7 * bool(quoted) - 0.25 * bool(reporting) + 0.3 * addressed
+    if reporting > 1 and not addressed:
+        share -= 0.7
+    return min(1.0, max(0.05, share))
 
 
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +279,7 @@ def _choose_terms(candidates: list) -> dict[str, float]:
     for row in candidates:
         if not row.stem and not any(row.term[:n] + "*" in chosen for n in range(STEM_LETTERS, len(row.term) + 1)):
             chosen[row.term] = row.weight
-    return dict(sorted(chosen.items(), key=lambda item: (-item[1], item[0]))[:LEXICON_TERMS])
+    return dict(sorted(chosen.items(), key=lambda item: (-item[1], item[0])))
 
 
 def train(
@@ -263,8 +287,8 @@ def train(
 ) -> ToxicityModel:
     """Learn from `labels` (doc_id, toxic 0/1); rows with other or null labels are left out.
 
-    What reaches the driver is bounded: at most LEXICON_TERMS candidates of each kind, the words
-    of the bounded sample close to them, and two sums. Without toxic examples the lexicon is empty.
+    What reaches the driver is bounded by the sample: terms that at least LEAST_DOCUMENTS of its toxic
+    documents use, the sample's words close to them, and two sums. Without toxic examples the lexicon is empty.
     """
     staging = Staging(docs.sparkSession, "toxicity")
     sample = staging.keep(labelled_sample(docs, labels, sample_rows, doc_id=doc_id, text=text), "sample")
@@ -297,7 +321,7 @@ def train(
         strong = terms.filter((F.col("toxic") >= LEAST_DOCUMENTS) & surely).select(
             "term", "toxic", F.lit(stem).alias("stem"), weight.alias("weight")
         )
-        return strong.orderBy(F.desc("weight"), "term").limit(LEXICON_TERMS).collect()
+        return strong.orderBy(F.desc("weight"), "term").collect()
 
     weights = _choose_terms(strongest(words, False) + strongest(stems, True))
     model = ToxicityModel(weights, base, base)

@@ -85,12 +85,16 @@ def test_decoding_unknown_ids(frame, ranks):
 
 
 def levenshtein(a, b):
-    row = list(range(len(b) + 1))
+    """Edits of one letter, and swaps of neighbours that are not edited otherwise."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
+        rows.append([i])
         for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+            best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i].append(best)
+    return rows[-1][-1]
 
 
 def test_automaton_equals_edit_distance():
@@ -121,6 +125,31 @@ def test_context_separates_quotation_from_abuse():
     assert judge.score("a common idiom") == judge.score("") == MODEL.quiet_rate
 
 
+@pytest.mark.parametrize(
+    "text, toxic",
+    [
+        ('he said "you worthless idiot" yesterday', False),
+        ("the word idiot is an insult", False),
+        ('she wrote that "idiot" is rude', False),
+        ("« idiot » est un mot", False),
+        ("you are an idiot", True),
+        ('you idiot, "nice" work', True),
+        ("what an idiot, truly", True),
+        ("they called him an idiot", True),
+        ("such an idoit again", True),
+        ("that wortlhess thing", True),
+    ],
+)
+def test_quotation_abuse_and_misspelling(text, toxic):
+    assert (toxicity._Judge(MODEL).score(text) >= toxicity.THRESHOLD) == toxic
+
+
+def test_every_hit_counts():
+    judge = toxicity._Judge(MODEL)
+    scores = [judge.score("idiot " * n) for n in (1, 2, 3)]
+    assert scores == sorted(set(scores)) and judge.score("idiot " * 200) == 1.0
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
