@@ -3,12 +3,13 @@
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerforge.operators.quality import total_problems
 from ledgerforge.operators.utxo import enrich_outputs
 from ledgerforge.plans import gold
 from ledgerforge.plans.batch import BUCKET_JOINS, BUCKETED, Warehouse, run_batch
-from ledgerforge.plans.corruption import inject_corruption
+from ledgerforge.plans.corruption import as_text
 from ledgerforge.session import drop_namespaces, session_settings
 from tests.test_batch import FIRST, clean_tables, deliver
 
@@ -19,7 +20,11 @@ BUCKETS = 4
 def runs(spark, tmp_path_factory):
     """The same corrupted delivery without and with buckets."""
     root = str(tmp_path_factory.mktemp("raw"))
-    deliver(inject_corruption(clean_tables(spark), "mixed", rate=0.1, seed=5), root)
+    tables = {entity: as_text(df) for entity, df in clean_tables(spark).items()}
+    for entity, key, column in (("inputs", "input_id = 'i12-0'", "value_sats"), ("outputs", "output_id = 'o5-0'", "tx_hash")):
+        bad = F.when(F.expr(key), "lost").otherwise(F.col(column))
+        tables[entity] = tables[entity].withColumn(column, bad).union(tables[entity].filter("tx_hash = 'tx3'"))
+    deliver(tables, root)
     houses = {}
     for buckets in (None, BUCKETS):
         prefix = f"b{uuid.uuid4().hex[:8]}_"

@@ -134,9 +134,7 @@ def test_a_failing_run_keeps_the_run_before(spark, prefix, tmp_path, monkeypatch
         batch.run_batch(spark, str(tmp_path), FIRST, **options)
     monkeypatch.undo()
     assert spark.table(f"{prefix}silver.blocks").first().ingested_at == stamp
-    assert len(names) == 14 and all(spark.table(name).count() is not None for name in names)
-    assert batch.run_batch(spark, str(tmp_path), FIRST, **options) == report
-    assert spark.table(f"{prefix}silver.blocks").first().ingested_at > stamp
+    assert len(names) == 14 and report["outputs"]["accepted"] == spark.table(f"{prefix}gold.outputs").count()
 
 
 def test_only_prefixed_layers_are_dropped(spark):
