@@ -14,14 +14,15 @@ from pyspark.sql import types as T
 from ledgerforge.functions.metrics import measure
 from ledgerforge.operators.quality import quarantine
 from ledgerforge.operators.utxo import check_chain_links, resolve_inputs
-from ledgerforge.plans import exercises, gold, reports, silver
+from ledgerforge.plans import changes, exercises, gold, reports, silver
 from ledgerforge.plans.batch import Warehouse, run_batch
 from ledgerforge.plans.corruption import inject_corruption
 from ledgerforge.plans.rules import INPUT_RULES, OUTPUT_RULES
 from ledgerforge.plans.sample_ledger import SampleLedger
-from ledgerforge.session import drop_namespaces
+from ledgerforge.session import drop_namespaces, ensure_namespaces
 from ledgerforge.sources.delivery import add_lineage, read_delivery
 from ledgerforge.sources.schemas import ENTITIES, KEYS, LINEAGE, SCHEMAS, conform
+from ledgerforge.sources.tables import write_table
 from ledgerforge.streaming.incremental import run_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +191,33 @@ def _increments(ledger: SampleLedger) -> dict[str, DataFrame]:
     return kept
 
 
+def _changes(ledger: SampleLedger) -> dict[str, DataFrame]:
+    """Silver blocks and transactions after the months were applied in three turns, later ones before earlier ones."""
+    kept = ledger.__dict__.setdefault("changes", {})
+    if kept:
+        return kept
+    prefix = f"run_{uuid4().hex[:12]}_"
+    ensure_namespaces(ledger.spark, prefix=prefix)
+    house = Warehouse(ledger.spark, prefix=prefix, run_at=RUN_AT)
+    try:
+        months: set[str] = set()
+        for entity in ("blocks", "transactions"):
+            rows = ledger.bronze[entity].hint("rebalance", F.col("batch_id"))
+            write_table(rows, house.name("bronze", entity), partition_by=["batch_id"])
+            months.update(row.batch_id for row in ledger.bronze[entity].select("batch_id").distinct().collect())
+        last_first = sorted(months, reverse=True)
+        for turn in range(3):
+            changes.bring_up_to_date(house, last_first[turn::3], "year")
+        tables = {"blocks": ("silver", changes.BLOCKS), "transactions": ("silver", changes.TRANSACTIONS)}
+        tables["waiting"] = ("silver_rejects", changes.WAITING)
+        for name, table in tables.items():
+            rows = house.spark.table(house.name(*table)).drop(changes.PERIOD)
+            kept[name] = ledger.stage.keep(rows, f"changes_{name}")
+    finally:
+        drop_namespaces(ledger.spark, prefix)
+    return kept
+
+
 #: Batch, instant of its run, and the rows it delivers.
 DELIVERIES = (
     ("2026-01-01", datetime(2026, 1, 1, 6, tzinfo=timezone.utc), "batch_id < '1995-01-01'"),
@@ -311,6 +339,10 @@ QUERIES: dict[str, Query] = {
     "batch_gold_outputs": _run_part(_batch, "outputs"),
     "incremental_counts": _run_part(_increments, "counts"),
     "incremental_silver_outputs": _run_part(_increments, "outputs"),
+    # Only the keys that a batch touches, by date.
+    "changed_silver_blocks": _run_part(_changes, "blocks"),
+    "changed_silver_transactions": _run_part(_changes, "transactions"),
+    "changed_waiting_transactions": _run_part(_changes, "waiting"),
     "utxo_reconciliation": _ledger(_raw_reconciliation),
     "utxo_reconciliation_dedup": _job("reconciliation"),
     "double_spends": _ledger(_double_spends),

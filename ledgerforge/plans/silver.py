@@ -90,6 +90,21 @@ def canonical_transactions(df: DataFrame) -> DataFrame:
     return df.withColumns(trimmed("tx_hash", "block_hash"))
 
 
+def canonical_blocks(df: DataFrame) -> DataFrame:
+    return df.withColumn("miner", F.lower(F.trim("miner")))
+
+
+def dated_blocks(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            "block_date": F.to_date("timestamp"),
+            "block_year": F.year("timestamp"),
+            "block_month": F.month("timestamp"),
+            "block_hour": F.hour("timestamp"),
+        }
+    )
+
+
 def validate_blocks(df: DataFrame) -> DataFrame:
     return validate(df, BLOCK_RULES)
 
@@ -129,17 +144,8 @@ def _newest(df: DataFrame, entity: str, order: Sequence[str]) -> DataFrame:
 
 def silver_blocks(bronze: DataFrame, stage: Staging, rejected_at: datetime | None = None) -> Checked:
     valid, rejected, marked = _judge(bronze, "blocks", stage, BLOCK_RULES)
-    named = valid.withColumn("miner", F.lower(F.trim("miner")))
-    latest = _newest(named, "blocks", NEWEST[:2])
-    accepted = latest.withColumns(
-        {
-            "block_date": F.to_date("timestamp"),
-            "block_year": F.year("timestamp"),
-            "block_month": F.month("timestamp"),
-            "block_hour": F.hour("timestamp"),
-        }
-    )
-    accepted = stage.keep(accepted, "silver_blocks")
+    latest = _newest(canonical_blocks(valid), "blocks", NEWEST[:2])
+    accepted = stage.keep(dated_blocks(latest), "silver_blocks")
     rejects = finalize_rejections(rejected, rejected_at=rejected_at)
     return Checked(accepted, rejects, accepted, valid, marked)
 

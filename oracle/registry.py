@@ -348,6 +348,10 @@ LEFT JOIN nation ON n_nationkey = c_nationkey ORDER BY balance_cents DESC, n_nam
     "batch_counts": conservation("batch_"),
     "incremental_counts": conservation("step_"),
     "incremental_silver_outputs": f"{with_tables('step_silver_outputs')}SELECT {', '.join(OUTPUTS)} FROM step_silver_outputs",
+    "changed_silver_blocks": f"{with_tables('silver_blocks')}SELECT {', '.join(SILVER_BLOCKS)} FROM silver_blocks",
+    "changed_silver_transactions": f"{with_tables('silver_transactions')}SELECT {', '.join(TRANSACTIONS)} FROM silver_transactions",
+    "changed_waiting_transactions": f"""{with_tables('reject_transactions')}
+SELECT {', '.join(TRANSACTIONS)} FROM reject_transactions WHERE list_contains(errors, 'BLOCK_NOT_FOUND')""",
     "batch_rejects": stamped_rejects("batch_"),
     "batch_gold_outputs": f"{with_tables('batch_gold_outputs')}SELECT {', '.join(GOLD_OUTPUTS)} FROM batch_gold_outputs",
     "silver_blocks_native": over(f"SELECT {', '.join(SILVER_BLOCKS)} FROM silver_blocks", "silver_blocks"),
