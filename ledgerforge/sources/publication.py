@@ -17,11 +17,19 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Columns that readers look single values up by; files tell by a Bloom filter which of their row groups lack one.
+LOOKUPS = ("tx_hash",)
 VERSIONS = "versions"
 JOURNAL = "publication.json"
 PREVIOUS = "previous_version"
 
 
+def bloom_filters(*columns: str) -> dict[str, str]:
+    """Parquet write options: a filter per row group for these columns, sized by the distinct values met."""
+    enabled = {f"parquet.bloom.filter.enabled#{column}": "true" for column in columns}
+    return {**enabled, "parquet.bloom.filter.adaptive.enabled": "true"} if enabled else {}
+
+
 def namespace_location(spark: SparkSession, namespace: str) -> str:
     rows = spark.sql(f"DESCRIBE NAMESPACE EXTENDED {namespace}").filter("info_name = 'Location'")
     return rows.first()["info_value"].rstrip("/")
@@ -76,7 +84,8 @@ class Publication:
         mark = uuid4().hex
         path = f"{self._location(namespace)}/{VERSIONS}/{table}-{mark}"
         beside = f"{namespace}._{table}_{mark}"
-        writer = df.write.format("parquet").option("path", path)
+        filters = bloom_filters(*(column for column in LOOKUPS if column in df.columns))
+        writer = df.write.format("parquet").option("path", path).options(**filters)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if bucket:
