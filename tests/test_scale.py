@@ -1,0 +1,102 @@
+"""Work per task and per query stays bounded: pieces of files and shuffles, tables built, selections made."""
+
+import os
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerforge.operators.latest import keep_latest
+from ledgerforge.plans import registry, sample_ledger
+from ledgerforge.plans.corruption import inject_corruption
+from ledgerforge.plans.sample_ledger import SampleLedger
+from ledgerforge.session import INITIAL_PARTITIONS, session_settings, task_settings
+from ledgerforge.sources.staging import Staging
+from tests.test_batch import clean_tables
+
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """A few orders and their lines, each line delivered twice with equal shipping times."""
+    orders = spark.range(60).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "TIMESTAMP '1995-01-01' + make_dt_interval(CAST(id % 9 AS INT)) AS o_orderdate")
+    lines = orders.select("o_orderkey", "o_orderdate", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("l_linenumber"))
+    lines = lines.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
+        "o_orderkey AS l_orderkey", "l_linenumber", "10 + copy * (o_orderkey % 2) AS l_partkey", "100.0D + copy AS l_extendedprice",
+        "if(copy = 0, 'R', 'N') AS l_returnflag", "o_orderdate AS l_shipdate",
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+@pytest.fixture
+def ledger(spark, folder):
+    made = SampleLedger(spark, folder)
+    yield made
+    for stage in (made.stage, *made.__dict__.get("job_stages", ())):
+        stage.release()
+
+
+def test_staged_files_can_be_read_in_pieces(spark):
+    with Staging(spark) as stage:
+        kept = stage.keep(spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("mark")), "marks")
+        [file] = [path.removeprefix("file://") for path in kept.inputFiles()]
+        assert pq.ParquetFile(file).metadata.num_row_groups > 2
+        assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_staged_frames_are_evaluated_with_small_tasks(spark):
+    usual = spark.conf.get(SPLIT)
+    assert task_settings(spark)[SPLIT] == str(4 << 20)
+    with session_settings(spark, {SPLIT: "1m"}):
+        assert SPLIT not in task_settings(spark)
+    with Staging(spark, settings={INITIAL_PARTITIONS: "9"}) as stage:
+        big = stage.keep(spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("mark")), "marks")
+        again = stage.keep(big.withColumn("part", F.spark_partition_id()), "parts")
+        assert again.select("part").distinct().count() >= 4
+    assert spark.conf.get(SPLIT) == usual and spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_shuffles_of_the_sample_grow_with_its_tables(spark, folder, monkeypatch):
+    monkeypatch.setattr(sample_ledger, "TABLE_BYTES_PER_PARTITION", 10)
+    size = sum(os.path.getsize(f"{folder}/{t}.parquet/{f}") for t in ("orders", "lineitem") for f in os.listdir(f"{folder}/{t}.parquet") if f[0] != ".")
+    wanted = int(SampleLedger(spark, folder).stage.settings[INITIAL_PARTITIONS])
+    assert size / 10 <= wanted < size / 5
+
+
+def test_lines_shuffle_only_what_they_need(ledger):
+    wide = ["shipped", "output_id", "address", "value_sats"]
+    expected = keep_latest(ledger.delivered_lines, ["k", "ln"], wide).select("k", "ln", "address", "value_sats")
+    assert rows(ledger.lines) == rows(expected)
+
+
+def test_one_landed_entity_builds_no_other(ledger):
+    assert registry._landed("outputs")(ledger).count() > 0
+    assert not {"bronze_blocks", "bronze_transactions", "bronze_inputs"} & set(ledger.__dict__)
+
+
+def test_a_job_that_was_not_run_is_run_once(ledger):
+    first = ledger.run_again("blocks")
+    assert "job_stages" not in ledger.__dict__ and first is ledger.blocks
+    second = ledger.run_again("blocks")
+    assert second is not first and len(ledger.job_stages) == 1
+    assert rows(second.accepted) == rows(first.accepted)
+
+
+@pytest.mark.parametrize("scenario", ["data_quality", "relationships", "mixed"])
+def test_written_damage_is_the_same(spark, scenario):
+    tables = clean_tables(spark)
+    plain = inject_corruption(tables, scenario, rate=0.2, seed=3)
+    with Staging(spark) as stage:
+        staged = inject_corruption(tables, scenario, rate=0.2, seed=3, stage=stage)
+        for entity, df in plain.items():
+            assert rows(df) == rows(staged[entity]), entity
+            if scenario == "mixed":
+                assert df.count() and all(stage.mark in path for path in staged[entity].inputFiles())
+                assert staged[entity].inputFiles()
