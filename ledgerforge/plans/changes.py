@@ -150,6 +150,6 @@ def bring_up_to_date(house: Warehouse, batches: Sequence[str], unit: str = "day"
             house.read("bronze", entity).filter(F.col("batch_id").isin(list(batches)))
             for entity in ("blocks", "transactions")
         )
-        with Staging(house.spark, namespace=namespace("silver", None, house.prefix)) as stage:
+        with Staging(house.spark, namespace=namespace("silver", None, house.prefix), bounded=True) as stage:
             changed = {BLOCKS: update_blocks(house, blocks, stage, unit)}
             return changed | update_transactions(house, transactions, stage, unit)

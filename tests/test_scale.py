@@ -44,7 +44,7 @@ def ledger(spark, folder):
 
 
 def test_staged_files_can_be_read_in_pieces(spark):
-    with Staging(spark) as stage:
+    with Staging(spark, bounded=True) as stage:
         kept = stage.keep(spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("mark")), "marks")
         [file] = [path.removeprefix("file://") for path in kept.inputFiles()]
         assert pq.ParquetFile(file).metadata.num_row_groups > 2
@@ -56,7 +56,7 @@ def test_staged_frames_are_evaluated_with_small_tasks(spark):
     assert task_settings(spark)[SPLIT] == str(4 << 20)
     with session_settings(spark, {SPLIT: "1m"}):
         assert SPLIT not in task_settings(spark)
-    with Staging(spark, settings={INITIAL_PARTITIONS: "9"}) as stage:
+    with Staging(spark, settings={INITIAL_PARTITIONS: "9"}, bounded=True) as stage:
         big = stage.keep(spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("mark")), "marks")
         again = stage.keep(big.withColumn("part", F.spark_partition_id()), "parts")
         assert again.select("part").distinct().count() >= 4
