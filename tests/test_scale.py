@@ -7,12 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerforge.operators.latest import keep_latest
-from ledgerforge.plans import registry, sample_ledger
+from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
+from ledgerforge.plans import gold, registry, sample_ledger
 from ledgerforge.plans.corruption import inject_corruption
 from ledgerforge.plans.sample_ledger import SampleLedger
 from ledgerforge.session import INITIAL_PARTITIONS, session_settings, task_settings
 from ledgerforge.sources.staging import Staging
 from tests.test_batch import clean_tables
+from tests.test_buckets import moved
 
 SPLIT = "spark.sql.files.maxPartitionBytes"
 
@@ -100,3 +102,63 @@ def test_written_damage_is_the_same(spark, scenario):
             if scenario == "mixed":
                 assert df.count() and all(stage.mark in path for path in staged[entity].inputFiles())
                 assert staged[entity].inputFiles()
+
+
+def test_rows_that_pass_are_not_written_beside_bronze(ledger):
+    for entity in ("transactions", "inputs", "outputs"):
+        checked = getattr(ledger, entity)
+        assert set(checked.marked.inputFiles()) == set(ledger.bronze_table(entity).inputFiles())
+        assert not any("marked" in name for name in os.listdir(ledger.stage.folder.removeprefix("file://")))
+
+
+def test_rows_of_a_transaction_are_dealt_once(spark, ledger):
+    known, inputs, outputs = (getattr(ledger, name).accepted for name in ("transactions", "inputs", "outputs"))
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", **ledger.stage.settings}):
+        spends = gold.timed_spends(ledger.reconciliation, known)
+        jobs = {
+            "enriched": enrich_outputs(outputs, ledger.reconciliation),
+            "outputs": gold.gold_outputs(ledger.enriched_outputs, known, spends),
+            "transactions": gold.gold_transactions(known, inputs, outputs),
+        }
+        for name, job in jobs.items():
+            assert job.count() > 0 and "staged" not in moved(job), name
+
+
+@pytest.mark.parametrize("threshold", ["-1", "64MB"])
+def test_dealt_resolution_is_the_same(spark, threshold):
+    outputs = spark.range(40).selectExpr("'o-' || id AS output_id", "'t' || id % 20 AS tx_hash", "CAST(id DIV 20 AS INT) AS output_index", "'a' || id % 3 AS address", "id AS value_sats")
+    inputs = spark.range(120).selectExpr(
+        "'i-' || id AS input_id", "'s' || id % 11 AS tx_hash", "CAST(id DIV 11 AS INT) AS input_index",
+        "CASE WHEN id % 13 = 0 THEN 'genesis' WHEN id % 17 = 1 THEN NULL ELSE 't' || id % 31 END AS previous_tx_hash",
+        "if(id % 19 = 2, NULL, CAST(id % 3 AS INT)) AS previous_output_index", "'a' || id % 3 AS address", "id AS value_sats",
+    )
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}), Staging(spark) as stage:
+        plain = resolve_inputs(inputs, outputs, unique_outputs=True)
+        assert plain.filter("resolution_status = 'resolved'").count() > 0 and plain.filter("double_spend_detected").count() > 0
+        dealt = resolve_inputs(inputs, outputs, unique_outputs=True, stage=stage, dealt=True)
+        assert dealt.columns == plain.columns and rows(plain) == rows(dealt)
+
+
+def test_ages_of_inputs_without_a_transaction(spark):
+    """Whether or not an input has a transaction, what it refers to has a time; repeated transactions repeat it."""
+    transactions = spark.sql("SELECT * FROM VALUES ('a', 'b0', TIMESTAMP '2020-01-01'), ('b', 'b1', TIMESTAMP '2020-01-03'), ('a', 'b0', TIMESTAMP '2020-01-02') t(tx_hash, block_hash, timestamp)")
+    reconciled = spark.sql(
+        "SELECT *, 0L AS previous_output_index, referenced_tx_hash AS previous_tx_hash, 'resolved' AS resolution_status, false AS double_spend_detected"
+        " FROM VALUES ('b', 'a'), ('b', 'a'), ('b', NULL), (NULL, 'b'), (NULL, NULL), ('x', 'x') t(tx_hash, referenced_tx_hash)"
+    )
+    found = gold.age_inputs(reconciled, transactions)
+    kept = [(r.tx_hash, r.referenced_tx_hash, str(r.referenced_transaction_timestamp)[:10], r.spending_block_hash) for r in found.collect()]
+    assert sorted(kept, key=repr) == sorted(
+        [("b", "a", "2020-01-01", "b1"), ("b", "a", "2020-01-02", "b1")] * 2
+        + [("b", None, "None", "b1"), (None, "b", "2020-01-03", None), (None, None, "None", None), ("x", "x", "None", None)],
+        key=repr,
+    )
+
+
+def test_deliveries_are_packed_and_keep_a_transaction_in_one_file(spark, ledger, tmp_path):
+    registry._deliver(ledger, str(tmp_path / "raw"))
+    for entity in ("inputs", "outputs"):
+        delivered = spark.read.option("header", True).csv(f"{tmp_path}/raw/ingest_{registry.BATCH}/{entity}.csv")
+        assert all(path.endswith(".csv.gz") for path in delivered.inputFiles())
+        files = delivered.withColumn("file", F.input_file_name()).groupBy(F.trim("tx_hash")).agg(F.countDistinct("file").alias("n"))
+        assert delivered.count() == ledger.bronze_table(entity).count() and files.filter("n > 1").count() == 0
