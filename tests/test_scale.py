@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerforge.operators.latest import keep_latest
 from ledgerforge.operators.utxo import enrich_outputs, resolve_inputs
-from ledgerforge.plans import gold, registry, sample_ledger
+from ledgerforge.plans import gold, registry, reports, sample_ledger
 from ledgerforge.plans.corruption import inject_corruption
 from ledgerforge.plans.sample_ledger import SampleLedger
 from ledgerforge.session import INITIAL_PARTITIONS, session_settings, task_settings
@@ -162,3 +162,90 @@ def test_deliveries_are_packed_and_keep_a_transaction_in_one_file(spark, ledger,
         assert all(path.endswith(".csv.gz") for path in delivered.inputFiles())
         files = delivered.withColumn("file", F.input_file_name()).groupBy(F.trim("tx_hash")).agg(F.countDistinct("file").alias("n"))
         assert delivered.count() == ledger.bronze_table(entity).count() and files.filter("n > 1").count() == 0
+
+
+def shuffled(df, tables):
+    """Exchanges of whole rows from tables of that name: what `moved` looks for, but counted."""
+    df.collect()
+    found = []
+
+    def walk(node, own):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan(), own)
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan(), own)
+        if name == "ShuffleExchangeExec":
+            own = node
+        elif "Aggregate" in name:
+            own = None
+        elif name == "FileSourceScanExec" and own is not None and node.tableIdentifier().isDefined():
+            if node.tableIdentifier().get().table().startswith(tables) and own not in found:
+                found.append(own)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i), own)
+
+    walk(df._jdf.queryExecution().executedPlan(), None)
+    return found
+
+
+@pytest.fixture
+def later(spark, folder, tmp_path):
+    """The same orders 40 days later, whose blocks pass, so that inputs resolve."""
+    for table, date in (("orders", "o_orderdate"), ("lineitem", "l_shipdate")):
+        shifted = spark.read.parquet(f"{folder}/{table}.parquet").withColumn(date, F.expr(f"{date} + INTERVAL 40 DAY"))
+        shifted.write.parquet(f"{tmp_path}/later/{table}.parquet")
+    made = SampleLedger(spark, f"{tmp_path}/later")
+    yield made
+    for stage in (made.stage, *made.__dict__.get("job_stages", ())):
+        stage.release()
+
+
+def test_gold_inputs_are_dealt_once_to_what_they_refer_to(spark, later):
+    ledger = later
+    known, inputs, outputs = (getattr(ledger, name).accepted for name in ("transactions", "inputs", "outputs"))
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", **ledger.stage.settings}):
+        referencing, others = gold.gold_inputs_at_outputs(inputs, outputs, known, ledger.buckets)
+        assert referencing.count() > 0 and len(shuffled(referencing, "staged")) == 1
+        assert others.count() > 0 and not shuffled(others, "staged")
+        spends, _ = ledger.timed_spends
+        made = gold.gold_outputs(enrich_outputs(outputs, spends), known, spends)
+        assert made.filter("canonical_spent").count() > 0 and not shuffled(made, "staged")
+        assert not shuffled(gold.gold_transactions(known, inputs, outputs), "staged")
+
+
+@pytest.mark.parametrize("threshold", ["-1", "64MB"])
+def test_gold_inputs_at_outputs_are_the_same(spark, threshold):
+    transactions = spark.range(25).selectExpr("'t' || id AS tx_hash", "'b' || id % 4 AS block_hash", "if(id % 7 = 3, NULL, TIMESTAMP '2020-01-01' + make_dt_interval(CAST(id AS INT))) AS timestamp")
+    outputs = spark.range(40).selectExpr("'o-' || id AS output_id", "'t' || id % 20 AS tx_hash", "CAST(id DIV 20 AS INT) AS output_index", "'a' || id % 3 AS address", "id AS value_sats", "id % 2 = 0 AS spent")
+    inputs = spark.range(200).selectExpr(
+        "'i-' || id AS input_id", "CASE WHEN id % 23 <> 5 THEN 't' || id % 29 END AS tx_hash", "CAST(id DIV 29 AS INT) AS input_index",
+        "CASE WHEN id % 13 = 0 THEN 'genesis' WHEN id % 17 = 1 THEN NULL ELSE 't' || id % 31 END AS previous_tx_hash",
+        "if(id % 19 = 2, NULL, CAST(id % 3 AS INT)) AS previous_output_index", "if(id % 11 = 4, NULL, 'a' || id % 3) AS address", "id AS value_sats",
+    )
+    inputs = inputs.union(inputs.filter("value_sats % 10 = 0"))
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+        reconciled = resolve_inputs(inputs, outputs, unique_outputs=True)
+        expected = gold.age_inputs(reconciled.drop("matching_output_count"), transactions)
+        referencing, others = gold.gold_inputs_at_outputs(inputs, outputs, transactions, 4)
+        found = referencing.unionByName(others)
+        assert found.dtypes == expected.dtypes and rows(found) == rows(expected)
+        assert expected.filter("double_spend_detected").count() > 0 and expected.filter("coin_age_days IS NOT NULL").count() > 0
+        plain = gold.gold_outputs(enrich_outputs(outputs, reconciled), transactions, gold.timed_spends(reconciled, transactions))
+        assert rows(plain) == rows(gold.gold_outputs(enrich_outputs(outputs, referencing), transactions, referencing))
+
+
+def test_a_report_writes_no_table_that_only_it_reads(later):
+    ledger = later
+    report = ledger.reconciliation_kpis
+    written = set(os.listdir(ledger.stage.folder.removeprefix("file://")))
+    assert not {"accepted_inputs", "accepted_outputs", "reconciliation", "verdicts", "enriched_outputs"} & written
+    assert not any(name.startswith("gold_") for name in written)
+    tables = [getattr(ledger, f"gold_{entity}") for entity in ("blocks", "transactions", "inputs", "outputs")]
+    assert rows(reports.reconciliation_kpis(*tables)) == rows(report)
+    again = ledger.run_again("reconciliation_kpis")
+    assert again is not report and rows(again) == rows(report)
+    found = {row.indicator: row.row_count for row in report.collect()}
+    assert found["spend_discrepancies"] > 0 and found["any_mismatch"] > 0
+    assert found["double_spends"] == ledger.reconciliation.filter("double_spend_detected").count()
+    assert found["spend_discrepancies"] == ledger.enriched_outputs.filter("spend_discrepancy").count()
